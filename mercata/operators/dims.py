@@ -123,7 +123,11 @@ def build_dim_date(orders: DataFrame, date_columns: Sequence[str] = ("order_date
 
 
 def build_dimensions(orders: DataFrame, people: DataFrame,
-                     specs: Sequence[DimensionSpec] = ORDER_DIMENSIONS) -> Mapping[str, Dimension]:
-    dims = {s.name: build_dimension(orders, s) for s in specs}
-    dims[REGIONAL_MANAGER.name] = build_dimension(people, REGIONAL_MANAGER)
-    return dims
+                     specs: Sequence[DimensionSpec] = ORDER_DIMENSIONS,
+                     max_workers: int = 4) -> Mapping[str, Dimension]:
+    """All keyed dimensions; independent builds are submitted concurrently."""
+    from mercata.plans.concurrency import run_concurrently
+
+    tasks = {s.name: (lambda s=s: build_dimension(orders, s)) for s in specs}
+    tasks[REGIONAL_MANAGER.name] = lambda: build_dimension(people, REGIONAL_MANAGER)
+    return run_concurrently(tasks, max_workers)

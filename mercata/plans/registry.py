@@ -10,26 +10,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mercata.config import scratch_path
 from mercata.functions.naming import clean_name_col
 from mercata.operators import marts, quality
 from mercata.operators.facts import returned_orders
 from mercata.operators.marts import StarTables
+from mercata.plans.pipeline import materialize_raw, materialize_star
 from mercata.plans.star import STAR_TABLES, build_star
 from mercata.sources.catalog import ensure_namespace, overwrite_table
 from mercata.sources.delimited import read_delimited
-from mercata.sources.driver_tables import retail_inputs
+from mercata.sources.driver_tables import RetailInputs, retail_inputs
 
 _STARS: dict[tuple[str, str], StarTables] = {}
 
 
+_RAW: dict[tuple[str, str], RetailInputs] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
+
+
+def raw_for(spark: SparkSession, sf_dir: str) -> RetailInputs:
+    """Raw layer (orders, people, returns) derived once and saved as parquet."""
+    key = _key(spark, sf_dir)
+    if key not in _RAW:
+        _RAW[key] = materialize_raw(retail_inputs(spark, sf_dir), scratch_path(spark, "raw"))
+    return _RAW[key]
+
+
 def star_for(spark: SparkSession, sf_dir: str) -> StarTables:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """Star layer built from the saved raw layer and itself saved as parquet."""
+    key = _key(spark, sf_dir)
     if key not in _STARS:
-        ri = retail_inputs(spark, sf_dir)
-        _STARS[key] = build_star(ri.orders, ri.people, ri.returns)
+        raw = raw_for(spark, sf_dir)
+        _STARS[key] = materialize_star(build_star(raw.orders, raw.people, raw.returns),
+                                       scratch_path(spark, "star"))
     return _STARS[key]
 
 
@@ -50,13 +67,13 @@ def clean_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_returned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return returned_orders(retail_inputs(spark, sf_dir).returns)
+    return returned_orders(raw_for(spark, sf_dir).returns)
 
 
 def ingest_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders landed as a CSV file set, then ingested with header + inferred types."""
     path = scratch_path(spark, "landing-orders")
-    retail_inputs(spark, sf_dir).orders.write.option("header", "true").csv(path)
+    raw_for(spark, sf_dir).orders.write.option("header", "true").csv(path)
     return read_delimited(spark, path)
 
 

@@ -2,7 +2,7 @@
 
 Dimensions are built (and pinned by their key step) before the facts look them
 up, which is the ordering the source warehouse gets by saving and re-reading
-the dimension tables.
+the dimension tables.  Independent builds run concurrently.
 """
 
 from __future__ import annotations
@@ -14,23 +14,25 @@ from pyspark.sql import DataFrame
 from mercata.operators.dims import build_dim_date, build_dimensions
 from mercata.operators.facts import build_fact_returns, build_fact_sales
 from mercata.operators.marts import StarTables
+from mercata.plans.concurrency import run_concurrently
 
 STAR_TABLES = ("dim_customer", "dim_product", "dim_geography", "dim_ship_mode", "dim_date",
                "dim_regional_manager", "fact_sales", "fact_returns")
 
 
 def build_star(orders: DataFrame, people: DataFrame, returns: DataFrame,
-               date_formats: Sequence[str] | None = None) -> StarTables:
-    dims = build_dimensions(orders, people)
+               date_formats: Sequence[str] | None = None, max_workers: int = 4) -> StarTables:
+    dims = build_dimensions(orders, people, max_workers=max_workers)
     dim_date = build_dim_date(orders, formats=date_formats)
-    sales = build_fact_sales(orders, dims, date_formats)
-    rets = build_fact_returns(orders, returns, dims, date_formats)
+    facts = run_concurrently({
+        "fact_sales": lambda: build_fact_sales(orders, dims, date_formats),
+        "fact_returns": lambda: build_fact_returns(orders, returns, dims, date_formats),
+    }, max_workers)
     rows = {name: d.rows for name, d in dims.items()}
-    rows["fact_sales"] = sales.rows
-    rows["fact_returns"] = rets.rows
+    rows.update({name: k.rows for name, k in facts.items()})
     return StarTables(
-        fact_sales=sales.frame,
-        fact_returns=rets.frame,
+        fact_sales=facts["fact_sales"].frame,
+        fact_returns=facts["fact_returns"].frame,
         dim_customer=dims["dim_customer"].frame,
         dim_product=dims["dim_product"].frame,
         dim_geography=dims["dim_geography"].frame,
@@ -42,5 +44,5 @@ def build_star(orders: DataFrame, people: DataFrame, returns: DataFrame,
 
 
 def star_from_tables(tables: dict[str, DataFrame], rows: dict | None = None) -> StarTables:
-    """Wrap saved star tables (e.g. read back from the catalog)."""
+    """Wrap saved star tables (e.g. read back from the catalog or from paths)."""
     return StarTables(**{t: tables[t] for t in STAR_TABLES}, rows=rows)

@@ -88,8 +88,29 @@ class RetailInputs:
     returns: DataFrame
 
 
+# Tables streamed through the joins (the others are small enough to broadcast).
+STREAMED = ("lineitem", "orders")
+
+
+def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file with a single row group is one task however large it is; a
+    round-robin repartition lets the joins after it use every core.  A scan that
+    already has enough splits (any real-size table) is left untouched.
+    """
+    floor = floor or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < floor:
+        return df.repartition(floor)
+    return df
+
+
 def read_tables(spark: SparkSession, sf_dir: str, names=TPCH_TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    out = {}
+    for n in names:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")
+        out[n] = with_parallelism_floor(df) if n in STREAMED else df
+    return out
 
 
 def retail_inputs(spark: SparkSession, sf_dir: str) -> RetailInputs:
