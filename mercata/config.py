@@ -13,8 +13,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Library settings (session conf keys).  Values are read at plan-build time.
-LOOKUP_BROADCAST_BYTES = "mercata.lookup.broadcastBytes"
-KEY_PARTITIONS = "mercata.key.partitions"
+LOOKUP_BROADCAST_BYTES = "spark.mercata.lookup.broadcastBytes"
+KEY_PARTITIONS = "spark.mercata.key.partitions"
 
 
 def build_session(master: str = "local[8]", app: str = "mercata", shuffle_partitions: int = 8,

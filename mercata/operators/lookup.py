@@ -2,7 +2,7 @@
 
 Dimensions built here carry their exact row count (a by-product of key
 assignment), so the broadcast decision uses a proven bound: rows x estimated row
-width against ``mercata.lookup.broadcastBytes`` (default: Spark's broadcast
+width against ``spark.mercata.lookup.broadcastBytes`` (default: Spark's broadcast
 threshold).  Larger lookups take a shuffle join, where AQE can still split a hot
 fact key (left side of a left join).
 """

@@ -179,7 +179,8 @@ def sheet_frame(rows: DataFrame, plan: SheetPlan) -> DataFrame | None:
     cells = [(name, F.get(F.col("values"), i), F.get(F.col("kinds"), i)) for i, name in enumerate(plan.columns)]
     probes = []
     for i, (_, v, k) in enumerate(cells):
-        integral = k.eqNullSafe("n") & (F.try_cast(v, "double") == F.try_cast(F.try_cast(v, "double"), "bigint"))
+        as_double = v.try_cast("double")
+        integral = k.eqNullSafe("n") & (as_double == as_double.try_cast("bigint"))
         probes += [F.count(v).alias(f"n{i}"),
                    F.count(F.when(integral, 1)).alias(f"i{i}"),
                    F.count(F.when(k == "n", 1)).alias(f"f{i}"),
@@ -193,9 +194,9 @@ def sheet_frame(rows: DataFrame, plan: SheetPlan) -> DataFrame | None:
     for i, (name, v, _) in enumerate(cells):
         n = stats[f"n{i}"]
         if n and stats[f"i{i}"] == n:
-            col = F.try_cast(F.try_cast(v, "double"), "bigint")
+            col = v.try_cast("double").try_cast("bigint")
         elif n and stats[f"f{i}"] == n:
-            col = F.try_cast(v, "double")
+            col = v.try_cast("double")
         elif n and stats[f"b{i}"] == n:
             col = v.cast("boolean")
         elif n and stats[f"d{i}"] == n:

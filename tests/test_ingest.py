@@ -1,0 +1,89 @@
+"""Landing -> raw tables: delimited and workbook ingest, dispatch rules."""
+
+import datetime as dt
+import os
+
+import pytest
+
+from mercata.sources.catalog import ensure_namespace
+from mercata.sources.delimited import ingest_delimited, read_delimited, table_name_for
+from mercata.sources.landing import ingest_landing, list_landing
+from mercata.sources.workbook import decode_workbook
+from xlsx_writer import write_xlsx
+
+
+def _write(path, text):
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_table_name_from_file_stem():
+    assert table_name_for("/x/Sales Data-2023 (final).csv") == "sales_data_2023_final"
+
+
+def test_delimited_inference_and_override(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "Geo Codes.csv")
+    _write(p, "Postal Code,City,Opened\n02421,Lexington,2021-01-03\n10001,New York,2020-05-01\n")
+    df = read_delimited(spark, p)
+    assert dict(df.dtypes) == {"Postal Code": "int", "City": "string", "Opened": "date"}
+    assert sorted(r[0] for r in df.collect()) == [2421, 10001]
+    kept = read_delimited(spark, p, overrides={"Postal Code": "string"})
+    assert sorted(r[0] for r in kept.collect()) == ["02421", "10001"]
+    ensure_namespace(spark, "t_raw")
+    res = ingest_delimited(spark, p, "t_raw")
+    assert (res.table, res.rows, res.columns) == ("geo_codes", 2, 3)
+    assert spark.table("t_raw.geo_codes").count() == 2
+
+
+def test_workbook_decoding(tmp_dir):
+    p = os.path.join(tmp_dir, "book.xlsx")
+    write_xlsx(p, {"Orders": [["Order ID", "Qty", "Price", "Day", "Flag"],
+                              ["A-1", 3, 1.5, dt.date(2021, 1, 3), True],
+                              ["A-2", None, 2.25, dt.date(2020, 2, 29), False]]})
+    recs = list(decode_workbook(p, open(p, "rb").read()))
+    assert recs[1][3] == ["A-1", "3", "1.5", "2021-01-03", "true"]
+    assert recs[1][4] == ["s", "n", "n", "d", "b"]
+    assert recs[2][3] == ["A-2", None, "2.25", "2020-02-29", "false"]
+
+
+def test_landing_dispatch_workbook_and_csv(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(os.path.join(land, "archive"))
+    write_xlsx(os.path.join(land, "Superstore.xlsx"), {
+        "Orders": [["Order ID", "Order Date", "Quantity", "Sales", "Sub-Category", "Returned?"],
+                   ["O-1", dt.date(2021, 1, 3), 2, 10.5, "Chairs", True],
+                   ["O-2", dt.date(2021, 1, 4), 1, 3, "Tables", False]],
+        "Empty Sheet": [["only", "a header"]],
+        "People": [["Regional Manager", "Region"], ["Mia", "West"]],
+    })
+    _write(os.path.join(land, "Returns.csv"), "order_id,returned\nO-1,Yes\n")
+    _write(os.path.join(land, "notes.txt"), "ignored")
+    _write(os.path.join(land, "archive", "old.csv"), "a\n1\n")
+    assert [os.path.basename(p) for p in list_landing(spark, land)] == ["Returns.csv", "Superstore.xlsx", "notes.txt"]
+    ensure_namespace(spark, "t_land")
+    res = {r.table: r for r in ingest_landing(spark, land, "t_land")}
+    assert set(res) == {"orders", "people", "returns"}  # empty sheet skipped, txt skipped, sub-folder ignored
+    orders = spark.table("t_land.orders")
+    assert orders.dtypes == [("order_id", "string"), ("order_date", "date"), ("quantity", "bigint"),
+                             ("sales", "double"), ("sub_category", "string"), ("returned?", "boolean")]
+    assert sorted(r["order_date"] for r in orders.collect()) == [dt.date(2021, 1, 3), dt.date(2021, 1, 4)]
+    assert spark.table("t_land.people").first()["regional_manager"] == "Mia"
+
+
+def test_landing_name_collision_stops_before_writing(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    _write(os.path.join(land, "Returns.csv"), "a\n1\n")
+    _write(os.path.join(land, "returns.csv"), "a\n2\n")
+    ensure_namespace(spark, "t_collide")
+    with pytest.raises(ValueError, match="both land in raw table 'returns'"):
+        ingest_landing(spark, land, "t_collide")
+    assert spark.catalog.listTables("t_collide") == []
+
+
+def test_legacy_xls_is_rejected(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    _write(os.path.join(land, "old.xls"), "binary")
+    with pytest.raises(ValueError, match="legacy .xls"):
+        ingest_landing(spark, land, "t_raw")
