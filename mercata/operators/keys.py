@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercata.config import ensure_checkpoint_dir, key_partitions
@@ -90,9 +90,22 @@ def with_dense_key(df: DataFrame, key: str, natural: Sequence[str], *, unique: b
     return Keyed(keyed, pos.rows)
 
 
-def with_rank_desc(df: DataFrame, value: str, rank_col: str, *, partitions: int | None = None) -> DataFrame:
-    """``rank() OVER (ORDER BY value DESC NULLS LAST)`` as an int column, distributed."""
+# A global window runs in one task; it is used only below this proven row bound.
+SINGLE_TASK_RANK_ROWS = 1_000_000
+
+
+def with_rank_desc(df: DataFrame, value: str, rank_col: str, *, partitions: int | None = None,
+                   max_rows: int | None = None) -> DataFrame:
+    """``rank() OVER (ORDER BY value DESC NULLS LAST)`` as an int column.
+
+    ``max_rows`` is a proven upper bound of ``df``'s row count (e.g. the size of
+    the dimension whose key the rows are grouped by).  Under the single-task
+    bound a plain window is cheaper; otherwise, or without a bound, the rank is
+    computed from distributed positions.
+    """
     order = [F.col(value).desc_nulls_last()]
+    if max_rows is not None and max_rows <= SINGLE_TASK_RANK_ROWS:
+        return df.withColumn(rank_col, F.rank().over(Window.orderBy(*order)))
     pos = global_positions(df, order, split_ties=True, partitions=partitions).frame
     firsts = pos.groupBy(F.col(value).alias(_FIRST + "_v")).agg(F.min(POSITION).alias(_FIRST))
     joined = pos.join(firsts, pos[value].eqNullSafe(firsts[_FIRST + "_v"]), "inner")

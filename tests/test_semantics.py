@@ -193,3 +193,15 @@ def test_revenue_totals_are_preserved(spark):
                  "agg_state_performance"):
         col = "lifetime_revenue" if name == "agg_customer_lifetime_value" else "total_revenue"
         assert marts.MARTS[name](star).agg(F.sum(col)).first()[0] == pytest.approx(total), name
+
+
+def test_ranks_distributed_path_matches(spark, monkeypatch):
+    from mercata.operators import keys
+
+    lines = [dict(order_id=f"O-{i}", product_id=f"P-{i}", sales=s, profit=p)
+             for i, (s, p) in enumerate([(50.0, 1.0), (50.0, 2.0), (20.0, 2.0), (None, None)])]
+    star = star_of(spark, lines)
+    window = rows(marts.agg_product_performance(star), "product_id", "revenue_rank", "profit_rank")
+    monkeypatch.setattr(keys, "SINGLE_TASK_RANK_ROWS", 0)
+    distributed = rows(marts.agg_product_performance(star), "product_id", "revenue_rank", "profit_rank")
+    assert distributed == window == [("P-0", 1, 3), ("P-1", 1, 1), ("P-2", 3, 1), ("P-3", 4, 4)]
