@@ -5,13 +5,14 @@
 1. ``repartitionByRange`` on the order (plus a per-row tie-breaker when equal
    rows may be many, so even a hot value or a mass of duplicate rows spreads over
    several ranges) and ``sortWithinPartitions``;
-2. ``checkpoint`` into the shared checkpoint folder: range bounds are sampled, so
-   the layout is pinned before positions are derived from it (this also cuts the
-   lineage, so a lost executor re-reads the pinned rows instead of re-sampling);
-3. one small aggregate of rows per partition (one row per partition reaches the
-   driver) -> prefix sums -> an offsets literal;
-4. position = offset[partition] + index inside the partition, the index being the
-   low 33 bits of ``monotonically_increasing_id`` on the pinned partitions.
+2. in the same task, the range's partition id and each row's index inside it
+   (low 33 bits of ``monotonically_increasing_id``) are attached, and the rows
+   are written as a parquet table below the shared checkpoint folder: range
+   bounds are sampled, so the layout is pinned before positions are derived from
+   it (this also cuts the lineage: a lost executor re-reads the files);
+3. rows per partition from the pinned table (reads one int column; one row per
+   partition reaches the driver) -> prefix sums -> an offsets literal;
+4. position = offset[partition] + index inside the partition.
 
 A dense key is ``position + 1`` (equal to ``row_number()`` over the order).  A
 rank is ``1 + min(position)`` over the rows sharing the ranked value (equal to
@@ -27,11 +28,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercata.config import ensure_checkpoint_dir, key_partitions
+from mercata.config import key_partitions, scratch_path
 
 POSITION = "__mercata_pos"
 _TIE = "__mercata_tie"
 _FIRST = "__mercata_first"
+_PART = "__mercata_part"
+_LOCAL = "__mercata_local"
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition id above bit 33
 
 
@@ -44,30 +47,33 @@ class Positioned:
 def global_positions(df: DataFrame, order: Sequence[Column], *, split_ties: bool,
                      partitions: int | None = None) -> Positioned:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or key_partitions(spark)
     sort = list(order)
     if split_ties:
         df = df.withColumn(_TIE, F.monotonically_increasing_id())
         sort.append(F.col(_TIE).asc())
-    pinned = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort).checkpoint(eager=True)
-
-    per_part = pinned.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    counts = {int(r["p"]): int(r["count"]) for r in per_part}
+    ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    # partition id and index inside it are taken in the task that sorted the range
+    pid = F.spark_partition_id()
+    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _LOCAL_BITS)
+    staged = ranged.select(*[F.col(f"`{c}`") for c in df.columns if c != _TIE],
+                           pid.alias(_PART), local.alias(_LOCAL))
+    path = scratch_path(spark, "pinned")
+    staged.write.parquet(path)  # pins the sampled layout; a lost executor re-reads these files
+    pinned = spark.read.parquet(path)
+
+    per_part = pinned.groupBy(_PART).count().collect()  # reads one int column; one row per range
+    counts = {int(r[_PART]): int(r["count"]) for r in per_part}
     offsets, total = [], 0
     for p in range(max(counts, default=-1) + 1):
         offsets.append(total)
         total += counts.get(p, 0)
 
-    pid = F.spark_partition_id()
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _LOCAL_BITS)
     if offsets:
-        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
+        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1)
     else:
         offset = F.lit(0).cast("long")
-    out = pinned.withColumn(POSITION, offset + local)
-    if split_ties:
-        out = out.drop(_TIE)
+    out = pinned.withColumn(POSITION, offset + F.col(_LOCAL)).drop(_PART, _LOCAL)
     return Positioned(out, total)
 
 
