@@ -124,7 +124,7 @@ def build_dim_date(orders: DataFrame, date_columns: Sequence[str] = ("order_date
 
 def build_dimensions(orders: DataFrame, people: DataFrame,
                      specs: Sequence[DimensionSpec] = ORDER_DIMENSIONS,
-                     max_workers: int = 4) -> Mapping[str, Dimension]:
+                     max_workers: int = 8) -> Mapping[str, Dimension]:
     """All keyed dimensions; independent builds are submitted concurrently."""
     from mercata.plans.concurrency import run_concurrently
 

@@ -14,7 +14,7 @@ from typing import TypeVar
 T = TypeVar("T")
 
 
-def run_concurrently(tasks: Mapping[str, Callable[[], T]], max_workers: int = 4) -> dict[str, T]:
+def run_concurrently(tasks: Mapping[str, Callable[[], T]], max_workers: int = 8) -> dict[str, T]:
     if len(tasks) <= 1 or max_workers <= 1:
         return {name: fn() for name, fn in tasks.items()}
     with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:

@@ -41,7 +41,7 @@ def write_parquet(df: DataFrame, path: str) -> int:
     return int(obs.get["rows"])
 
 
-def save_frames(frames: Mapping[str, DataFrame], root: str, max_workers: int = 4) -> tuple[dict, dict]:
+def save_frames(frames: Mapping[str, DataFrame], root: str, max_workers: int = 8) -> tuple[dict, dict]:
     """Write every frame to ``root/<name>``; return the re-read frames and their row counts."""
     spark = next(iter(frames.values())).sparkSession
     rows = run_concurrently({n: (lambda n=n, df=df: write_parquet(df, f"{root}/{n}"))
@@ -67,7 +67,7 @@ def run_bronze(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
 
 
 def run_silver(spark: SparkSession, layers: Layers = Layers(),
-               date_formats: Sequence[str] | None = None, max_workers: int = 4) -> dict[str, int]:
+               date_formats: Sequence[str] | None = None, max_workers: int = 8) -> dict[str, int]:
     ensure_namespace(spark, layers.star)
     raw = {t: spark.table(qualified(layers.raw, t)) for t in RAW_TABLES}
     star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, max_workers)
@@ -83,7 +83,7 @@ def saved_star(spark: SparkSession, database: str, rows: Mapping[str, int] | Non
 
 
 def run_gold(spark: SparkSession, layers: Layers = Layers(), star_rows: Mapping[str, int] | None = None,
-             max_workers: int = 4) -> dict[str, int]:
+             max_workers: int = 8) -> dict[str, int]:
     ensure_namespace(spark, layers.reporting)
     star = saved_star(spark, layers.star, star_rows)
     return run_concurrently({name: (lambda name=name, fn=fn: overwrite_table(fn(star), layers.reporting, name))

@@ -21,7 +21,7 @@ STAR_TABLES = ("dim_customer", "dim_product", "dim_geography", "dim_ship_mode",
 
 
 def build_star(orders: DataFrame, people: DataFrame, returns: DataFrame,
-               date_formats: Sequence[str] | None = None, max_workers: int = 4) -> StarTables:
+               date_formats: Sequence[str] | None = None, max_workers: int = 8) -> StarTables:
     dims = build_dimensions(orders, people, max_workers=max_workers)
     dim_date = build_dim_date(orders, formats=date_formats)
     facts = run_concurrently({
