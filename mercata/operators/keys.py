@@ -97,7 +97,23 @@ def with_dense_key(df: DataFrame, key: str, natural: Sequence[str], *, unique: b
 
 
 # A global window runs in one task; it is used only below this proven row bound.
-SINGLE_TASK_RANK_ROWS = 1_000_000
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def within_single_task(max_rows: int | None) -> bool:
+    return max_rows is not None and max_rows <= SINGLE_TASK_ROWS
+
+
+def grand_total(df: DataFrame, col: str, *, max_rows: int | None = None) -> Column:
+    """``sum(col)`` over all rows of ``df``, as a column usable on every row.
+
+    Under the proven single-task bound this is a window over the whole (small)
+    input; otherwise a scalar subquery, which aggregates partially everywhere but
+    evaluates ``df`` a second time.
+    """
+    if within_single_task(max_rows):
+        return F.sum(col).over(Window.partitionBy())
+    return df.select(F.sum(col)).scalar()
 
 
 def with_rank_desc(df: DataFrame, value: str, rank_col: str, *, partitions: int | None = None,
@@ -110,7 +126,7 @@ def with_rank_desc(df: DataFrame, value: str, rank_col: str, *, partitions: int
     computed from distributed positions.
     """
     order = [F.col(value).desc_nulls_last()]
-    if max_rows is not None and max_rows <= SINGLE_TASK_RANK_ROWS:
+    if within_single_task(max_rows):
         return df.withColumn(rank_col, F.rank().over(Window.orderBy(*order)))
     pos = global_positions(df, order, split_ties=True, partitions=partitions).frame
     firsts = pos.groupBy(F.col(value).alias(_FIRST + "_v")).agg(F.min(POSITION).alias(_FIRST))

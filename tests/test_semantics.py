@@ -202,6 +202,19 @@ def test_ranks_distributed_path_matches(spark, monkeypatch):
              for i, (s, p) in enumerate([(50.0, 1.0), (50.0, 2.0), (20.0, 2.0), (None, None)])]
     star = star_of(spark, lines)
     window = rows(marts.agg_product_performance(star), "product_id", "revenue_rank", "profit_rank")
-    monkeypatch.setattr(keys, "SINGLE_TASK_RANK_ROWS", 0)
+    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 0)
     distributed = rows(marts.agg_product_performance(star), "product_id", "revenue_rank", "profit_rank")
     assert distributed == window == [("P-0", 1, 3), ("P-1", 1, 1), ("P-2", 3, 1), ("P-3", 4, 4)]
+
+
+def test_shares_subquery_path_matches(spark, monkeypatch):
+    from mercata.operators import keys
+
+    lines = [dict(order_id="O-1", ship_mode="First Class", sales=30.0), dict(order_id="O-2", ship_mode="Freight", sales=10.0),
+             dict(order_id="O-3", ship_mode="Freight", sales=60.0)]
+    star = star_of(spark, lines)
+    window = rows(marts.agg_shipping_analysis(star), "ship_mode", "revenue_share_pct", "order_share_pct")
+    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 0)
+    subquery = rows(marts.agg_shipping_analysis(star), "ship_mode", "revenue_share_pct", "order_share_pct")
+    assert subquery == window
+    assert [r[1] for r in window] == [30.0, 70.0]
