@@ -14,7 +14,7 @@ def to_date_col(col: Column | str, formats: Sequence[str] | None = None) -> Colu
     c = F.col(col) if isinstance(col, str) else col
     if not formats:
         return c.cast("date")
-    return F.coalesce(*[F.try_to_date(c.cast("string"), F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c.cast("string"), f) for f in formats])
 
 
 def date_key(date: Column) -> Column:

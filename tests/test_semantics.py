@@ -189,8 +189,8 @@ def test_revenue_totals_are_preserved(spark):
     lines = [dict(order_id=f"O-{i}", product_id=f"P-{i % 3}", sales=float(i)) for i in range(1, 20)]
     star = star_of(spark, lines)
     total = star.fact_sales.agg(F.sum("revenue")).first()[0]
-    for name in ("agg_monthly_sales", "agg_product_performance", "agg_category_trends", "agg_shipping_analysis",
-                 "agg_state_performance"):
+    for name in ("agg_monthly_sales", "agg_customer_lifetime_value", "agg_product_performance",
+                 "agg_category_trends", "agg_shipping_analysis", "agg_state_performance"):
         col = "lifetime_revenue" if name == "agg_customer_lifetime_value" else "total_revenue"
         assert marts.MARTS[name](star).agg(F.sum(col)).first()[0] == pytest.approx(total), name
 
@@ -218,3 +218,11 @@ def test_shares_subquery_path_matches(spark, monkeypatch):
     subquery = rows(marts.agg_shipping_analysis(star), "ship_mode", "revenue_share_pct", "order_share_pct")
     assert subquery == window
     assert [r[1] for r in window] == [30.0, 70.0]
+
+
+def test_us_style_dates_with_formats(spark):
+    from mercata.functions.calendar import to_date_col
+
+    df = spark.createDataFrame([("11/8/2023",), ("2023-11-09",), ("junk",), (None,)], "d string")
+    got = [r[0] for r in df.select(to_date_col("d", ["M/d/yyyy", "yyyy-MM-dd"])).collect()]
+    assert got == [dt.date(2023, 11, 8), dt.date(2023, 11, 9), None, None]
