@@ -69,9 +69,15 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(v) if v not in (None, "") else default
 
 
-def key_partitions(spark: SparkSession) -> int:
-    """Range partitions used to pin a sort layout (defaults to the shuffle width)."""
-    return conf_int(spark, KEY_PARTITIONS, conf_int(spark, "spark.sql.shuffle.partitions", 200))
+def key_partitions(spark: SparkSession) -> int | None:
+    """Fixed number of range partitions used to pin a sort layout, if configured.
+
+    Unset (the default) leaves the count to the shuffle width and AQE, which
+    merges neighbouring ranges of small inputs (order is kept: only contiguous
+    ranges are merged), so a five-row dimension does not become thousands of files.
+    """
+    v = spark.conf.get(KEY_PARTITIONS, None)
+    return int(v) if v not in (None, "") else None
 
 
 def lookup_broadcast_bytes(spark: SparkSession) -> int:

@@ -52,7 +52,7 @@ def global_positions(df: DataFrame, order: Sequence[Column], *, split_ties: bool
     if split_ties:
         df = df.withColumn(_TIE, F.monotonically_increasing_id())
         sort.append(F.col(_TIE).asc())
-    ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    ranged = (df.repartitionByRange(n, *sort) if n else df.repartitionByRange(*sort)).sortWithinPartitions(*sort)
     # partition id and index inside it are taken in the task that sorted the range
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _LOCAL_BITS)

@@ -21,7 +21,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.mercata.key.partitions", "4")
         .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .getOrCreate()
