@@ -89,11 +89,18 @@ def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.layer_row_counts(spark, STAR_CHECK_DB)
 
 
+def layer_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health verdict of the materialised star layer (listing and every count must succeed)."""
+    layer_row_counts(spark, sf_dir)
+    return quality.health_check(spark, STAR_CHECK_DB)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_identifiers": clean_identifiers,
         "ingest_delimited_roundtrip": ingest_delimited_roundtrip,
         "layer_row_counts": layer_row_counts,
+        "layer_health": layer_health,
         "filter_returned": filter_returned,
     }
     for t in STAR_TABLES:

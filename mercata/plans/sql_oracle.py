@@ -242,6 +242,9 @@ EXTRA_FINAL: dict[str, str] = {
     "layer_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{'DIMENSION' if t.startswith('dim_') else 'FACT'}' AS table_kind, "
         f"COUNT(*) AS row_count FROM {t}" for t in _STAR),
+    "layer_health": "SELECT 'mercata_star_check' AS database, TRUE AS healthy, CAST(8 AS INTEGER) AS table_count, "
+                    "CAST((" + " + ".join(f"(SELECT COUNT(*) FROM {t})" for t in _STAR) + ") AS BIGINT) AS total_rows, "
+                    "CAST(NULL AS VARCHAR) AS error",
     "duplicate_lookup_keys": """
       SELECT 'dim_customer' AS dimension, customer_id AS lookup_value, COUNT(*) AS member_rows
         FROM dim_customer WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING COUNT(*) > 1
