@@ -87,3 +87,44 @@ def test_legacy_xls_is_rejected(spark, tmp_dir):
     _write(os.path.join(land, "old.xls"), "binary")
     with pytest.raises(ValueError, match="legacy .xls"):
         ingest_landing(spark, land, "t_raw")
+
+
+def _raw_xlsx(path, sheet_xml, *, date1904=False, numfmts="", xfs='<xf numFmtId="0"/>'):
+    import zipfile
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(path, "w") as z:
+        pr = '<workbookPr date1904="1"/>' if date1904 else ""
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}">{pr}<sheets>'
+                                      f'<sheet name="Data" sheetId="1" r:id="rId7"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId7" Target="/xl/worksheets/data.xml" Type="x"/></Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><numFmts>{numfmts}</numFmts>'
+                                    f'<cellXfs>{xfs}</cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/data.xml", f'<worksheet xmlns="{main}"><sheetData>{sheet_xml}</sheetData></worksheet>')
+
+
+def test_workbook_cell_kinds_and_epochs(tmp_dir):
+    p = os.path.join(tmp_dir, "edge.xlsx")
+    rows = ('<row r="1"><c r="A1" t="inlineStr"><is><t>Name</t></is></c><c r="C1" t="inlineStr"><is><r><t>Wh</t></r>'
+            '<r><t>en</t></r></is></c></row>'
+            '<row r="3"><c r="A3" t="str"><f>A1</f><v>calc</v></c><c r="B3" t="e"><v>#DIV/0!</v></c>'
+            '<c r="C3" s="1"><v>0</v></c><c r="D3" s="2"><v>43831.5</v></c></row>')
+    fmts = '<numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd hh:mm"/>'
+    _raw_xlsx(p, rows, date1904=True, numfmts=fmts,
+              xfs='<xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/>')
+    recs = list(decode_workbook(p, open(p, "rb").read()))
+    assert [r[2] for r in recs] == [1, 3]  # row numbers as stored; the empty row 2 is absent
+    assert recs[0][3] == ["Name", None, "When"]
+    assert recs[1][3][:3] == ["calc", "#DIV/0!", "1904-01-01"]
+    assert recs[1][3][3].startswith("2024-01-02 12:00:00") and recs[1][4][3] == "t"
+
+
+def test_workbook_1900_leap_bug_serials(tmp_dir):
+    p = os.path.join(tmp_dir, "leap.xlsx")
+    rows = "".join(f'<row r="{i}"><c r="A{i}" s="1"><v>{v}</v></c></row>' for i, v in enumerate([59, 61, 1], start=1))
+    _raw_xlsx(p, rows, xfs='<xf numFmtId="0"/><xf numFmtId="14"/>')
+    got = [r[3][0] for r in decode_workbook(p, open(p, "rb").read())]
+    assert got == ["1900-02-28", "1900-03-01", "1900-01-01"]
