@@ -17,9 +17,19 @@ def qualified(database: str, table: str) -> str:
     return f"`{database}`.`{table}`"
 
 
+def table_location(spark: SparkSession, database: str, table: str) -> str:
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
+
+
 def overwrite_table(df: DataFrame, database: str, table: str) -> int:
-    """Replace the table; the row count is observed during the write (no second job)."""
+    """Replace the table; the row count is observed during the write (no second job).
+
+    The files go to an explicit folder below the database location, so a re-run
+    replaces them even when the catalog has forgotten the table (a session-local
+    catalog) instead of failing on a leftover managed folder.
+    """
     obs = Observation(f"rows_{table}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(
-        qualified(database, table))
+    path = table_location(df.sparkSession, database, table)
+    (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+       .option("path", path).saveAsTable(qualified(database, table)))
     return int(obs.get["rows"])
