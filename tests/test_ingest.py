@@ -49,7 +49,7 @@ def test_workbook_decoding(tmp_dir):
 def test_landing_dispatch_workbook_and_csv(spark, tmp_dir):
     land = os.path.join(tmp_dir, "landing")
     os.makedirs(os.path.join(land, "archive"))
-    write_xlsx(os.path.join(land, "Superstore.xlsx"), {
+    write_xlsx(os.path.join(land, "Retail.xlsx"), {
         "Orders": [["Order ID", "Order Date", "Quantity", "Sales", "Sub-Category", "Returned?"],
                    ["O-1", dt.date(2021, 1, 3), 2, 10.5, "Chairs", True],
                    ["O-2", dt.date(2021, 1, 4), 1, 3, "Tables", False]],
@@ -59,7 +59,7 @@ def test_landing_dispatch_workbook_and_csv(spark, tmp_dir):
     _write(os.path.join(land, "Returns.csv"), "order_id,returned\nO-1,Yes\n")
     _write(os.path.join(land, "notes.txt"), "ignored")
     _write(os.path.join(land, "archive", "old.csv"), "a\n1\n")
-    assert [os.path.basename(p) for p in list_landing(spark, land)] == ["Returns.csv", "Superstore.xlsx", "notes.txt"]
+    assert [os.path.basename(p) for p in list_landing(spark, land)] == ["Returns.csv", "Retail.xlsx", "notes.txt"]
     ensure_namespace(spark, "t_land")
     res = {r.table: r for r in ingest_landing(spark, land, "t_land")}
     assert set(res) == {"orders", "people", "returns"}  # empty sheet skipped, txt skipped, sub-folder ignored

@@ -24,7 +24,7 @@ def test_run_all_layers(spark, tmp_dir):
     lines = [_line(1, "CA-1", "C-1", "P-1", 261.96, 41.91, dt.date(2021, 11, 8)),
              _line(2, "CA-1", "C-1", "P-2", 731.94, 219.58, dt.date(2021, 11, 8)),
              _line(3, "CA-2", "C-2", "P-1", 14.62, 6.87, dt.date(2022, 6, 12))]
-    write_xlsx(os.path.join(land, "Sample - Superstore.xlsx"), {
+    write_xlsx(os.path.join(land, "Retail Sample.xlsx"), {
         "Orders": [HEADER, *lines],
         "People": [["Regional Manager", "Region"], ["Chuck", "South"]],
         "Returns": [["Returned", "Order ID"], ["Yes", "CA-1"]],
