@@ -59,7 +59,7 @@ def test_landing_dispatch_workbook_and_csv(spark, tmp_dir):
     _write(os.path.join(land, "Returns.csv"), "order_id,returned\nO-1,Yes\n")
     _write(os.path.join(land, "notes.txt"), "ignored")
     _write(os.path.join(land, "archive", "old.csv"), "a\n1\n")
-    assert [os.path.basename(p) for p in list_landing(spark, land)] == ["Returns.csv", "Retail.xlsx", "notes.txt"]
+    assert [os.path.basename(p) for p in list_landing(spark, land)] == ["Retail.xlsx", "Returns.csv", "notes.txt"]
     ensure_namespace(spark, "t_land")
     res = {r.table: r for r in ingest_landing(spark, land, "t_land")}
     assert set(res) == {"orders", "people", "returns"}  # empty sheet skipped, txt skipped, sub-folder ignored
