@@ -18,7 +18,8 @@ from pyspark.sql import SparkSession
 
 from mercata.sources.catalog import overwrite_table
 from mercata.sources.delimited import IngestResult, ingest_delimited, table_name_for
-from mercata.sources.workbook import decoded_rows, plan_sheets, sheet_frame
+from mercata.config import scratch_path
+from mercata.sources.workbook import decoded_rows, pin_decoded, plan_sheets, sheet_frame
 
 log = logging.getLogger(__name__)
 
@@ -53,7 +54,7 @@ def ingest_landing(spark: SparkSession, directory: str, database: str,
 
     rows, sheets = None, []
     if books:
-        rows = decoded_rows(spark, books).checkpoint(eager=True)
+        rows = pin_decoded(decoded_rows(spark, books), scratch_path(spark, "workbooks"))
         sheets = plan_sheets(rows)
     planned: dict[str, str] = {}
     for source, table in [(p, table_name_for(p)) for p in csvs] + [(f"{s.workbook}#{s.sheet}", s.table) for s in sheets]:

@@ -6,14 +6,16 @@ Spark job, not a driver-side reader:
 2. ``mapInPandas`` decodes each workbook (zip + XML, standard library only) and
    emits one row per sheet row: (workbook, sheet, row_no, values, kinds), where
    ``kinds`` tags each cell as s(tring) / n(umber) / b(oolean) / d(ate) / t(imestamp);
-3. the decoded rows are pinned (checkpoint) because every sheet reads them;
-4. per sheet: the first row is the header (names cleaned, collisions rejected),
-   the rest are data; column types are inferred with one aggregate job over the
+3. the decoded rows are pinned once as parquet partitioned by sheet (every
+   sheet is read by several jobs; a per-sheet read prunes to its folder);
+4. the first row of each sheet is its header (names cleaned, collisions
+   rejected); column types of *all* sheets are inferred by one aggregate over the
    cell kinds (all integral numbers -> bigint, numbers -> double, booleans,
-   dates, timestamps, anything mixed -> string), then cast in one projection.
+   dates, timestamps, anything mixed -> string);
+5. per sheet, one projection casts the cells and the table is written.
 
-Only the small things reach the driver: sheet names, header cells, and one row
-of per-column type counts per sheet.
+Only the small things reach the driver: header cells and one row of kind
+counts per sheet column.
 """
 
 from __future__ import annotations
@@ -150,60 +152,102 @@ def decoded_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.mapInPandas(_decode_batches, ROWS_SCHEMA)
 
 
+SHEET = "sheet_id"  # partition column of the pinned rows: one folder per sheet
+
+
+def pin_decoded(rows: DataFrame, path: str) -> DataFrame:
+    """Write the decoded rows once, partitioned by sheet, and read them back.
+
+    Every sheet is read by several jobs (header, type probe, table write); the
+    pinned copy is decoded once, survives a lost executor, and a per-sheet read
+    prunes to that sheet's folder.
+    """
+    (rows.withColumn(SHEET, F.xxhash64("workbook", "sheet"))
+         .write.partitionBy(SHEET).parquet(path))
+    return rows.sparkSession.read.parquet(path)
+
+
 @dataclass(frozen=True)
 class SheetPlan:
     workbook: str
     sheet: str
+    sheet_id: int
     table: str
     header_row: int
     columns: list[str]
+    types: list[str]  # one of bigint, double, boolean, date, timestamp, string
+    data_rows: int
+
+
+_KINDS = ("n", "i", "f", "b", "d", "t")
+
+
+def plan_sheets(pinned: DataFrame) -> list[SheetPlan]:
+    """Header (first row) and inferred column types of every sheet, in two small jobs.
+
+    Only per-sheet headers and per-column kind counts reach the driver.
+    """
+    first = pinned.groupBy(SHEET, "workbook", "sheet").agg(F.min("row_no").alias("header_row"))
+    headers = (pinned.join(F.broadcast(first), [SHEET, "workbook", "sheet"])
+               .where(F.col("row_no") == F.col("header_row"))
+               .select(SHEET, "workbook", "sheet", "header_row", "values").collect())
+    data = (pinned.join(F.broadcast(first), [SHEET, "workbook", "sheet"], "left")
+            .where(F.col("row_no") > F.col("header_row")))
+    cells = data.select(SHEET, F.posexplode(F.arrays_zip("values", "kinds")).alias("pos", "cell"))
+    v, k = F.col("cell.values"), F.col("cell.kinds")
+    as_double = v.try_cast("double")
+    stats = (cells.groupBy(SHEET, "pos").agg(
+        F.count(v).alias("n"),
+        F.count(F.when(k.eqNullSafe("n") & (as_double == as_double.try_cast("bigint")), 1)).alias("i"),
+        F.count(F.when(k == "n", 1)).alias("f"),
+        F.count(F.when(k == "b", 1)).alias("b"),
+        F.count(F.when(k == "d", 1)).alias("d"),
+        F.count(F.when(k.isin("d", "t"), 1)).alias("t")).collect())
+    rows_per_sheet = {r[SHEET]: r["count"] for r in data.groupBy(SHEET).count().collect()}
+    by_sheet: dict[int, dict[int, dict]] = {}
+    for r in stats:
+        by_sheet.setdefault(r[SHEET], {})[r["pos"]] = {kd: r[kd] for kd in _KINDS}
 
-
-def plan_sheets(rows: DataFrame) -> list[SheetPlan]:
-    """First row of each sheet = header.  Only header rows reach the driver."""
-    w = rows.groupBy("workbook", "sheet").agg(F.min("row_no").alias("header_row"))
-    headers = (rows.join(w, ["workbook", "sheet"]).where(F.col("row_no") == F.col("header_row"))
-               .select("workbook", "sheet", "header_row", "values").collect())
     plans = []
     for h in sorted(headers, key=lambda r: (r["workbook"], r["sheet"])):
-        raw = [v if v is not None else f"Unnamed: {i}" for i, v in enumerate(h["values"])]
-        plans.append(SheetPlan(h["workbook"], h["sheet"], clean_name(h["sheet"]), h["header_row"],
-                               clean_names(raw, what=f"sheet {h['sheet']!r} column")))
+        raw = [val if val is not None else f"Unnamed: {i}" for i, val in enumerate(h["values"])]
+        names = clean_names(raw, what=f"sheet {h['sheet']!r} column")
+        col_stats = by_sheet.get(h[SHEET], {})
+        plans.append(SheetPlan(h["workbook"], h["sheet"], h[SHEET], clean_name(h["sheet"]), h["header_row"],
+                               names, [_infer(col_stats.get(i)) for i in range(len(names))],
+                               rows_per_sheet.get(h[SHEET], 0)))
     return plans
 
 
-def sheet_frame(rows: DataFrame, plan: SheetPlan) -> DataFrame | None:
+def _infer(c: dict | None) -> str:
+    """All non-empty cells integral -> bigint, numeric -> double, boolean, date, date/time; else string."""
+    if not c or not c["n"]:
+        return "string"
+    for kind, type_name in (("i", "bigint"), ("f", "double"), ("b", "boolean"), ("d", "date"), ("t", "timestamp")):
+        if c[kind] == c["n"]:
+            return type_name
+    return "string"
+
+
+def _typed(value, type_name: str):
+    if type_name == "bigint":
+        return value.try_cast("double").try_cast("bigint")
+    if type_name == "double":
+        return value.try_cast("double")
+    if type_name == "boolean":
+        return value.cast("boolean")
+    if type_name == "date":
+        return F.to_date(value)
+    if type_name == "timestamp":
+        return F.to_timestamp(value)
+    return value
+
+
+def sheet_frame(pinned: DataFrame, plan: SheetPlan) -> DataFrame | None:
     """Typed DataFrame of one sheet's data rows; None when the sheet has no data rows."""
-    data = rows.where((F.col("workbook") == plan.workbook) & (F.col("sheet") == plan.sheet)
-                      & (F.col("row_no") > plan.header_row))
-    cells = [(name, F.get(F.col("values"), i), F.get(F.col("kinds"), i)) for i, name in enumerate(plan.columns)]
-    probes = []
-    for i, (_, v, k) in enumerate(cells):
-        as_double = v.try_cast("double")
-        integral = k.eqNullSafe("n") & (as_double == as_double.try_cast("bigint"))
-        probes += [F.count(v).alias(f"n{i}"),
-                   F.count(F.when(integral, 1)).alias(f"i{i}"),
-                   F.count(F.when(k == "n", 1)).alias(f"f{i}"),
-                   F.count(F.when(k == "b", 1)).alias(f"b{i}"),
-                   F.count(F.when(k == "d", 1)).alias(f"d{i}"),
-                   F.count(F.when(k.isin("d", "t"), 1)).alias(f"t{i}")]
-    stats = data.agg(F.count(F.lit(1)).alias("rows"), *probes).first()
-    if stats["rows"] == 0:
+    if plan.data_rows == 0:
         return None
-    out = []
-    for i, (name, v, _) in enumerate(cells):
-        n = stats[f"n{i}"]
-        if n and stats[f"i{i}"] == n:
-            col = v.try_cast("double").try_cast("bigint")
-        elif n and stats[f"f{i}"] == n:
-            col = v.try_cast("double")
-        elif n and stats[f"b{i}"] == n:
-            col = v.cast("boolean")
-        elif n and stats[f"d{i}"] == n:
-            col = F.to_date(v)
-        elif n and stats[f"t{i}"] == n:
-            col = F.to_timestamp(v)
-        else:
-            col = v
-        out.append(col.alias(name))
-    return data.select(*out)
+    data = pinned.where((F.col(SHEET) == plan.sheet_id) & (F.col("workbook") == plan.workbook)
+                        & (F.col("sheet") == plan.sheet) & (F.col("row_no") > plan.header_row))
+    return data.select(*[_typed(F.get(F.col("values"), i), t).alias(name)
+                         for i, (name, t) in enumerate(zip(plan.columns, plan.types))])
