@@ -10,6 +10,7 @@ registered queries and the bench, which must not touch the user's catalog).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,7 +37,7 @@ class Layers:
 
 # ------------------------------------------------------------------ path-based layers
 def write_parquet(df: DataFrame, path: str) -> int:
-    obs = Observation("rows")
+    obs = Observation(f"rows_{uuid.uuid4().hex}")  # unique: writes run concurrently
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return int(obs.get["rows"])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def overwrite_table(df: DataFrame, database: str, table: str) -> int:
     replaces them even when the catalog has forgotten the table (a session-local
     catalog) instead of failing on a leftover managed folder.
     """
-    obs = Observation(f"rows_{table}")
+    obs = Observation(f"rows_{table}_{uuid.uuid4().hex}")  # unique: writes run concurrently
     path = table_location(df.sparkSession, database, table)
     (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
        .option("path", path).saveAsTable(qualified(database, table)))
