@@ -25,11 +25,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--reporting", default="reporting")
     ap.add_argument("--date-format", action="append", dest="date_formats",
                     help="text date format to try (repeatable), e.g. M/d/yyyy")
+    ap.add_argument("--on-duplicate", choices=("keep", "first"), default="keep",
+                    help="keep: fan fact rows out over every member of an id (default); first: lowest key only")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("mercata").getOrCreate()
     ensure_checkpoint_dir(spark)
     layers = Layers(args.raw, args.star, args.reporting)
-    out = run_all(spark, args.landing, layers, date_formats=args.date_formats)
+    out = run_all(spark, args.landing, layers, date_formats=args.date_formats, on_duplicate=args.on_duplicate)
     verdicts = {db: health_check(spark, db).first().asDict() for db in (layers.raw, layers.star, layers.reporting)}
     print(json.dumps({"bronze": [asdict(r) for r in out["bronze"]], "silver": out["silver"], "gold": out["gold"],
                       "health": verdicts}, default=str))

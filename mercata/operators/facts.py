@@ -32,15 +32,15 @@ _LOOKUPS = (
 )
 
 
-def _lookup_all(df: DataFrame, dims: Mapping[str, Dimension], which) -> DataFrame:
+def _lookup_all(df: DataFrame, dims: Mapping[str, Dimension], which, on_duplicate: str = "keep") -> DataFrame:
     for spec, on in which:
         dim = dims[spec.name]
-        df = left_lookup(df, dim.frame, dim.rows, on, [spec.key])
+        df = left_lookup(df, dim.frame, dim.rows, on, [spec.key], on_duplicate)
     return df
 
 
 def build_fact_sales(orders: DataFrame, dims: Mapping[str, Dimension],
-                     date_formats: Sequence[str] | None = None) -> Keyed:
+                     date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> Keyed:
     needed = ["order_id", "order_date", "ship_date", "customer_id", "product_id", "country/region",
               "state/province", "city", "postal_code", "ship_mode", "sales", "quantity", "discount",
               "profit"]
@@ -49,7 +49,7 @@ def build_fact_sales(orders: DataFrame, dims: Mapping[str, Dimension],
         date_key(to_date_col("order_date", date_formats)).alias("order_date_key"),
         date_key(to_date_col("ship_date", date_formats)).alias("ship_date_key"),
     )
-    looked = _lookup_all(base, dims, _LOOKUPS)
+    looked = _lookup_all(base, dims, _LOOKUPS, on_duplicate)
     sales, profit = F.col("sales"), F.col("profit")
     measured = looked.select(
         "order_id", "order_date_key", "ship_date_key", "customer_key", "product_key",
@@ -71,7 +71,7 @@ def returned_orders(returns: DataFrame, flag_value: str = "Yes") -> DataFrame:
 
 
 def build_fact_returns(orders: DataFrame, returns: DataFrame, dims: Mapping[str, Dimension],
-                       date_formats: Sequence[str] | None = None) -> Keyed:
+                       date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> Keyed:
     """One row per (return event, distinct order line of that order).
 
     Expressed as inner join + anti join instead of one left join: identical rows,
@@ -89,7 +89,7 @@ def build_fact_returns(orders: DataFrame, returns: DataFrame, dims: Mapping[str,
                  .select("order_id", *[F.lit(None).cast(lines.schema[c].dataType).alias(c)
                                        for c in ("customer_id", "product_id", "order_date", "region")]))
     expanded = matched.unionByName(unmatched)
-    looked = _lookup_all(expanded, dims, _LOOKUPS[:2])
+    looked = _lookup_all(expanded, dims, _LOOKUPS[:2], on_duplicate)
     shaped = looked.select(
         "order_id",
         date_key(to_date_col("order_date", date_formats)).alias("order_date_key"),

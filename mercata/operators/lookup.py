@@ -44,16 +44,25 @@ def sized(df: DataFrame, rows: int | None) -> DataFrame:
     return df
 
 
+ON_DUPLICATE = ("keep", "first")
+
+
 def left_lookup(fact: DataFrame, dim: DataFrame, dim_rows: int | None,
-                on: Sequence[tuple[str, str]], take: Sequence[str]) -> DataFrame:
+                on: Sequence[tuple[str, str]], take: Sequence[str], on_duplicate: str = "keep") -> DataFrame:
     """Attach ``take`` columns of ``dim`` to every fact row.
 
     ``on`` pairs (fact column, dim column); equality is NULL-intolerant, so a
     NULL in any key column leaves the looked-up columns NULL.  Several dim rows
-    per key fan the fact row out (kept on purpose: the reference semantics).
+    per key fan the fact row out (``on_duplicate="keep"``, the source
+    warehouse's semantics); ``"first"`` keeps only the lowest value of each
+    ``take`` column per key (one row per key, no fan-out).
     """
+    if on_duplicate not in ON_DUPLICATE:
+        raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
     alias = {d: f"__lk_{i}" for i, (_, d) in enumerate(on)}
     right = dim.select(*[F.col(d).alias(alias[d]) for _, d in on], *take)
+    if on_duplicate == "first":  # at most as many rows as before, so the size bound still holds
+        right = right.groupBy(*alias.values()).agg(*[F.min(c).alias(c) for c in take])
     right = sized(right, dim_rows)
     cond = None
     for f_col, d_col in on:

@@ -68,10 +68,11 @@ def run_bronze(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
 
 
 def run_silver(spark: SparkSession, layers: Layers = Layers(),
-               date_formats: Sequence[str] | None = None, max_workers: int = 8) -> dict[str, int]:
+               date_formats: Sequence[str] | None = None, max_workers: int = 8,
+               on_duplicate: str = "keep") -> dict[str, int]:
     ensure_namespace(spark, layers.star)
     raw = {t: spark.table(qualified(layers.raw, t)) for t in RAW_TABLES}
-    star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, max_workers)
+    star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, max_workers, on_duplicate)
     return run_concurrently({t: (lambda t=t: overwrite_table(getattr(star, t), layers.star, t))
                              for t in STAR_TABLES}, max_workers)
 
@@ -93,8 +94,8 @@ def run_gold(spark: SparkSession, layers: Layers = Layers(), star_rows: Mapping[
 
 def run_all(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
             overrides: Mapping[str, Mapping[str, str]] | None = None,
-            date_formats: Sequence[str] | None = None) -> dict:
+            date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> dict:
     bronze = run_bronze(spark, landing_dir, layers, overrides)
-    silver = run_silver(spark, layers, date_formats)
+    silver = run_silver(spark, layers, date_formats, on_duplicate=on_duplicate)
     gold = run_gold(spark, layers, star_rows=silver)
     return {"bronze": bronze, "silver": silver, "gold": gold}

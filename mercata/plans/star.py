@@ -21,12 +21,15 @@ STAR_TABLES = ("dim_customer", "dim_product", "dim_geography", "dim_ship_mode",
 
 
 def build_star(orders: DataFrame, people: DataFrame, returns: DataFrame,
-               date_formats: Sequence[str] | None = None, max_workers: int = 8) -> StarTables:
+               date_formats: Sequence[str] | None = None, max_workers: int = 8,
+               on_duplicate: str = "keep") -> StarTables:
+    """``on_duplicate="keep"`` fans a fact row out over every member of a business id
+    (the source warehouse); ``"first"`` looks up only the lowest key per id."""
     dims = build_dimensions(orders, people, max_workers=max_workers)
     dim_date = build_dim_date(orders, formats=date_formats)
     facts = run_concurrently({
-        "fact_sales": lambda: build_fact_sales(orders, dims, date_formats),
-        "fact_returns": lambda: build_fact_returns(orders, returns, dims, date_formats),
+        "fact_sales": lambda: build_fact_sales(orders, dims, date_formats, on_duplicate),
+        "fact_returns": lambda: build_fact_returns(orders, returns, dims, date_formats, on_duplicate),
     }, max_workers)
     rows = {name: d.rows for name, d in dims.items()}
     rows.update({name: k.rows for name, k in facts.items()})

@@ -226,3 +226,12 @@ def test_us_style_dates_with_formats(spark):
     df = spark.createDataFrame([("11/8/2023",), ("2023-11-09",), ("junk",), (None,)], "d string")
     got = [r[0] for r in df.select(to_date_col("d", ["M/d/yyyy", "yyyy-MM-dd"])).collect()]
     assert got == [dt.date(2023, 11, 8), dt.date(2023, 11, 9), None, None]
+
+
+def test_on_duplicate_first_keeps_lowest_member(spark):
+    lines = [dict(order_id="O-1", customer_name="Ann"), dict(order_id="O-2", customer_name="Anne")]
+    star = build_star(toy.orders(spark, lines), toy.people(spark, [("Mia", "West")]), toy.returns(spark, []),
+                      on_duplicate="first")
+    assert star.dim_customer.count() == 2  # the dimension keeps both members
+    got = rows(star.fact_sales, "order_id", "customer_key")
+    assert got == [("O-1", 1), ("O-2", 1)]  # no fan-out; both lines use the lowest key of C-1
