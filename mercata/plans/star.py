@@ -10,12 +10,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercata.operators.dims import build_dim_date, build_dimensions
 from mercata.operators.facts import build_fact_returns, build_fact_sales
 from mercata.operators.marts import StarTables
 from mercata.plans.concurrency import run_concurrently
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """Missing numbers are NULL: NaN (how pandas marks them) would *match* NaN in a
+    lookup join, whereas a missing value must never match."""
+    fix = {f.name: F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast(f.dataType))
+           for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.withColumns(fix) if fix else df
+
+
 STAR_TABLES = ("dim_customer", "dim_product", "dim_geography", "dim_ship_mode", "dim_date",
                "dim_regional_manager", "fact_sales", "fact_returns")
 
@@ -25,6 +35,7 @@ def build_star(orders: DataFrame, people: DataFrame, returns: DataFrame,
                on_duplicate: str = "keep") -> StarTables:
     """``on_duplicate="keep"`` fans a fact row out over every member of a business id
     (the source warehouse); ``"first"`` looks up only the lowest key per id."""
+    orders, people, returns = nan_as_null(orders), nan_as_null(people), nan_as_null(returns)
     dims = build_dimensions(orders, people, max_workers=max_workers)
     dim_date = build_dim_date(orders, formats=date_formats)
     facts = run_concurrently({

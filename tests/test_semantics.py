@@ -235,3 +235,14 @@ def test_on_duplicate_first_keeps_lowest_member(spark):
     assert star.dim_customer.count() == 2  # the dimension keeps both members
     got = rows(star.fact_sales, "order_id", "customer_key")
     assert got == [("O-1", 1), ("O-2", 1)]  # no fan-out; both lines use the lowest key of C-1
+
+
+def test_nan_is_a_missing_value(spark):
+    lines = [dict(order_id="O-1", sales=float("nan"), profit=1.0), dict(order_id="O-2", sales=10.0, profit=2.0)]
+    df = toy.orders(spark, lines).withColumn("postal_code", F.when(F.col("order_id") == "O-1", F.lit(float("nan")))
+                                              .otherwise(F.lit(90001.0)))
+    star = build_star(df, toy.people(spark, [("Mia", "West")]), toy.returns(spark, []))
+    got = {r["order_id"]: r for r in star.fact_sales.collect()}
+    assert got["O-1"]["revenue"] is None and got["O-1"]["profit_margin"] == 0.0
+    assert got["O-1"]["geography_key"] is None  # a missing postal code never matches, not even itself
+    assert got["O-2"]["geography_key"] is not None
