@@ -17,7 +17,9 @@
 A dense key is ``position + 1`` (equal to ``row_number()`` over the order).  A
 rank is ``1 + min(position)`` over the rows sharing the ranked value (equal to
 ``rank()``), computed with a partially aggregated group-by and a join, so a value
-shared by a third of the rows never lands in one task.
+shared by a third of the rows never lands in one task.  When the caller proves
+the input is small (a row bound such as a dimension's member count), ranks and
+grand totals use a plain window instead: one task over at most that many rows.
 """
 
 from __future__ import annotations
