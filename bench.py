@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from mercata.config import build_session, scratch_path  # noqa: E402
 from mercata.operators import marts, quality  # noqa: E402
-from mercata.plans.pipeline import materialize_raw, materialize_star  # noqa: E402
+from mercata.plans.layers import materialize_raw, materialize_star  # noqa: E402
 from mercata.plans.star import build_star  # noqa: E402
 from mercata.sources.delimited import read_delimited  # noqa: E402
 from mercata.sources.driver_tables import retail_inputs  # noqa: E402

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from mercata.config import ensure_checkpoint_dir
 from mercata.operators.quality import health_check
-from mercata.plans.pipeline import Layers, run_all
+from mercata.plans.layers import Layers, run_all
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -4,7 +4,7 @@ import datetime as dt
 import os
 
 from mercata.operators.quality import health_check, layer_row_counts
-from mercata.plans.pipeline import Layers, run_all
+from mercata.plans.layers import Layers, run_all
 from xlsx_writer import write_xlsx
 
 HEADER = ["Row ID", "Order ID", "Order Date", "Ship Date", "Ship Mode", "Customer ID", "Customer Name", "Segment",
