@@ -8,7 +8,7 @@ aggregation, so only distinct tuples reach the range shuffle of the key step.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -120,14 +120,3 @@ def build_dim_date(orders: DataFrame, date_columns: Sequence[str] = ("order_date
     d = F.col("date")
     return dates.select(date_key(d).alias("date_key"), d,
                         *[c.alias(n) for n, c in calendar_attributes(d).items()]).orderBy("date")
-
-
-def build_dimensions(orders: DataFrame, people: DataFrame,
-                     specs: Sequence[DimensionSpec] = ORDER_DIMENSIONS,
-                     max_workers: int = 8) -> Mapping[str, Dimension]:
-    """All keyed dimensions; independent builds are submitted concurrently."""
-    from mercata.plans.concurrency import run_concurrently
-
-    tasks = {s.name: (lambda s=s: build_dimension(orders, s)) for s in specs}
-    tasks[REGIONAL_MANAGER.name] = lambda: build_dimension(people, REGIONAL_MANAGER)
-    return run_concurrently(tasks, max_workers)

@@ -20,3 +20,28 @@ def run_concurrently(tasks: Mapping[str, Callable[[], T]], max_workers: int = 8)
     with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
         futures = {name: pool.submit(fn) for name, fn in tasks.items()}
         return {name: f.result() for name, f in futures.items()}
+
+
+def run_graph(tasks: Mapping[str, tuple[tuple[str, ...], Callable[[dict], T]]]) -> dict[str, T]:
+    """Run every task as soon as the tasks it depends on have finished.
+
+    ``tasks`` maps a name to (names it depends on, fn(results of those)); it must
+    be listed in dependency order.  One thread per task, so a task waiting for its
+    inputs never holds back one that could run.
+    """
+    seen: set[str] = set()
+    for name, (deps, _) in tasks.items():
+        missing = [d for d in deps if d not in seen]
+        if missing:
+            raise ValueError(f"{name} depends on {missing}, which are not listed before it")
+        seen.add(name)
+    futures: dict = {}
+
+    def run(name: str):
+        deps, fn = tasks[name]
+        return fn({d: futures[d].result() for d in deps})
+
+    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
+        for name in tasks:
+            futures[name] = pool.submit(run, name)
+        return {name: f.result() for name, f in futures.items()}

@@ -72,7 +72,7 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(),
                on_duplicate: str = "keep") -> dict[str, int]:
     ensure_namespace(spark, layers.star)
     raw = {t: spark.table(qualified(layers.raw, t)) for t in RAW_TABLES}
-    star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, max_workers, on_duplicate)
+    star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, on_duplicate)
     return run_concurrently({t: (lambda t=t: overwrite_table(getattr(star, t), layers.star, t))
                              for t in STAR_TABLES}, max_workers)
 

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercata.operators.dims import build_dim_date, build_dimensions
+from mercata.operators.dims import (CUSTOMER, ORDER_DIMENSIONS, PRODUCT, REGIONAL_MANAGER, build_dim_date,
+                                    build_dimension)
 from mercata.operators.facts import build_fact_returns, build_fact_sales
 from mercata.operators.marts import StarTables
-from mercata.plans.concurrency import run_concurrently
+from mercata.plans.concurrency import run_graph
 
 def nan_as_null(df: DataFrame) -> DataFrame:
     """Missing numbers are NULL: NaN (how pandas marks them) would *match* NaN in a
@@ -31,17 +32,21 @@ STAR_TABLES = ("dim_customer", "dim_product", "dim_geography", "dim_ship_mode",
 
 
 def build_star(orders: DataFrame, people: DataFrame, returns: DataFrame,
-               date_formats: Sequence[str] | None = None, max_workers: int = 8,
-               on_duplicate: str = "keep") -> StarTables:
+               date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> StarTables:
     """``on_duplicate="keep"`` fans a fact row out over every member of a business id
     (the source warehouse); ``"first"`` looks up only the lowest key per id."""
     orders, people, returns = nan_as_null(orders), nan_as_null(people), nan_as_null(returns)
-    dims = build_dimensions(orders, people, max_workers=max_workers)
+    # each fact starts as soon as the dimensions it looks up are keyed
+    tasks = {s.name: ((), lambda _, s=s: build_dimension(orders, s)) for s in ORDER_DIMENSIONS}
+    tasks[REGIONAL_MANAGER.name] = ((), lambda _: build_dimension(people, REGIONAL_MANAGER))
+    tasks["fact_returns"] = ((CUSTOMER.name, PRODUCT.name),
+                             lambda d: build_fact_returns(orders, returns, d, date_formats, on_duplicate))
+    tasks["fact_sales"] = (tuple(s.name for s in ORDER_DIMENSIONS),
+                           lambda d: build_fact_sales(orders, d, date_formats, on_duplicate))
+    built = run_graph(tasks)
+    dims = {n: built[n] for n in (*[s.name for s in ORDER_DIMENSIONS], REGIONAL_MANAGER.name)}
+    facts = {n: built[n] for n in ("fact_sales", "fact_returns")}
     dim_date = build_dim_date(orders, formats=date_formats)
-    facts = run_concurrently({
-        "fact_sales": lambda: build_fact_sales(orders, dims, date_formats, on_duplicate),
-        "fact_returns": lambda: build_fact_returns(orders, returns, dims, date_formats, on_duplicate),
-    }, max_workers)
     rows = {name: d.rows for name, d in dims.items()}
     rows.update({name: k.rows for name, k in facts.items()})
     return StarTables(
