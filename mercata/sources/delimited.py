@@ -31,8 +31,17 @@ def table_name_for(path: str) -> str:
 
 
 def read_delimited(spark: SparkSession, path: str, *, overrides: Mapping[str, str] | None = None,
-                   sep: str = ",") -> DataFrame:
+                   schema: str | None = None, sep: str = ",") -> DataFrame:
+    """Header + inferred types (the default), re-typed columns, or a full DDL schema.
+
+    Inference reads the whole file once more before the data pass; a full
+    ``schema`` skips that pass, which matters for large landing files.
+    """
     reader = spark.read.option("header", "true").option("sep", sep)
+    if schema:
+        if overrides:
+            raise ValueError("give either a full schema or per-column overrides, not both")
+        return reader.schema(schema).csv(path)
     if not overrides:
         return reader.option("inferSchema", "true").csv(path)
     inferred = reader.option("inferSchema", "true").csv(path).schema
@@ -44,8 +53,8 @@ def read_delimited(spark: SparkSession, path: str, *, overrides: Mapping[str, st
 
 
 def ingest_delimited(spark: SparkSession, path: str, database: str,
-                     overrides: Mapping[str, str] | None = None) -> IngestResult:
-    df = read_delimited(spark, path, overrides=overrides)
+                     overrides: Mapping[str, str] | None = None, schema: str | None = None) -> IngestResult:
+    df = read_delimited(spark, path, overrides=overrides, schema=schema)
     table = table_name_for(path)
     rows = overwrite_table(df, database, table)
     return IngestResult(path, table, rows, len(df.columns))

@@ -41,7 +41,9 @@ def list_landing(spark: SparkSession, directory: str) -> list[str]:
 
 
 def ingest_landing(spark: SparkSession, directory: str, database: str,
-                   overrides: Mapping[str, Mapping[str, str]] | None = None) -> list[IngestResult]:
+                   overrides: Mapping[str, Mapping[str, str]] | None = None,
+                   schemas: Mapping[str, str] | None = None) -> list[IngestResult]:
+    """Ingest every supported file; ``overrides`` / ``schemas`` are keyed by raw table name."""
     files = list_landing(spark, directory)
     csvs = [p for p in files if p.endswith(DELIMITED_SUFFIX)]
     books = [p for p in files if p.endswith(WORKBOOK_SUFFIXES)]
@@ -71,6 +73,7 @@ def ingest_landing(spark: SparkSession, directory: str, database: str,
         n = overwrite_table(df, database, s.table)
         results.append(IngestResult(f"{s.workbook}#{s.sheet}", s.table, n, len(df.columns)))
     for p in csvs:
-        results.append(ingest_delimited(spark, p, database, (overrides or {}).get(table_name_for(p))))
+        t = table_name_for(p)
+        results.append(ingest_delimited(spark, p, database, (overrides or {}).get(t), (schemas or {}).get(t)))
     return results
 

@@ -128,3 +128,12 @@ def test_workbook_1900_leap_bug_serials(tmp_dir):
     _raw_xlsx(p, rows, xfs='<xf numFmtId="0"/><xf numFmtId="14"/>')
     got = [r[3][0] for r in decode_workbook(p, open(p, "rb").read())]
     assert got == ["1900-02-28", "1900-03-01", "1900-01-01"]
+
+
+def test_delimited_full_schema_skips_inference(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "codes.csv")
+    _write(p, "Postal Code,City\n02421,Lexington\n")
+    df = read_delimited(spark, p, schema="`Postal Code` string, City string")
+    assert df.collect()[0][0] == "02421"
+    with pytest.raises(ValueError, match="either a full schema"):
+        read_delimited(spark, p, schema="a string", overrides={"a": "int"})
