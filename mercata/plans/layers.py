@@ -62,9 +62,10 @@ def materialize_star(star: StarTables, root: str) -> StarTables:
 
 # ------------------------------------------------------------------ catalog layers
 def run_bronze(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
-               overrides: Mapping[str, Mapping[str, str]] | None = None):
+               overrides: Mapping[str, Mapping[str, str]] | None = None,
+               schemas: Mapping[str, str] | None = None):
     ensure_namespace(spark, layers.raw)
-    return ingest_landing(spark, landing_dir, layers.raw, overrides=overrides)
+    return ingest_landing(spark, landing_dir, layers.raw, overrides=overrides, schemas=schemas)
 
 
 def run_silver(spark: SparkSession, layers: Layers = Layers(),
@@ -94,8 +95,9 @@ def run_gold(spark: SparkSession, layers: Layers = Layers(), star_rows: Mapping[
 
 def run_all(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
             overrides: Mapping[str, Mapping[str, str]] | None = None,
-            date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> dict:
-    bronze = run_bronze(spark, landing_dir, layers, overrides)
+            date_formats: Sequence[str] | None = None, on_duplicate: str = "keep",
+            schemas: Mapping[str, str] | None = None) -> dict:
+    bronze = run_bronze(spark, landing_dir, layers, overrides, schemas)
     silver = run_silver(spark, layers, date_formats, on_duplicate=on_duplicate)
     gold = run_gold(spark, layers, star_rows=silver)
     return {"bronze": bronze, "silver": silver, "gold": gold}
