@@ -1,0 +1,2 @@
+"""DataFrame operators: dense keys and ranks (``keys``), size-checked lookups (``lookup``),
+dimension / fact / mart builders (``dims``, ``facts``, ``marts``) and audits (``quality``)."""
