@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercata.operators.dims import CUSTOMER, GEOGRAPHY, PRODUCT, REGIONAL_MANAGER, SHIP_MODE
-from mercata.operators.marts import StarTables
+from mercata.operators.star_tables import StarTables
 
 DIMENSION_PREFIX = "dim_"
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.operators import marts
-from mercata.operators.marts import StarTables
+from mercata.operators.star_tables import StarTables
 from mercata.plans.concurrency import run_concurrently
 from mercata.plans.star import STAR_TABLES, build_star, star_from_tables
 from mercata.sources.catalog import ensure_namespace, overwrite_table, qualified

@@ -15,7 +15,7 @@ from mercata.config import scratch_path
 from mercata.functions.naming import clean_name_col
 from mercata.operators import marts, quality
 from mercata.operators.facts import returned_orders
-from mercata.operators.marts import StarTables
+from mercata.operators.star_tables import StarTables
 from mercata.plans.layers import materialize_raw, materialize_star
 from mercata.plans.star import STAR_TABLES, build_star
 from mercata.sources.catalog import ensure_namespace, overwrite_table

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from mercata.operators.dims import (CUSTOMER, ORDER_DIMENSIONS, PRODUCT, REGIONAL_MANAGER, build_dim_date,
                                     build_dimension)
 from mercata.operators.facts import build_fact_returns, build_fact_sales
-from mercata.operators.marts import StarTables
+from mercata.operators.star_tables import StarTables
 from mercata.plans.concurrency import run_graph
 
 def nan_as_null(df: DataFrame) -> DataFrame:
