@@ -42,3 +42,21 @@ def test_run_all_layers(spark, tmp_dir):
     assert health_check(spark, layers.reporting).first()["healthy"] is True
     bad = health_check(spark, "no_such_layer").first()
     assert bad["healthy"] is False and bad["error"]
+
+
+def test_cli_runs_all_layers(spark, tmp_dir, capsys):
+    import json
+
+    from mercata.__main__ import main
+
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    write_xlsx(os.path.join(land, "Retail Sample.xlsx"), {
+        "Orders": [HEADER, _line(1, "CA-9", "C-9", "P-9", 20.0, 5.0, dt.date(2022, 3, 1))],
+        "People": [["Regional Manager", "Region"], ["Chuck", "South"]],
+        "Returns": [["Returned", "Order ID"], ["Yes", "CA-9"]],
+    })
+    main(["--landing", land, "--raw", "c_raw", "--star", "c_star", "--reporting", "c_rep", "--on-duplicate", "first"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["silver"]["fact_sales"] == 1 and out["gold"]["agg_monthly_sales"] == 1
+    assert all(v["healthy"] for v in out["health"].values())
