@@ -80,18 +80,31 @@ def ingest_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAR_CHECK_DB = "mercata_star_check"
 
 
-def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Materialise the star layer into its namespace, then audit it table by table."""
+_SAVED: set[tuple[str, str]] = set()
+
+
+def _save_star_layer(spark: SparkSession, sf_dir: str) -> None:
+    """Write the star tables into their namespace once per (application, data folder)."""
+    key = _key(spark, sf_dir)
+    if key in _SAVED:
+        return
     star = star_for(spark, sf_dir)
     ensure_namespace(spark, STAR_CHECK_DB, scratch_path(spark, "star-db"))
     for t in STAR_TABLES:
         overwrite_table(getattr(star, t), STAR_CHECK_DB, t)
+    _SAVED.clear()  # the namespace now holds this folder's star only
+    _SAVED.add(key)
+
+
+def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Materialise the star layer into its namespace, then audit it table by table."""
+    _save_star_layer(spark, sf_dir)
     return quality.layer_row_counts(spark, STAR_CHECK_DB)
 
 
 def layer_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Health verdict of the materialised star layer (listing and every count must succeed)."""
-    layer_row_counts(spark, sf_dir)
+    _save_star_layer(spark, sf_dir)
     return quality.health_check(spark, STAR_CHECK_DB)
 
 
