@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mercata.functions.naming import clean_names
 from mercata.operators import marts
 from mercata.operators.star_tables import StarTables
 from mercata.plans.concurrency import run_concurrently
@@ -72,7 +73,9 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(),
                date_formats: Sequence[str] | None = None, max_workers: int = 8,
                on_duplicate: str = "keep") -> dict[str, int]:
     ensure_namespace(spark, layers.star)
-    raw = {t: spark.table(qualified(layers.raw, t)) for t in RAW_TABLES}
+    # sheet columns are cleaned at ingest, CSV headers are not; cleaning again is a no-op
+    raw = {t: (lambda df, t=t: df.toDF(*clean_names(df.columns, what=f"raw table {t!r} column")))(
+        spark.table(qualified(layers.raw, t))) for t in RAW_TABLES}
     star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, on_duplicate)
     return run_concurrently({t: (lambda t=t: overwrite_table(getattr(star, t), layers.star, t))
                              for t in STAR_TABLES}, max_workers)

@@ -60,3 +60,22 @@ def test_cli_runs_all_layers(spark, tmp_dir, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["silver"]["fact_sales"] == 1 and out["gold"]["agg_monthly_sales"] == 1
     assert all(v["healthy"] for v in out["health"].values())
+
+
+def test_csv_landed_orders_build_the_star(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    with open(os.path.join(land, "Orders.csv"), "w") as f:
+        f.write(",".join(HEADER) + "\n")
+        for ln in [_line(1, "CA-1", "C-1", "P-1", 10.5, 2.5, dt.date(2021, 5, 1)),
+                   _line(2, "CA-2", "C-2", "P-1", 4.0, -1.0, dt.date(2021, 6, 1))]:
+            f.write(",".join(str(v) for v in ln) + "\n")
+    with open(os.path.join(land, "People.csv"), "w") as f:
+        f.write("Regional Manager,Region\nChuck,South\n")
+    with open(os.path.join(land, "Returns.csv"), "w") as f:
+        f.write("Returned,Order ID\nYes,CA-2\n")
+    layers = Layers(raw="t_csv_raw", star="t_csv_star", reporting="t_csv_rep")
+    out = run_all(spark, land, layers, overrides={"orders": {"Postal Code": "string"}})
+    assert out["silver"]["fact_sales"] == 2 and out["silver"]["fact_returns"] == 1
+    geo = spark.table(f"{layers.star}.dim_geography").first()
+    assert geo["postal_code"] == "42420" and geo["country"] == "United States"
