@@ -61,6 +61,22 @@ def materialize_star(star: StarTables, root: str) -> StarTables:
     return star_from_tables(frames, rows)
 
 
+def parquet_sink(root: str):
+    """Sink for ``build_star``: one parquet folder per table below ``root``."""
+    def sink(name: str, df: DataFrame) -> tuple[DataFrame, int]:
+        n = write_parquet(df, f"{root}/{name}")
+        return df.sparkSession.read.parquet(f"{root}/{name}"), n
+    return sink
+
+
+def catalog_sink(database: str):
+    """Sink for ``build_star``: overwrite ``database.<name>``."""
+    def sink(name: str, df: DataFrame) -> tuple[DataFrame, int]:
+        n = overwrite_table(df, database, name)
+        return df.sparkSession.table(qualified(database, name)), n
+    return sink
+
+
 # ------------------------------------------------------------------ catalog layers
 def run_bronze(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
                overrides: Mapping[str, Mapping[str, str]] | None = None,
@@ -70,15 +86,15 @@ def run_bronze(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
 
 
 def run_silver(spark: SparkSession, layers: Layers = Layers(),
-               date_formats: Sequence[str] | None = None, max_workers: int = 8,
-               on_duplicate: str = "keep") -> dict[str, int]:
+               date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> dict[str, int]:
+    """Raw tables -> star tables; each table is written as soon as it is built."""
     ensure_namespace(spark, layers.star)
     # sheet columns are cleaned at ingest, CSV headers are not; cleaning again is a no-op
     raw = {t: (lambda df, t=t: df.toDF(*clean_names(df.columns, what=f"raw table {t!r} column")))(
         spark.table(qualified(layers.raw, t))) for t in RAW_TABLES}
-    star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, on_duplicate)
-    return run_concurrently({t: (lambda t=t: overwrite_table(getattr(star, t), layers.star, t))
-                             for t in STAR_TABLES}, max_workers)
+    star = build_star(raw["orders"], raw["people"], raw["returns"], date_formats, on_duplicate,
+                      sink=catalog_sink(layers.star))
+    return dict(star.rows)
 
 
 def saved_star(spark: SparkSession, database: str, rows: Mapping[str, int] | None = None) -> StarTables:

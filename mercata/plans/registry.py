@@ -16,7 +16,7 @@ from mercata.functions.naming import clean_name_col
 from mercata.operators import marts, quality
 from mercata.operators.facts import returned_orders
 from mercata.operators.star_tables import StarTables
-from mercata.plans.layers import materialize_raw, materialize_star
+from mercata.plans.layers import materialize_raw, parquet_sink
 from mercata.plans.star import STAR_TABLES, build_star
 from mercata.sources.catalog import ensure_namespace, overwrite_table
 from mercata.sources.delimited import read_delimited
@@ -45,8 +45,8 @@ def star_for(spark: SparkSession, sf_dir: str) -> StarTables:
     key = _key(spark, sf_dir)
     if key not in _STARS:
         raw = raw_for(spark, sf_dir)
-        _STARS[key] = materialize_star(build_star(raw.orders, raw.people, raw.returns),
-                                       scratch_path(spark, "star"))
+        _STARS[key] = build_star(raw.orders, raw.people, raw.returns,
+                                 sink=parquet_sink(scratch_path(spark, "star")))
     return _STARS[key]
 
 

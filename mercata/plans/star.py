@@ -2,12 +2,13 @@
 
 Dimensions are built (and pinned by their key step) before the facts look them
 up, which is the ordering the source warehouse gets by saving and re-reading
-the dimension tables.  Independent builds run concurrently.
+the dimension tables.  Independent builds (and, with a sink, the table writes)
+run concurrently.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,35 +32,44 @@ STAR_TABLES = ("dim_customer", "dim_product", "dim_geography", "dim_ship_mode",
                "dim_regional_manager", "fact_sales", "fact_returns")
 
 
+# A sink writes one star table and returns it re-read, with its row count.
+Sink = Callable[[str, DataFrame], tuple[DataFrame, int]]
+
+
+def _frame(built) -> DataFrame:
+    return built if isinstance(built, DataFrame) else built.frame
+
+
 def build_star(orders: DataFrame, people: DataFrame, returns: DataFrame,
-               date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> StarTables:
-    """``on_duplicate="keep"`` fans a fact row out over every member of a business id
-    (the source warehouse); ``"first"`` looks up only the lowest key per id."""
+               date_formats: Sequence[str] | None = None, on_duplicate: str = "keep",
+               sink: Sink | None = None) -> StarTables:
+    """Build (and with ``sink``, save) the star.
+
+    Each fact starts as soon as the dimensions it looks up are keyed, and with a
+    sink each table is written as soon as it is built, so dimension writes
+    overlap the fact builds.  ``on_duplicate="keep"`` fans a fact row out over
+    every member of a business id (the source warehouse); ``"first"`` looks up
+    only the lowest key per id.
+    """
     orders, people, returns = nan_as_null(orders), nan_as_null(people), nan_as_null(returns)
-    # each fact starts as soon as the dimensions it looks up are keyed
     tasks = {s.name: ((), lambda _, s=s: build_dimension(orders, s)) for s in ORDER_DIMENSIONS}
     tasks[REGIONAL_MANAGER.name] = ((), lambda _: build_dimension(people, REGIONAL_MANAGER))
+    tasks["dim_date"] = ((), lambda _: build_dim_date(orders, formats=date_formats))
     tasks["fact_returns"] = ((CUSTOMER.name, PRODUCT.name),
                              lambda d: build_fact_returns(orders, returns, d, date_formats, on_duplicate))
     tasks["fact_sales"] = (tuple(s.name for s in ORDER_DIMENSIONS),
                            lambda d: build_fact_sales(orders, d, date_formats, on_duplicate))
+    if sink is not None:
+        for t in STAR_TABLES:
+            tasks[f"saved:{t}"] = ((t,), lambda d, t=t: sink(t, _frame(d[t])))
     built = run_graph(tasks)
-    dims = {n: built[n] for n in (*[s.name for s in ORDER_DIMENSIONS], REGIONAL_MANAGER.name)}
-    facts = {n: built[n] for n in ("fact_sales", "fact_returns")}
-    dim_date = build_dim_date(orders, formats=date_formats)
-    rows = {name: d.rows for name, d in dims.items()}
-    rows.update({name: k.rows for name, k in facts.items()})
-    return StarTables(
-        fact_sales=facts["fact_sales"].frame,
-        fact_returns=facts["fact_returns"].frame,
-        dim_customer=dims["dim_customer"].frame,
-        dim_product=dims["dim_product"].frame,
-        dim_geography=dims["dim_geography"].frame,
-        dim_date=dim_date,
-        dim_ship_mode=dims["dim_ship_mode"].frame,
-        dim_regional_manager=dims["dim_regional_manager"].frame,
-        rows=rows,
-    )
+    if sink is not None:
+        frames = {t: built[f"saved:{t}"][0] for t in STAR_TABLES}
+        rows = {t: built[f"saved:{t}"][1] for t in STAR_TABLES}
+    else:
+        frames = {t: _frame(built[t]) for t in STAR_TABLES}
+        rows = {t: built[t].rows for t in STAR_TABLES if not isinstance(built[t], DataFrame)}
+    return star_from_tables(frames, rows)
 
 
 def star_from_tables(tables: dict[str, DataFrame], rows: dict | None = None) -> StarTables:
