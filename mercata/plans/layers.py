@@ -56,11 +56,6 @@ def materialize_raw(inputs: RetailInputs, root: str) -> RetailInputs:
     return RetailInputs(frames["orders"], frames["people"], frames["returns"])
 
 
-def materialize_star(star: StarTables, root: str) -> StarTables:
-    frames, rows = save_frames({t: getattr(star, t) for t in STAR_TABLES}, root)
-    return star_from_tables(frames, rows)
-
-
 def parquet_sink(root: str):
     """Sink for ``build_star``: one parquet folder per table below ``root``."""
     def sink(name: str, df: DataFrame) -> tuple[DataFrame, int]:
