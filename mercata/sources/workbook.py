@@ -71,7 +71,17 @@ def _serial_to_iso(serial: float, epoch_1904: bool) -> tuple[str, str]:
 
 
 def _text(node) -> str:
-    return "".join(t.text or "" for t in node.iter(_M + "t"))
+    """Text of a shared string / inline string: its own <t> or its rich-text runs' <t>.
+
+    Phonetic runs (<rPh>) are annotations, not cell text, and are skipped.
+    """
+    parts = []
+    for child in node:
+        if child.tag == _M + "t":
+            parts.append(child.text or "")
+        elif child.tag == _M + "r":
+            parts.extend(t.text or "" for t in child.findall(_M + "t"))
+    return "".join(parts)
 
 
 def decode_workbook(path: str, content: bytes) -> Iterator[tuple]:

@@ -137,3 +137,21 @@ def test_delimited_full_schema_skips_inference(spark, tmp_dir):
     assert df.collect()[0][0] == "02421"
     with pytest.raises(ValueError, match="either a full schema"):
         read_delimited(spark, p, schema="a string", overrides={"a": "int"})
+
+
+def test_workbook_shared_strings_skip_phonetic_runs(tmp_dir):
+    import zipfile
+
+    p = os.path.join(tmp_dir, "phonetic.xlsx")
+    write_xlsx(p, {"S": [["Name"], ["placeholder"]]})
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    with zipfile.ZipFile(p) as z:
+        parts = {n: z.read(n) for n in z.namelist()}
+    parts["xl/sharedStrings.xml"] = (f'<sst xmlns="{main}"><si><t>Name</t></si>'
+                                     f'<si><r><t>Tok</t></r><r><t>yo</t></r><rPh sb="0" eb="1"><t>トウキョウ</t></rPh></si>'
+                                     f'</sst>').encode()
+    with zipfile.ZipFile(p, "w") as z:
+        for n, b in parts.items():
+            z.writestr(n, b)
+    recs = list(decode_workbook(p, open(p, "rb").read()))
+    assert [r[3] for r in recs] == [["Name"], ["Tokyo"]]
