@@ -123,7 +123,8 @@ def decode_workbook(path: str, content: bytes) -> Iterator[tuple]:
                     if kind == "s" and raw is not None:
                         cells[idx] = (shared[int(raw)], "s")
                     elif kind == "inlineStr":
-                        cells[idx] = (_text(c), "s")
+                        inline = c.find(_M + "is")
+                        cells[idx] = (_text(inline) if inline is not None else "", "s")
                     elif kind in ("str", "e") and raw is not None:
                         cells[idx] = (raw, "s")
                     elif kind == "b" and raw is not None:
