@@ -109,9 +109,11 @@ def decode_workbook(path: str, content: bytes) -> Iterator[tuple]:
         target = targets[sheet.get("{%s}id" % _NS["r"])]
         part = target.lstrip("/") if target.startswith("/") else posixpath.normpath(posixpath.join("xl", target))
         with zf.open(part) as fh:
+            row_no = 0
             for _, row in ET.iterparse(fh):
                 if row.tag != _M + "row":
                     continue
+                row_no = int(row.get("r")) if row.get("r") else row_no + 1  # "r" is optional
                 cells: dict[int, tuple[str, str]] = {}
                 nxt = 0
                 for c in row.findall(_M + "c"):
@@ -138,7 +140,7 @@ def decode_workbook(path: str, content: bytes) -> Iterator[tuple]:
                             cells[idx] = (raw, "n")
                 if cells:
                     width = max(cells) + 1
-                    yield (path, sheet.get("name"), int(row.get("r", "0")),
+                    yield (path, sheet.get("name"), row_no,
                            [cells.get(i, (None, None))[0] for i in range(width)],
                            [cells.get(i, (None, None))[1] for i in range(width)])
                 row.clear()

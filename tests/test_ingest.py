@@ -155,3 +155,12 @@ def test_workbook_shared_strings_skip_phonetic_runs(tmp_dir):
             z.writestr(n, b)
     recs = list(decode_workbook(p, open(p, "rb").read()))
     assert [r[3] for r in recs] == [["Name"], ["Tokyo"]]
+
+
+def test_workbook_rows_without_reference_numbers(tmp_dir):
+    p = os.path.join(tmp_dir, "norefs.xlsx")
+    rows = ('<row><c t="inlineStr"><is><t>A</t></is></c><c t="inlineStr"><is><t>B</t></is></c></row>'
+            '<row><c><v>1</v></c><c><v>2</v></c></row><row r="5"><c><v>3</v></c></row><row><c><v>4</v></c></row>')
+    _raw_xlsx(p, rows)
+    recs = list(decode_workbook(p, open(p, "rb").read()))
+    assert [(r[2], r[3]) for r in recs] == [(1, ["A", "B"]), (2, ["1", "2"]), (5, ["3"]), (6, ["4"])]
