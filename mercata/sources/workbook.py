@@ -201,10 +201,10 @@ def plan_sheets(pinned: DataFrame) -> list[SheetPlan]:
     Only per-sheet headers and per-column kind counts reach the driver.
     """
     first = pinned.groupBy(SHEET, "workbook", "sheet").agg(F.min("row_no").alias("header_row"))
-    headers = (pinned.join(F.broadcast(first), [SHEET, "workbook", "sheet"])
+    headers = (pinned.join(first, [SHEET, "workbook", "sheet"])
                .where(F.col("row_no") == F.col("header_row"))
                .select(SHEET, "workbook", "sheet", "header_row", "values").collect())
-    data = (pinned.join(F.broadcast(first), [SHEET, "workbook", "sheet"], "left")
+    data = (pinned.join(first, [SHEET, "workbook", "sheet"], "left")
             .where(F.col("row_no") > F.col("header_row")))
     cells = data.select(SHEET, F.posexplode(F.arrays_zip("values", "kinds")).alias("pos", "cell"))
     v, k = F.col("cell.values"), F.col("cell.kinds")
