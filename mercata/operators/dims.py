@@ -26,11 +26,16 @@ class DimensionSpec:
     lookup_on: tuple[str, ...]                       # output columns a fact looks up by
     derived: tuple[tuple[str, Callable[[], Column]], ...] = field(default=())
     distinct: bool = True
+    key_order: tuple[str, ...] = ()                  # key order if not the column order
 
     @property
     def natural(self) -> list[str]:
         return [out for out, _ in self.columns]
 
+    @property
+    def ordering(self) -> list[str]:
+        return list(self.key_order) or self.natural
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -88,6 +93,7 @@ REGIONAL_MANAGER = DimensionSpec(
     (("manager_name", "regional_manager"), ("region", "region")),
     lookup_on=("region",),
     distinct=False,  # the people list is taken as is: two managers for a region stay two rows
+    key_order=("region", "manager_name"),
 )
 
 ORDER_DIMENSIONS = (CUSTOMER, PRODUCT, GEOGRAPHY, SHIP_MODE)
@@ -97,7 +103,7 @@ def build_dimension(raw: DataFrame, spec: DimensionSpec) -> Dimension:
     projected = raw.select(*[F.col(f"`{src}`").alias(out) for out, src in spec.columns])
     if spec.distinct:
         projected = projected.distinct()
-    keyed = with_dense_key(projected, spec.key, spec.natural, unique=spec.distinct)
+    keyed = with_dense_key(projected, spec.key, spec.ordering, unique=spec.distinct)
     frame = keyed.frame
     for name, make in spec.derived:
         frame = frame.withColumn(name, make())

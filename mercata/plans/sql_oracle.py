@@ -14,8 +14,8 @@ from mercata.operators.marts import LTV_DEFAULT_TIER, LTV_TIERS
 from mercata.sources.driver_tables import ORDERS_SQL, PEOPLE_SQL, RETURNS_SQL, duckdb_text
 
 
-def _keyed(key: str, cols: list[str], source: str, distinct: bool = True) -> str:
-    order = ", ".join(f"{c} ASC NULLS FIRST" for c in cols)
+def _keyed(key: str, cols: list[str], source: str, distinct: bool = True, order_by: list[str] | None = None) -> str:
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in (order_by or cols))
     sel = ", ".join(cols)
     inner = f"SELECT DISTINCT {sel} FROM {source}" if distinct else f"SELECT {sel} FROM {source}"
     return f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS {key}, {sel} FROM ({inner}) t"
@@ -63,7 +63,7 @@ CTES: dict[str, str] = {
       FROM (SELECT order_date AS date FROM fx_orders UNION SELECT ship_date AS date FROM fx_orders) d""",
     "dim_regional_manager": _keyed("manager_key", ["manager_name", "region"],
                                    "(SELECT regional_manager AS manager_name, region FROM fx_people)",
-                                   distinct=False),
+                                   distinct=False, order_by=["region", "manager_name"]),
     "fact_sales_lines": f"""SELECT o.order_id, {_dkey('o.order_date')} AS order_date_key,
         {_dkey('o.ship_date')} AS ship_date_key, c.customer_key, p.product_key, g.geography_key,
         s.ship_mode_key, o.sales AS revenue, o.quantity, o.discount, o.profit,

@@ -246,3 +246,9 @@ def test_nan_is_a_missing_value(spark):
     assert got["O-1"]["revenue"] is None and got["O-1"]["profit_margin"] == 0.0
     assert got["O-1"]["geography_key"] is None  # a missing postal code never matches, not even itself
     assert got["O-2"]["geography_key"] is not None
+
+
+def test_manager_keys_follow_region_then_name(spark):
+    star = star_of(spark, [dict()], people_rows=[("Zoe", "East"), ("Adam", "West"), ("Bea", "East"), ("Bea", "East")])
+    got = rows(star.dim_regional_manager, "manager_key", "region", "manager_name")
+    assert got == [(1, "East", "Bea"), (2, "East", "Bea"), (3, "East", "Zoe"), (4, "West", "Adam")]
