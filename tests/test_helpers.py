@@ -25,7 +25,8 @@ def test_run_graph_respects_dependencies_and_overlaps_independent_work():
         "c": (("a", "b"), task("c", 0.0, lambda d: d["a"] + d["b"])),
     })
     assert out == {"a": 1, "b": 2, "c": 3}
-    assert abs(started["a"] - started["b"]) < 0.15  # independent tasks ran together
+    # independent tasks overlapped: each started before the other (0.2 s long) had finished
+    assert abs(started["a"] - started["b"]) < 0.2
     assert started["c"] >= max(started["a"], started["b"]) + 0.19
 
 
