@@ -1,7 +1,7 @@
 """The registered query set: one callable (spark, sf_dir) -> DataFrame per operator.
 
 All queries read the driver's TPC-H-like tables (through the retail adapter)
-and share one pinned star schema per (application, data folder), so the ~20
+and share one saved star schema per (application, data folder), so the 27
 entries do not rebuild it each time.
 """
 
@@ -22,10 +22,9 @@ from mercata.sources.catalog import ensure_namespace, overwrite_table
 from mercata.sources.delimited import read_delimited
 from mercata.sources.driver_tables import RetailInputs, retail_inputs
 
-_STARS: dict[tuple[str, str], StarTables] = {}
-
-
+# Saved layers per (application id, data folder); each points at parquet in the shared folder.
 _RAW: dict[tuple[str, str], RetailInputs] = {}
+_STARS: dict[tuple[str, str], StarTables] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
