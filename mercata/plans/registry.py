@@ -27,15 +27,15 @@ _RAW: dict[tuple[str, str], RetailInputs] = {}
 _STARS: dict[tuple[str, str], StarTables] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
+def _key(spark: SparkSession, sf_dir) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, str(sf_dir).rstrip("/")
 
 
 def raw_for(spark: SparkSession, sf_dir: str) -> RetailInputs:
     """Raw layer (orders, people, returns) derived once and saved as parquet."""
     key = _key(spark, sf_dir)
     if key not in _RAW:
-        _RAW[key] = materialize_raw(retail_inputs(spark, sf_dir), scratch_path(spark, "raw"))
+        _RAW[key] = materialize_raw(retail_inputs(spark, key[1]), scratch_path(spark, "raw"))
     return _RAW[key]
 
 
@@ -59,7 +59,7 @@ def _mart(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def clean_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identifier rule over every part name and type (e.g. per-category table names)."""
-    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    part = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/part.parquet")
     return part.select("p_partkey", "p_name", "p_type",
                        clean_name_col("p_name").alias("name_identifier"),
                        clean_name_col("p_type").alias("type_identifier"))

@@ -108,7 +108,7 @@ def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame
 def read_tables(spark: SparkSession, sf_dir: str, names=TPCH_TABLES) -> dict[str, DataFrame]:
     out = {}
     for n in names:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")
+        df = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{n}.parquet")
         out[n] = with_parallelism_floor(df) if n in STREAMED else df
     return out
 
