@@ -18,6 +18,7 @@ from mercata.plans.layers import Layers, run_all
 
 
 def main(argv: list[str] | None = None) -> None:
+    """Parse arguments, run all layers, print one JSON line."""
     ap = argparse.ArgumentParser(prog="mercata")
     ap.add_argument("--landing", required=True, help="folder with the landed .csv / .xlsx files")
     ap.add_argument("--raw", default="raw")

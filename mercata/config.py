@@ -65,6 +65,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
+    """Integer session setting, or ``default`` when unset."""
     v = spark.conf.get(key, None)
     return int(v) if v not in (None, "") else default
 

@@ -60,6 +60,7 @@ UNKNOWN_SHIP_MODE = "Unknown"
 
 
 def ship_mode_description(mode: Column) -> Column:
+    """Description of a ship mode from the fixed table; anything else is Unknown."""
     expr = None
     for value, text in SHIP_MODE_DESCRIPTIONS:
         expr = F.when(mode == value, text) if expr is None else expr.when(mode == value, text)
@@ -100,6 +101,7 @@ ORDER_DIMENSIONS = (CUSTOMER, PRODUCT, GEOGRAPHY, SHIP_MODE)
 
 
 def build_dimension(raw: DataFrame, spec: DimensionSpec) -> Dimension:
+    """Project, de-duplicate (if the spec says so) and key one dimension."""
     projected = raw.select(*[F.col(f"`{src}`").alias(out) for out, src in spec.columns])
     if spec.distinct:
         projected = projected.distinct()

@@ -41,6 +41,7 @@ def _lookup_all(df: DataFrame, dims: Mapping[str, Dimension], which, on_duplicat
 
 def build_fact_sales(orders: DataFrame, dims: Mapping[str, Dimension],
                      date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> Keyed:
+    """Order lines with date keys, looked-up dimension keys, measures and a dense key."""
     needed = ["order_id", "order_date", "ship_date", "customer_id", "product_id", "country/region",
               "state/province", "city", "postal_code", "ship_mode", "sales", "quantity", "discount",
               "profit"]

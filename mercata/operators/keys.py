@@ -48,6 +48,7 @@ class Positioned:
 
 def global_positions(df: DataFrame, order: Sequence[Column], *, split_ties: bool,
                      partitions: int | None = None) -> Positioned:
+    """0-based position of every row in ``order`` (see the module docstring), plus the row count."""
     spark = df.sparkSession
     n = partitions or key_partitions(spark)
     sort = list(order)
@@ -103,6 +104,7 @@ SINGLE_TASK_ROWS = 1_000_000
 
 
 def within_single_task(max_rows: int | None) -> bool:
+    """True when a proven row bound allows a single-task window."""
     return max_rows is not None and max_rows <= SINGLE_TASK_ROWS
 
 

@@ -15,6 +15,7 @@ T = TypeVar("T")
 
 
 def run_concurrently(tasks: Mapping[str, Callable[[], T]], max_workers: int = 8) -> dict[str, T]:
+    """Run independent callables on up to ``max_workers`` threads; results by name."""
     if len(tasks) <= 1 or max_workers <= 1:
         return {name: fn() for name, fn in tasks.items()}
     with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:

@@ -38,6 +38,7 @@ class Layers:
 
 # ------------------------------------------------------------------ path-based layers
 def write_parquet(df: DataFrame, path: str) -> int:
+    """Write ``df`` to ``path``; the row count is observed during the write."""
     obs = Observation(f"rows_{uuid.uuid4().hex}")  # unique: writes run concurrently
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return int(obs.get["rows"])
@@ -52,6 +53,7 @@ def save_frames(frames: Mapping[str, DataFrame], root: str, max_workers: int = 8
 
 
 def materialize_raw(inputs: RetailInputs, root: str) -> RetailInputs:
+    """Save the raw tables below ``root`` and return them re-read."""
     frames, _ = save_frames({"orders": inputs.orders, "people": inputs.people, "returns": inputs.returns}, root)
     return RetailInputs(frames["orders"], frames["people"], frames["returns"])
 
@@ -76,6 +78,7 @@ def catalog_sink(database: str):
 def run_bronze(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
                overrides: Mapping[str, Mapping[str, str]] | None = None,
                schemas: Mapping[str, str] | None = None):
+    """Landing folder -> raw tables (one per CSV file or non-empty sheet)."""
     ensure_namespace(spark, layers.raw)
     return ingest_landing(spark, landing_dir, layers.raw, overrides=overrides, schemas=schemas)
 
@@ -93,6 +96,7 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(),
 
 
 def saved_star(spark: SparkSession, database: str, rows: Mapping[str, int] | None = None) -> StarTables:
+    """The star tables of ``database``, with dimension sizes for the broadcast checks."""
     tables = {t: spark.table(qualified(database, t)) for t in STAR_TABLES}
     if rows is None:  # dimension sizes drive the broadcast decisions
         rows = {t: tables[t].count() for t in DIMENSIONS}
@@ -101,6 +105,7 @@ def saved_star(spark: SparkSession, database: str, rows: Mapping[str, int] | Non
 
 def run_gold(spark: SparkSession, layers: Layers = Layers(), star_rows: Mapping[str, int] | None = None,
              max_workers: int = 8) -> dict[str, int]:
+    """Star tables -> the seven reporting marts, written concurrently."""
     ensure_namespace(spark, layers.reporting)
     star = saved_star(spark, layers.star, star_rows)
     return run_concurrently({name: (lambda name=name, fn=fn: overwrite_table(fn(star), layers.reporting, name))
@@ -111,6 +116,7 @@ def run_all(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
             overrides: Mapping[str, Mapping[str, str]] | None = None,
             date_formats: Sequence[str] | None = None, on_duplicate: str = "keep",
             schemas: Mapping[str, str] | None = None) -> dict:
+    """Landing -> raw -> star -> reporting; returns the rows written per layer and table."""
     bronze = run_bronze(spark, landing_dir, layers, overrides, schemas)
     silver = run_silver(spark, layers, date_formats, on_duplicate=on_duplicate)
     gold = run_gold(spark, layers, star_rows=silver)

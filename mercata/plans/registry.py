@@ -66,6 +66,7 @@ def clean_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_returned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return events flagged as returned."""
     return returned_orders(raw_for(spark, sf_dir).returns)
 
 
@@ -108,6 +109,7 @@ def layer_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All registered queries by name."""
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_identifiers": clean_identifiers,
         "ingest_delimited_roundtrip": ingest_delimited_roundtrip,

@@ -276,6 +276,7 @@ QUERY_KEYS = [*_STAR, "agg_monthly_sales", "customer_sales", "customer_returns",
 
 
 def oracle_queries() -> dict[str, str]:
+    """DuckDB SQL for every registered query, as one WITH chain each."""
     with_clause = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items())
     out = {k: f"{with_clause}\nSELECT * FROM {k}" for k in QUERY_KEYS}
     for k, final in EXTRA_FINAL.items():

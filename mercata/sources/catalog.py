@@ -16,10 +16,12 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def qualified(database: str, table: str) -> str:
+    """Back-quoted ``database.table``."""
     return f"`{database}`.`{table}`"
 
 
 def table_location(spark: SparkSession, database: str, table: str) -> str:
+    """Folder of a table below its database's location."""
     return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
 
 

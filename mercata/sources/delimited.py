@@ -27,6 +27,7 @@ class IngestResult:
 
 
 def table_name_for(path: str) -> str:
+    """Raw table name for a landed file: its cleaned stem."""
     return clean_name(os.path.splitext(os.path.basename(path.rstrip("/")))[0])
 
 
@@ -54,6 +55,7 @@ def read_delimited(spark: SparkSession, path: str, *, overrides: Mapping[str, st
 
 def ingest_delimited(spark: SparkSession, path: str, database: str,
                      overrides: Mapping[str, str] | None = None, schema: str | None = None) -> IngestResult:
+    """Read one delimited file and overwrite its raw table."""
     df = read_delimited(spark, path, overrides=overrides, schema=schema)
     table = table_name_for(path)
     rows = overwrite_table(df, database, table)

@@ -105,7 +105,8 @@ def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame
     return df
 
 
-def read_tables(spark: SparkSession, sf_dir: str, names=TPCH_TABLES) -> dict[str, DataFrame]:
+def read_tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = TPCH_TABLES) -> dict[str, DataFrame]:
+    """The TPC-H-like tables of ``sf_dir``; streamed ones get a parallelism floor."""
     out = {}
     for n in names:
         df = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{n}.parquet")
@@ -114,6 +115,7 @@ def read_tables(spark: SparkSession, sf_dir: str, names=TPCH_TABLES) -> dict[str
 
 
 def retail_inputs(spark: SparkSession, sf_dir: str) -> RetailInputs:
+    """Raw orders, people and returns derived from the test tables."""
     t = read_tables(spark, sf_dir)
     orders = spark.sql(ORDERS_SQL, **t).withColumnsRenamed(RAW_RENAMES)
     people = spark.sql(PEOPLE_SQL, **t)

@@ -161,6 +161,7 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def decoded_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row per sheet row of every workbook in ``paths`` (decoded in tasks)."""
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
     return files.mapInPandas(_decode_batches, ROWS_SCHEMA)
 
