@@ -21,9 +21,9 @@ def main(argv: list[str] | None = None) -> None:
     """Parse arguments, run all layers, print one JSON line."""
     ap = argparse.ArgumentParser(prog="mercata")
     ap.add_argument("--landing", required=True, help="folder with the landed .csv / .xlsx files")
-    ap.add_argument("--raw", default="raw")
-    ap.add_argument("--star", default="star_schema")
-    ap.add_argument("--reporting", default="reporting")
+    ap.add_argument("--raw", default="raw", help="database of the raw tables (default: raw)")
+    ap.add_argument("--star", default="star_schema", help="database of the star tables (default: star_schema)")
+    ap.add_argument("--reporting", default="reporting", help="database of the marts (default: reporting)")
     ap.add_argument("--date-format", action="append", dest="date_formats",
                     help="text date format to try (repeatable), e.g. M/d/yyyy")
     ap.add_argument("--on-duplicate", choices=("keep", "first"), default="keep",
