@@ -12,6 +12,7 @@ from mercata.llm.common import read_table
 from mercata.llm.packed_ids import read_digests, write_packed
 from mercata.llm.shard import shuffle_into_shards
 from mercata.llm.token_counts import token_counts
+from mercata.llm.trie_bpe import encode_decode
 
 TOKEN_LIMIT = 512
 
@@ -32,6 +33,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded over a trie of its words and decoded again, as digests."""
+    return encode_decode(read_table(spark, sf_dir, "documents"), digests=True)
+
+
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document packed into files, and what the files give back."""
     path = scratch_path(spark, "packed-ids")
@@ -44,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hypergeometric_shards": op1_hypergeometric_shards,
         "op3_token_counts": op3_token_counts,
+        "op8_trie_bpe": op8_trie_bpe,
         "op10_packed_ids": op10_packed_ids,
     }
 
