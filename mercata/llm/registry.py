@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.config import scratch_path
+from mercata.llm import toxicity
 from mercata.llm.common import read_table
 from mercata.llm.packed_ids import read_digests, write_packed
 from mercata.llm.shard import shuffle_into_shards
@@ -33,6 +34,15 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the held-out quarter is never learned from."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"),
+                       toxicity.score_column(spark, model).alias("score")) \
+        .withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded over a trie of its words and decoded again, as digests."""
     return encode_decode(read_table(spark, sf_dir, "documents"), digests=True)
@@ -50,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hypergeometric_shards": op1_hypergeometric_shards,
         "op3_token_counts": op3_token_counts,
+        "op4_ftrl_toxicity": op4_ftrl_toxicity,
         "op8_trie_bpe": op8_trie_bpe,
         "op10_packed_ids": op10_packed_ids,
     }
