@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mercata.config import scratch_path
 from mercata.llm import toxicity
 from mercata.llm.common import read_table
+from mercata.llm.jaccard import near_duplicates
 from mercata.llm.packed_ids import read_digests, write_packed
 from mercata.llm.shard import shuffle_into_shards
 from mercata.llm.token_counts import token_counts
@@ -48,6 +49,11 @@ def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), digests=True)
 
 
+def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similarity 0.8 between five-word shingle sets."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document packed into files, and what the files give back."""
     path = scratch_path(spark, "packed-ids")
@@ -62,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": op3_token_counts,
         "op4_ftrl_toxicity": op4_ftrl_toxicity,
         "op8_trie_bpe": op8_trie_bpe,
+        "op9_shingle_join": op9_shingle_join,
         "op10_packed_ids": op10_packed_ids,
     }
 
