@@ -17,6 +17,7 @@ without reading what stands before it.  A block holds whole documents.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from mercata.llm.common import PIECE_BYTES, pieces, tokenizer_path
 from mercata.llm.space_runs import space_runs
 
 BLOCK_IDS = 1 << 16
-MEMO_ENTRIES = 300_000  # distinct pieces whose ids a worker remembers; then it starts anew
+MEMO_ENTRIES = 1_000_000  # distinct pieces whose ids a worker remembers (some 200 MB); then it starts anew
 BLOCK_SCHEMA = ("part int, block int, bits int, n_ids long, before long, doc_ids array<long>, "
                 "lengths array<long>, payload binary")
 _DOC, _TEXT, _TIE, _PART = "__llm_doc", "__llm_text", "__llm_tie", "__llm_part"
@@ -75,7 +76,7 @@ class PieceEncoder:
         self.memo: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit numbers."""
@@ -101,9 +102,11 @@ def encoder(path: str) -> PieceEncoder:
 
 def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int | None, schema: pa.Schema,
             block_ids: int) -> Iterator[pa.RecordBatch]:
+    import gc
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    gc.disable()  # many small objects and no cycles: collections would only walk the memory
     enc = encoder(tokenizer_path(vocabulary))
     bits = width_of(max(enc.vocab_size, (end_id or 0) + 1))
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
@@ -175,7 +178,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per written part
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    return blocks.join(starts, "part")
+    return blocks.join(F.broadcast(starts), "part")  # bounded by the shuffle width
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
