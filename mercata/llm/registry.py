@@ -11,6 +11,7 @@ from mercata.config import scratch_path
 from mercata.llm import toxicity
 from mercata.llm.common import read_table
 from mercata.llm.jaccard import near_duplicates
+from mercata.llm.learned_partitions import nearest
 from mercata.llm.packed_ids import read_digests, write_packed
 from mercata.llm.shard import shuffle_into_shards
 from mercata.llm.token_counts import token_counts
@@ -44,6 +45,11 @@ def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest rows of every fiftieth vector, among all rows."""
+    return nearest(read_table(spark, sf_dir, "embeddings"), 5, query_every=50)
+
+
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded over a trie of its words and decoded again, as digests."""
     return encode_decode(read_table(spark, sf_dir, "documents"), digests=True)
@@ -67,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_hypergeometric_shards": op1_hypergeometric_shards,
         "op3_token_counts": op3_token_counts,
         "op4_ftrl_toxicity": op4_ftrl_toxicity,
+        "op6_learned_partitions": op6_learned_partitions,
         "op8_trie_bpe": op8_trie_bpe,
         "op9_shingle_join": op9_shingle_join,
         "op10_packed_ids": op10_packed_ids,
