@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.config import scratch_path
-from mercata.llm import toxicity
+from mercata.llm import sanitise, toxicity
 from mercata.llm.common import read_table
 from mercata.llm.jaccard import near_duplicates
 from mercata.llm.learned_partitions import nearest
@@ -45,6 +45,14 @@ def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op5_disclosure_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, with the terms that disclose it."""
+    found = sanitise.find_spans(read_table(spark, sf_dir, "documents"))
+    counts = [sanitise.count_of(F.col("base"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(sanitise.span_list(F.col("base")), 256).alias("base_sha256"),
+                        sanitise.span_list(F.col("spans")).alias("spans"))
+
+
 def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest rows of every fiftieth vector, among all rows."""
     return nearest(read_table(spark, sf_dir, "embeddings"), 5, query_every=50)
@@ -73,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_hypergeometric_shards": op1_hypergeometric_shards,
         "op3_token_counts": op3_token_counts,
         "op4_ftrl_toxicity": op4_ftrl_toxicity,
+        "op5_disclosure_spans": op5_disclosure_spans,
         "op6_learned_partitions": op6_learned_partitions,
         "op8_trie_bpe": op8_trie_bpe,
         "op9_shingle_join": op9_shingle_join,
