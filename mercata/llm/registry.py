@@ -12,6 +12,7 @@ from mercata.llm import sanitise, toxicity
 from mercata.llm.common import read_table
 from mercata.llm.jaccard import near_duplicates
 from mercata.llm.learned_partitions import nearest
+from mercata.llm.lpf_dedup import repeated_spans
 from mercata.llm.packed_ids import read_digests, write_packed
 from mercata.llm.shard import shuffle_into_shards
 from mercata.llm.token_counts import token_counts
@@ -30,6 +31,13 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    found = repeated_spans(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, from counts of its distinct pre-tokens."""
     return token_counts(read_table(spark, sf_dir, "documents")) \
@@ -79,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage by name."""
     return {
         "op1_hypergeometric_shards": op1_hypergeometric_shards,
+        "op2_repeated_passages": op2_repeated_passages,
         "op3_token_counts": op3_token_counts,
         "op4_ftrl_toxicity": op4_ftrl_toxicity,
         "op5_disclosure_spans": op5_disclosure_spans,
