@@ -11,6 +11,7 @@ from mercata.config import scratch_path
 from mercata.llm import sanitise, toxicity
 from mercata.llm.common import read_table
 from mercata.llm.jaccard import near_duplicates
+from mercata.llm.latent_retrieval import contaminated
 from mercata.llm.learned_partitions import nearest
 from mercata.llm.lpf_dedup import repeated_spans
 from mercata.llm.packed_ids import read_digests, write_packed
@@ -66,6 +67,12 @@ def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), 5, query_every=50)
 
 
+def op7_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item, its latent cosine and the share of it in order."""
+    found = contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "lcs_share")
+
+
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded over a trie of its words and decoded again, as digests."""
     return encode_decode(read_table(spark, sf_dir, "documents"), digests=True)
@@ -92,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ftrl_toxicity": op4_ftrl_toxicity,
         "op5_disclosure_spans": op5_disclosure_spans,
         "op6_learned_partitions": op6_learned_partitions,
+        "op7_latent_decontamination": op7_latent_decontamination,
         "op8_trie_bpe": op8_trie_bpe,
         "op9_shingle_join": op9_shingle_join,
         "op10_packed_ids": op10_packed_ids,
