@@ -8,11 +8,77 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mercata.llm import sanitise, toxicity
 from mercata.llm.common import pin, read_table
+from mercata.llm.jaccard import near_duplicates
+from mercata.llm.latent_retrieval import contaminated
+from mercata.llm.trie_bpe import encode_decode
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+BROADCAST_ROWS = 1_000_000  # keys or spans up to which a stage's decisions are broadcast (some 60 MB)
+
+
+def _text_key() -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
+def _without(docs: DataFrame, gone: DataFrame, with_id: bool) -> DataFrame:
+    """``docs`` without the texts (and ids) listed in ``gone(text_key, gone_id)``."""
+    gone = pin(gone.distinct(), "pipeline-gone")
+    right = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    same = F.col("__llm_key") == F.col("gone_key")
+    if with_id:
+        same = same & F.col("doc_id").eqNullSafe(F.col("gone_id"))
+    return docs.withColumn("__llm_key", _text_key()).join(right, same, "left_anti").drop("__llm_key")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go; null and empty texts score like clean ones and stay."""
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.score_column(spark, model) < toxicity.THRESHOLD)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: that of the smallest doc_id."""
+    gone = near_duplicates(docs).where(~F.col("stays")).select(F.col("text_key").alias("gone_key"), F.col("doc_id").alias("gone_id"))
+    return _without(docs, gone, True)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.select(F.col("text_key").alias("gone_key")), False)
+
+
+def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it become their kind in brackets; ``n_chars`` follows."""
+    found = sanitise.find_spans(docs).where(F.size("spans") > 0) \
+        .groupBy(F.col("key").alias("__llm_found")).agg(F.first("spans").alias("__llm_spans"))
+    found = pin(found, "pipeline-spans")
+    size = found.agg(F.coalesce(F.sum(F.size("__llm_spans")), F.lit(0))).collect()[0][0]
+    right = F.broadcast(found) if size <= BROADCAST_ROWS else found
+    key = sanitise.text_key(F.col("text"))
+    joined = docs.withColumn("__llm_key", key).join(right, F.col("__llm_key") == F.col("__llm_found"), "left")
+    hit = F.col("__llm_spans").isNotNull()
+    redacted = joined.withColumn("__llm_out", F.when(hit, sanitise.redact(F.col("text"), F.col("__llm_spans"))).otherwise(F.col("text")))
+    changed = {"text": F.col("__llm_out"), "n_chars": F.when(hit, F.length("__llm_out").cast("long")).otherwise(F.col("n_chars"))}
+    return redacted.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left as token ids and decoded again: doc_id, n_tokens and digests of both."""
+    return encode_decode(docs, digests=True)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", remove_personal_data),
+    ("bpe", encode),
+]
 
 # Trained weights, shingle links, latent retrieval and BPE are not expressible in SQL: the stages
 # are tested against brute-force versions in tests/llm.

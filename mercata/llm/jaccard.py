@@ -90,13 +90,15 @@ def _digest(s: np.ndarray) -> bytes | None:
 # ---- step 1: documents with enough shared shingles
 
 _ASK = [("bucket", pa.int32()), ("piece", pa.int64()), ("n_docs", pa.int64()), ("hashes", pa.binary()), ("owners", pa.binary()),
-        ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())), ("digests", pa.list_(pa.binary()))]
+        ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())), ("digests", pa.list_(pa.binary())),
+        ("keys", pa.list_(pa.binary()))]
 
 
 def _asked(batches: Iterator[pa.RecordBatch], n_buckets: int, k: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(_ASK)
     for piece in pieces(batches, _TEXT, PIECE):
-        sets = shingle_sets([t or "" for t in piece.column(_TEXT).to_pylist()], k)
+        texts = [t or "" for t in piece.column(_TEXT).to_pylist()]
+        sets = shingle_sets(texts, k)
         first = piece.column("__llm_row")[0].as_py()
         h = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
@@ -119,8 +121,8 @@ def _asked(batches: Iterator[pa.RecordBatch], n_buckets: int, k: int) -> Iterato
                 continue
             # 40 bits are enough to ask: a false match keeps a document for the exact steps
             low = np.ascontiguousarray(h[a:z]).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-            extra = (piece.column(_DOC).to_pylist(), [len(s) for s in sets], known.tolist(), [_digest(s) for s in sets]) \
-                if b == meta else (None, None, None, None)
+            extra = (piece.column(_DOC).to_pylist(), [len(s) for s in sets], known.tolist(), [_digest(s) for s in sets],
+                     [hashlib.md5(t.encode(), usedforsecurity=False).digest() for t in texts]) if b == meta else (None,) * 5
             row = (b, first, len(sets), low, zlib.compress(owner[a:z].astype("<u4").tobytes(), 1), *extra)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(row, _ASK, strict=True)], schema=schema)
 
@@ -174,8 +176,8 @@ def _judged(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         sizes = np.array(meta["sizes"], np.int64)
         alive = (100 * (total + np.array(meta["known"], np.int64)) >= percent * sizes) & (sizes > 0)
         digests = [d if a else None for d, a in zip(meta["digests"], alive.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(meta["docs"], pa.int64()), pa.array(sizes), pa.array(digests, pa.binary())],
-                                          names=["doc_id", "n_shingles", "digest"])
+        return pa.RecordBatch.from_arrays([pa.array(meta["docs"], pa.int64()), pa.array(sizes), pa.array(digests, pa.binary()),
+                                           pa.array(meta["keys"], pa.binary())], names=["doc_id", "n_shingles", "digest", "text_key"])
 
     for batch in batches:
         for row in batch.to_pylist():
@@ -192,16 +194,16 @@ def _judged(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def shared_documents(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if the document can have no link)."""
+    """doc_id, n_shingles, digest of the set (null if the document can have no link), text_key (MD5 of the text)."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias(_DOC), F.col(f"`{text_col}`").alias(_TEXT),
                        F.monotonically_increasing_id().alias("__llm_row"))
     n = width(docs.sparkSession)
-    meta = "docs array<long>, sizes array<long>, known array<long>, digests array<binary>"
+    meta = "docs array<long>, sizes array<long>, known array<long>, digests array<binary>, keys array<binary>"
     asked = rows.mapInArrow(lambda it: _asked(it, n, k),
                             f"bucket int, piece long, n_docs long, hashes binary, owners binary, {meta}")
     answered = asked.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_answered, f"piece long, counts binary, {meta}")
     return answered.repartition(n, "piece").sortWithinPartitions("piece") \
-        .mapInArrow(lambda it: _judged(it, percent), "doc_id long, n_shingles long, digest binary")
+        .mapInArrow(lambda it: _judged(it, percent), "doc_id long, n_shingles long, digest binary, text_key binary")
 
 
 # ---- step 2: classes of equal sets
@@ -323,16 +325,19 @@ def class_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
                     percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id connected).
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id connected), and
+    text_key (MD5 of the text), stays (is it the document of its component that stays?).
 
     Null and empty texts and texts of white space have no shingle and link with nothing; a text of
     fewer than ``k`` words is one shingle.  Rows of one id are judged by their own texts.  A
     component whose ids are all null has a null id; other columns are not read; no rows give none.
+    Of a component the smallest id stays, and of several texts of that id the one of the smallest
+    key; rows equal in id and text are one document and stay or go together.
     """
     base = pin(shared_documents(docs, id_col, text_col, k, percent), "near-base")
-    classes = base.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
+    classes = base.where("digest is not null").groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
     classes = pin(classes, "near-classes")
-    first = classes.select(F.col("first").alias(_DOC)).distinct()
+    first = classes.select(F.col("first.doc_id").alias(_DOC)).distinct()
     if classes.count() <= BROADCAST_ROWS:
         first = F.broadcast(first)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("__llm_id"), F.col(f"`{text_col}`").alias(_TEXT))
@@ -342,7 +347,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     kept = built.join(classes.select("digest"), "digest", "left_semi")
     sets = pin(kept.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("n", "hashes", "mins", "bitmap"))), "near-sets")
     labels = class_components(sets, percent)
-    groups = classes.join(labels, "digest").groupBy("label").agg(F.min("first").alias("component_id"))
-    of = labels.join(groups, "label").select("digest", "component_id", F.lit(True).alias("found"))
+    groups = classes.join(labels, "digest").groupBy("label").agg(F.min("first").alias("best"))
+    of = labels.join(groups, "label").select("digest", "best")
     out = base.join(of, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    best = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.text_key") == F.col("text_key"))
+    return out.select("doc_id", "n_shingles", F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
+                      "text_key", (F.col("best").isNull() | best).alias("stays"))

@@ -80,7 +80,7 @@ def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of similarity 0.8 between five-word shingle sets."""
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,6 +52,11 @@ def _clean(text: Column) -> Column:
     return F.when(odd, F.translate(t, _MARK + _JOIN, _OTHER * 2)).otherwise(t)
 
 
+def text_key(text: Column) -> Column:
+    """The key under which spans of a text are found."""
+    return F.md5(_clean(text).cast("binary"))
+
+
 def _matches(text: Column, pattern: str, rank: int, keep) -> Column:
     """Spans of ``pattern`` (one group around the whole) whose matched string satisfies ``keep``."""
     parts = F.split(F.regexp_replace(text, pattern, f"{_MARK}$1{_MARK}"), _MARK)
@@ -114,7 +119,7 @@ def _context(text: Column, span: Column) -> Column:
 def find_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key (hash of the text), spans (start, rank, end, value, words next to it)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), _clean(F.col(f"`{text_col}`")).alias("__llm_text"))
-    found = rows.select("doc_id", "__llm_text", F.md5("__llm_text").alias("key"), base_spans(F.col("__llm_text")).alias("__llm_spans"))
+    found = rows.select("doc_id", "__llm_text", F.md5(F.col("__llm_text").cast("binary")).alias("key"), base_spans(F.col("__llm_text")).alias("__llm_spans"))
     text = F.col("__llm_text")
     return found.select("doc_id", "key", F.transform("__llm_spans", lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), F.lower(s["value"]).alias("value"),
@@ -136,7 +141,7 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, *, text_col: str = "text"
         wanted = F.broadcast(wanted)
     clean = _clean(F.col(f"`{text_col}`"))
     words = docs.select(clean.alias("__llm_text")).select(
-        F.md5("__llm_text").alias("key"),
+        F.md5(F.col("__llm_text").cast("binary")).alias("key"),
         F.explode(F.array_distinct(F.split(F.lower("__llm_text"), r"[^\p{L}\p{N}]++"))).alias("term"))
     stands = pin(words.join(wanted, "term", "left_semi").distinct(), "term-texts")
     n_term = stands.groupBy("term").agg(F.count("*").alias("n_t"))
@@ -166,7 +171,7 @@ def find_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 def _term_spans(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     """``key, found``: spans of each text's disclosing terms, once per text."""
-    texts = docs.select(_clean(F.col(f"`{text_col}`")).alias("__llm_text")).withColumn("key", F.md5("__llm_text"))
+    texts = docs.select(_clean(F.col(f"`{text_col}`")).alias("__llm_text")).withColumn("key", F.md5(F.col("__llm_text").cast("binary")))
     right = F.broadcast(terms) if terms.count() <= BROADCAST_ROWS // 10 else terms
     having = texts.join(right, "key")
     found = _matches(F.col("__llm_text"), _WORD, 4, lambda x: F.array_contains(F.col("terms"), F.lower(x)))
