@@ -28,9 +28,9 @@ def _without(docs: DataFrame, gone: DataFrame, with_id: bool) -> DataFrame:
     """``docs`` without the texts (and ids) listed in ``gone(text_key, gone_id)``."""
     gone = pin(gone.distinct(), "pipeline-gone")
     right = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    same = F.col("__llm_key") == F.col("gone_key")
+    same = F.col("__llm_key") == F.col("__llm_gone_key")
     if with_id:
-        same = same & F.col("doc_id").eqNullSafe(F.col("gone_id"))
+        same = same & F.col("doc_id").eqNullSafe(F.col("__llm_gone_id"))
     return docs.withColumn("__llm_key", _text_key()).join(right, same, "left_anti").drop("__llm_key")
 
 
@@ -42,14 +42,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that of the smallest doc_id."""
-    gone = near_duplicates(docs).where(~F.col("stays")).select(F.col("text_key").alias("gone_key"), F.col("doc_id").alias("gone_id"))
+    gone = near_duplicates(docs).where(~F.col("stays")).select(F.col("text_key").alias("__llm_gone_key"), F.col("doc_id").alias("__llm_gone_id"))
     return _without(docs, gone, True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     found = contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select(F.col("text_key").alias("gone_key")), False)
+    return _without(docs, found.select(F.col("text_key").alias("__llm_gone_key")), False)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
