@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from mercata.llm.common import pin
 
-ALPHA = 0.95
+ALPHA = 0.9
 MIN_TOGETHER = 3        # distinct texts with term and entity side by side
 CONTEXT_WORDS = 6       # words on either side of an entity that are its context
 CONTEXT_CHARS = 120

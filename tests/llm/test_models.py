@@ -1,0 +1,151 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+from brute import lcs
+
+from mercata.llm import registry, toxicity
+from mercata.llm.latent_retrieval import benchmark_slices, contaminated, lcs_length, words_of
+from mercata.llm.learned_partitions import balanced_parts, fit_router, nearest, neighbour_graph
+
+
+def test_ftrl_learns_the_words_that_matter():
+    rng = np.random.default_rng(1)
+    base = [[f"w{int(i)}" for i in rng.integers(0, 400, 40)] for _ in range(800)]
+    labels = np.array([i % 5 == 0 for i in range(800)], int)
+    texts = [" ".join([*w[:20], "nasty!" if y else "pleasant", *w[20:]]) for w, y in zip(base, labels, strict=True)]
+    text, at = toxicity.feature_indices(texts)
+    examples = [np.unique(at[text == i]) for i in range(800)]
+    model = toxicity.fit_ftrl(examples[:600], labels[:600])
+    w = model.dense()
+    scores = np.array([1 / (1 + np.exp(-(w[e].sum() + model.bias))) for e in examples[600:]])
+    assert ((scores >= toxicity.THRESHOLD) == labels[600:]).mean() > 0.98
+    assert len(model.index) < 2_000  # of the 60,000 or so that were seen
+    assert toxicity.feature_indices(["A, b! a"])[0].tolist() == [0] * 6  # three words, two pairs, one skip pair
+
+
+def test_toxicity_query_and_held_out_accuracy(spark, rows):
+    sf = "/root/testdata/sf0.01"
+    got = registry.op4_ftrl_toxicity(spark, sf).collect()
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    for r in got:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+    judged = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and labels.get(r.doc_id) is not None]
+    assert np.mean([p == y for p, y in judged]) > 0.85
+    assert sum(p and not y for p, y in judged) <= 1
+
+
+def test_toxicity_odd_rows_and_no_labels(spark, odd, nothing, odd_rows):
+    labels = spark.createDataFrame([(1, 1), (3, None), (None, 1), (8, 0), (8, 1)], "doc_id long, toxic int")
+    model = toxicity.train(odd, labels)
+    got = odd.select("doc_id", "text", toxicity.score_column(spark, model).alias("s")).collect()
+    assert Counter(r.doc_id for r in got) == Counter(d for d, _ in odd_rows)
+    bare = {r.s for r in got if not (r.text or "").strip()}
+    assert len(bare) == 1  # null, empty and white texts score alike
+    empty = toxicity.train(odd, labels.limit(0))
+    assert len(empty.index) == 0 and abs(1 / (1 + np.exp(-empty.bias)) - 0.01) < 1e-9
+    assert nothing.select(toxicity.score_column(spark, empty)).collect() == []
+
+
+def test_parts_are_balanced_and_follow_the_graph():
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(8, 16)) * 3
+    v = np.repeat(centres, 60, axis=0) + rng.normal(size=(480, 16)) * 0.3
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    graph = neighbour_graph(unit, 10)
+    part = balanced_parts(unit, graph, 8)
+    assert np.bincount(part, minlength=8).max() <= np.ceil(1.1 * 60)
+    assert (part[graph] == part[:, None]).mean() > 0.9
+    assert fit_router(v, 8).probes <= 3  # clustered vectors need few probes
+
+
+def _cosines(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, v = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    return ids, v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def test_search_recall_and_scores(spark):
+    sf = "/root/testdata/sf0.1"
+    ids, unit = _cosines(spark, sf)
+    got = registry.op6_learned_partitions(spark, sf).collect()
+    hit = total = 0
+    for q in ids[ids % 50 == 0]:
+        i = int(np.searchsorted(ids, q))
+        s = unit @ unit[i]
+        s[i] = -9
+        best = set(ids[np.lexsort((ids, -s))[:5]].tolist())
+        own = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in own] == [1, 2, 3, 4, 5]
+        assert all(abs(r.score - s[np.searchsorted(ids, r.vec_id)]) < 1e-12 for r in own)
+        hit += len(best & {r.vec_id for r in own})
+        total += 5
+    assert hit / total >= 0.9
+
+
+def test_search_ties_copies_and_odd_vectors(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(0, 300, 3)] + [(1000, [2.0, 1.0]), (50, [2.0, 1.0]), (50, [2.0, 1.0]), (7, None), (8, []), (9, [0.0, 0.0]),
+            (10, [float("nan"), 1.0]), (11, [float("inf"), 1.0]), (12, [None, 1.0]), (13, [1.0, 2.0, 3.0]), (None, [1.0, 1.0])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, class string").repartition(4)
+    got = {}
+    for r in nearest(df, 5, query_every=50).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got[150] == [0, 3, 6, 9, 12] and got[0] == [3, 6, 9, 12, 15]  # equal vectors: smallest ids
+    assert got[50] == [1000, 0, 3, 6, 9] and got[1000][0] == 50
+    assert nearest(df.limit(0), 5).collect() == []
+
+
+def test_subsequence_length():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a, b = (rng.integers(0, 5, rng.integers(0, 12)).tolist() for _ in range(2))
+        assert lcs_length(a, b) == lcs(a, b)
+
+
+def leaks(docs, items, share=0.7):
+    """Documents with a run of words, up to twice an item's length, that holds most of the item in order."""
+    out = set()
+    for d, t in docs:
+        w = words_of(t or "")
+        for item, text in items:
+            chunk = words_of(text or "")
+            rare = set(chunk) & set(w)
+            if chunk and len(rare) >= share * len(set(chunk)) and any(
+                    lcs(chunk, w[i:i + 2 * len(chunk)]) >= share * len(chunk) for i in range(0, len(w), max(1, len(chunk) // 2))):
+                out.add((d, item))
+    return out
+
+
+def test_decontamination_query_equals_plain_search(spark, sf, rows):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id) for r in registry.op7_latent_decontamination(spark, sf).collect()}
+    assert got == leaks(rows, items) and got
+
+
+def test_decontamination_of_paraphrases_over_slices(spark, rows):
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+    clean = [t for d, t in rows if t and not leaks([(d, t)], items)][:40]
+    docs, planted = [], set()
+    for n, (item, text) in enumerate(items):
+        w = text.split()
+        gap = [x for i, x in enumerate(w) if i % 6 != 3]            # every sixth word left out
+        changed = ["other" if i % 7 == 2 else x for i, x in enumerate(w)]  # every seventh word exchanged
+        host = clean[n % len(clean)]
+        for body in (gap, changed):
+            docs.append((len(docs), f"{host} {' '.join(body)} {host}"))
+            planted.add((len(docs) - 1, item))
+    docs += [(len(docs) + i, t) for i, t in enumerate(clean)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(frame, bench, slice_chunks=25).collect()}
+    assert got == planted
+    assert [len(s.items) for s in benchmark_slices(items, size=25)][0] == 25
+
+
+def test_decontamination_odd_rows(spark, odd, nothing):
+    bench = spark.createDataFrame([(1, None), (2, ""), (3, "Mail or call, card one"), (None, "Same id, first text of two.")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(odd, bench).collect()} == {(10, None)}
+    assert contaminated(nothing, bench).collect() == []
+    assert contaminated(odd, bench.limit(0)).collect() == []
