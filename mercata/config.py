@@ -13,7 +13,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Library settings (session conf keys).  Values are read at plan-build time.
-LOOKUP_BROADCAST_BYTES = "spark.mercata.lookup.broadcastBytes"
 KEY_PARTITIONS = "spark.mercata.key.partitions"
 
 
@@ -64,12 +63,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/scratch/{label}-{uuid.uuid4().hex}"
 
 
-def conf_int(spark: SparkSession, key: str, default: int) -> int:
-    """Integer session setting, or ``default`` when unset."""
-    v = spark.conf.get(key, None)
-    return int(v) if v not in (None, "") else default
-
-
 def key_partitions(spark: SparkSession) -> int | None:
     """Fixed number of range partitions used to pin a sort layout, if configured.
 
@@ -79,13 +72,3 @@ def key_partitions(spark: SparkSession) -> int | None:
     """
     v = spark.conf.get(KEY_PARTITIONS, None)
     return int(v) if v not in (None, "") else None
-
-
-def lookup_broadcast_bytes(spark: SparkSession) -> int:
-    """Largest lookup (estimated bytes) that is broadcast; defaults to Spark's own threshold."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        default = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        default = 10 * 1024 * 1024
-    return conf_int(spark, LOOKUP_BROADCAST_BYTES, max(default, 0))

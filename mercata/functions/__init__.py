@@ -1,7 +1,7 @@
 """Column-level helpers: everything here returns a JVM-side ``Column``."""
 
 from mercata.functions.calendar import calendar_attributes, date_key, to_date_col
-from mercata.functions.measures import guarded_ratio, mean, ratio, rounded_mean
+from mercata.functions.measures import guarded_ratio, mean, ratio
 from mercata.functions.naming import clean_name, clean_name_col, clean_names
 
 __all__ = [
@@ -13,6 +13,5 @@ __all__ = [
     "guarded_ratio",
     "mean",
     "ratio",
-    "rounded_mean",
     "to_date_col",
 ]

@@ -11,11 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Averages of per-row double ratios depend on addition order; they are reported
-# with this many decimal places so results do not move with the partitioning.
-MARGIN_DIGITS = 9
-
-
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -34,8 +29,3 @@ def mean(col: Column | str) -> Column:
     """Average of non-NULL values: exact sum, then one double division."""
     c = _c(col)
     return F.try_divide(F.sum(c).cast("double"), F.count(c))
-
-
-def rounded_mean(col: Column | str, digits: int = MARGIN_DIGITS) -> Column:
-    """Average of a double column, rounded so it is reproducible across layouts."""
-    return F.round(F.avg(_c(col)), digits)

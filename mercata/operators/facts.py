@@ -35,7 +35,7 @@ _LOOKUPS = (
 def _lookup_all(df: DataFrame, dims: Mapping[str, Dimension], which, on_duplicate: str = "keep") -> DataFrame:
     for spec, on in which:
         dim = dims[spec.name]
-        df = left_lookup(df, dim.frame, dim.rows, on, [spec.key], on_duplicate)
+        df = left_lookup(df, dim.frame, on, [spec.key], on_duplicate)
     return df
 
 

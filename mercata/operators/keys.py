@@ -10,16 +10,14 @@
    are written as a parquet table below the shared checkpoint folder: range
    bounds are sampled, so the layout is pinned before positions are derived from
    it (this also cuts the lineage: a lost executor re-reads the files);
-3. rows per partition from the pinned table (reads one int column; one row per
-   partition reaches the driver) -> prefix sums -> an offsets literal;
-4. position = offset[partition] + index inside the partition.
+3. rows per partition from the pinned table (reads one int column) -> prefix
+   sums -> a small offsets table, one row per range;
+4. position = offset of the partition (a join on its id) + index inside it.
 
 A dense key is ``position + 1`` (equal to ``row_number()`` over the order).  A
 rank is ``1 + min(position)`` over the rows sharing the ranked value (equal to
 ``rank()``), computed with a partially aggregated group-by and a join, so a value
-shared by a third of the rows never lands in one task.  When the caller proves
-the input is small (a row bound such as a dimension's member count), ranks and
-grand totals use a plain window instead: one task over at most that many rows.
+shared by a third of the rows never lands in one task.
 """
 
 from __future__ import annotations
@@ -37,6 +35,8 @@ _TIE = "__mercata_tie"
 _FIRST = "__mercata_first"
 _PART = "__mercata_part"
 _LOCAL = "__mercata_local"
+_ROWS = "__mercata_rows"
+_OFFSET = "__mercata_offset"
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition id above bit 33
 
 
@@ -65,18 +65,16 @@ def global_positions(df: DataFrame, order: Sequence[Column], *, split_ties: bool
     staged.write.parquet(path)  # pins the sampled layout; a lost executor re-reads these files
     pinned = spark.read.parquet(path)
 
-    per_part = pinned.groupBy(_PART).count().collect()  # reads one int column; one row per range
-    counts = {int(r[_PART]): int(r["count"]) for r in per_part}
-    offsets, total = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(p, 0)
-
-    if offsets:
-        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1)
-    else:
-        offset = F.lit(0).cast("long")
-    out = pinned.withColumn(POSITION, offset + F.col(_LOCAL)).drop(_PART, _LOCAL)
+    # one row per range, in a table: its prefix sums never become driver objects or literals
+    per_part = pinned.groupBy(_PART).agg(F.count(F.lit(1)).alias(_ROWS))  # reads one int column
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets_path = scratch_path(spark, "offsets")
+    per_part.withColumn(_OFFSET, F.coalesce(F.sum(_ROWS).over(before), F.lit(0))).write.parquet(offsets_path)
+    offsets = spark.read.parquet(offsets_path)
+    total = offsets.agg(F.coalesce(F.sum(_ROWS), F.lit(0))).first()[0]
+    # bounded by the number of ranges (the shuffle width), not by the rows
+    placed = pinned.join(F.broadcast(offsets.select(_PART, _OFFSET)), _PART)
+    out = placed.withColumn(POSITION, F.col(_OFFSET) + F.col(_LOCAL)).drop(_PART, _LOCAL, _OFFSET)
     return Positioned(out, total)
 
 
@@ -99,40 +97,21 @@ def with_dense_key(df: DataFrame, key: str, natural: Sequence[str], *, unique: b
     return Keyed(keyed, pos.rows)
 
 
-# A global window runs in one task; it is used only below this proven row bound.
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def within_single_task(max_rows: int | None) -> bool:
-    """True when a proven row bound allows a single-task window."""
-    return max_rows is not None and max_rows <= SINGLE_TASK_ROWS
-
-
-def grand_total(df: DataFrame, col: str, *, max_rows: int | None = None) -> Column:
+def grand_total(df: DataFrame, col: str) -> Column:
     """``sum(col)`` over all rows of ``df``, as a column usable on every row.
 
-    Under the proven single-task bound this is a window over the whole (small)
-    input; otherwise a scalar subquery, which aggregates partially everywhere but
-    evaluates ``df`` a second time.
+    A scalar subquery: it aggregates partially everywhere, so no task sees all rows.
     """
-    if within_single_task(max_rows):
-        return F.sum(col).over(Window.partitionBy())
     return df.select(F.sum(col)).scalar()
 
 
-def with_rank_desc(df: DataFrame, value: str, rank_col: str, *, partitions: int | None = None,
-                   max_rows: int | None = None) -> DataFrame:
-    """``rank() OVER (ORDER BY value DESC NULLS LAST)`` as an int column.
+def with_rank_desc(df: DataFrame, value: str, rank_col: str, *, partitions: int | None = None) -> DataFrame:
+    """``rank() OVER (ORDER BY value DESC NULLS LAST)`` as an int column, from distributed positions.
 
-    ``max_rows`` is a proven upper bound of ``df``'s row count (e.g. the size of
-    the dimension whose key the rows are grouped by).  Under the single-task
-    bound a plain window is cheaper; otherwise, or without a bound, the rank is
-    computed from distributed positions.
+    Positions need a pinned layout, so calling this runs a job that writes ``df`` to the shared
+    scratch folder.
     """
-    order = [F.col(value).desc_nulls_last()]
-    if within_single_task(max_rows):
-        return df.withColumn(rank_col, F.rank().over(Window.orderBy(*order)))
-    pos = global_positions(df, order, split_ties=True, partitions=partitions).frame
+    pos = global_positions(df, [F.col(value).desc_nulls_last()], split_ties=True, partitions=partitions).frame
     firsts = pos.groupBy(F.col(value).alias(_FIRST + "_v")).agg(F.min(POSITION).alias(_FIRST))
     joined = pos.join(firsts, pos[value].eqNullSafe(firsts[_FIRST + "_v"]), "inner")
     return joined.withColumn(rank_col, (F.col(_FIRST) + 1).cast("int")).drop(POSITION, _FIRST, _FIRST + "_v")

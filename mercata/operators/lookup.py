@@ -1,10 +1,8 @@
-"""Left lookup joins of a fact against a dimension, broadcast only behind a size check.
+"""Left lookup joins of a fact against a dimension.
 
-Dimensions built here carry their exact row count (a by-product of key
-assignment), so the broadcast decision uses a proven bound: rows x estimated row
-width against ``spark.mercata.lookup.broadcastBytes`` (default: Spark's broadcast
-threshold).  Larger lookups take a shuffle join, where AQE can still split a hot
-fact key (left side of a left join).
+No broadcast is forced: saved dimensions carry their real size, so Spark
+broadcasts one below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles a
+larger one, where AQE can still split a hot fact key (left side of a left join).
 """
 
 from __future__ import annotations
@@ -13,41 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from mercata.config import lookup_broadcast_bytes
-
-_ROW_OVERHEAD = 16
-# Per-value width guesses for the size check (variable-length types get a generous average).
-_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
-                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-_VARIABLE_WIDTH = 48
-
-
-def _width(dt: T.DataType) -> int:
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    return _FIXED_WIDTH.get(dt.typeName(), _VARIABLE_WIDTH)
-
-
-def estimated_bytes(df: DataFrame, rows: int) -> int:
-    width = sum(_width(f.dataType) for f in df.schema.fields) + _ROW_OVERHEAD
-    return rows * width
-
-
-def sized(df: DataFrame, rows: int | None) -> DataFrame:
-    """Mark ``df`` for broadcast when its known size is under the threshold."""
-    if rows is None:
-        return df
-    if estimated_bytes(df, rows) <= lookup_broadcast_bytes(df.sparkSession):
-        return F.broadcast(df)
-    return df
-
 
 ON_DUPLICATE = ("keep", "first")
 
 
-def left_lookup(fact: DataFrame, dim: DataFrame, dim_rows: int | None,
+def left_lookup(fact: DataFrame, dim: DataFrame,
                 on: Sequence[tuple[str, str]], take: Sequence[str], on_duplicate: str = "keep") -> DataFrame:
     """Attach ``take`` columns of ``dim`` to every fact row.
 
@@ -61,9 +29,8 @@ def left_lookup(fact: DataFrame, dim: DataFrame, dim_rows: int | None,
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
     alias = {d: f"__lk_{i}" for i, (_, d) in enumerate(on)}
     right = dim.select(*[F.col(d).alias(alias[d]) for _, d in on], *take)
-    if on_duplicate == "first":  # at most as many rows as before, so the size bound still holds
+    if on_duplicate == "first":
         right = right.groupBy(*alias.values()).agg(*[F.min(c).alias(c) for c in take])
-    right = sized(right, dim_rows)
     cond = None
     for f_col, d_col in on:
         term = fact[f_col] == right[alias[d_col]]

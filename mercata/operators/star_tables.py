@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from mercata.operators.lookup import sized
 
 
 @dataclass(frozen=True)
@@ -26,11 +25,6 @@ class StarTables:
     def n(self, table: str) -> int | None:
         return (self.rows or {}).get(table)
 
-    def groups_bound(self, table: str) -> int | None:
-        """Rows of a result grouped by ``table``'s key (or attributes): members + the NULL group."""
-        n = self.n(table)
-        return None if n is None else n + 1
-
     def lookup(self, table: str, *cols: str) -> DataFrame:
-        """Projection of a dimension, broadcast when its known size allows."""
-        return sized(getattr(self, table).select(*cols), self.n(table))
+        """Projection of a dimension; Spark broadcasts it if its size allows."""
+        return getattr(self, table).select(*cols)

@@ -8,9 +8,6 @@ types are cast to the Spark result types so schemas compare equal.
 
 from __future__ import annotations
 
-from mercata.functions.naming import STRIP_PATTERN
-from mercata.operators.dims import SHIP_MODE_DESCRIPTIONS, UNKNOWN_SHIP_MODE
-from mercata.operators.marts import LTV_DEFAULT_TIER, LTV_TIERS
 from mercata.sources.driver_tables import ORDERS_SQL, PEOPLE_SQL, RETURNS_SQL, duckdb_text
 
 
@@ -37,10 +34,15 @@ def _margin(col: str = "profit_margin") -> str:
     return f"ROUND(AVG({col}), 9)"
 
 
-_SHIP_CASE = "CASE ship_mode " + " ".join(
-    f"WHEN '{m}' THEN '{d}'" for m, d in SHIP_MODE_DESCRIPTIONS) + f" ELSE '{UNKNOWN_SHIP_MODE}' END"
-_TIER_CASE = "CASE " + " ".join(
-    f"WHEN lifetime_revenue >= {b} THEN '{t}'" for b, t in LTV_TIERS) + f" ELSE '{LTV_DEFAULT_TIER}' END"
+# Restated here, not imported: a wrong value in the engine must not pass.
+_SHIP_CASE = """CASE ship_mode
+    WHEN 'First Class' THEN 'Priority shipping (1-2 business days)'
+    WHEN 'Second Class' THEN 'Standard priority (2-4 business days)'
+    WHEN 'Standard Class' THEN 'Regular shipping (4-7 business days)'
+    WHEN 'Same Day' THEN 'Same day delivery'
+    ELSE 'Unknown' END"""
+_TIER_CASE = """CASE WHEN lifetime_revenue >= 5000 THEN 'Platinum' WHEN lifetime_revenue >= 2000 THEN 'Gold'
+    WHEN lifetime_revenue >= 500 THEN 'Silver' ELSE 'Bronze' END"""
 
 _FACT_SALES_ORDER = ["order_id", "order_date_key", "ship_date_key", "customer_key", "product_key",
                      "geography_key", "ship_mode_key", "revenue", "quantity", "discount", "profit"]
@@ -226,13 +228,17 @@ _STAR = ["dim_customer", "dim_product", "dim_geography", "dim_ship_mode", "dim_d
 
 
 def _clean(col: str) -> str:
-    stripped = f"regexp_replace({col}, '{STRIP_PATTERN}', '', 'g')"
+    stripped = f"regexp_replace({col}, '^[ \\t\\n]+|[ \\t\\n]+$', '', 'g')"  # the white space that the names below hold
     return f"replace(replace(replace(replace(lower({stripped}), ' ', '_'), '-', '_'), '(', ''), ')', '')"
 
 
 EXTRA_FINAL: dict[str, str] = {
-    "clean_identifiers": f"""SELECT p_partkey, p_name, p_type, {_clean('p_name')} AS name_identifier,
-        {_clean('p_type')} AS type_identifier FROM part""",
+    "clean_identifiers": f"""SELECT p_partkey, raw_name, raw_type, {_clean('raw_name')} AS name_identifier,
+        {_clean('raw_type')} AS type_identifier FROM (SELECT p_partkey,
+          concat(' ', p_name, ' (', p_brand, ')-', p_type, chr(9)) AS raw_name, concat('(', p_type, ') - ', p_size, '  ') AS raw_type
+        FROM part) p""",
+    "landing_dispatch": """SELECT n_name, COUNT(s_suppkey) AS suppliers, MIN(s_name) AS first_supplier
+        FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey GROUP BY n_name""",
     "filter_returned": "SELECT order_id, returned FROM fx_returns WHERE returned = 'Yes'",
     "ingest_delimited_roundtrip": """SELECT order_id, order_date, ship_date, ship_mode, customer_id,
         customer_name, segment, country AS "country/region", state AS "state/province", city,

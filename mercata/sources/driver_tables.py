@@ -20,7 +20,7 @@ TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 ORDERS_SQL = """
 SELECT
   concat('O-', CAST(l.l_orderkey AS STRING)) AS order_id,
-  CAST(o.o_orderdate AS DATE) AS order_date,
+  CASE WHEN l.l_orderkey % 211 = 0 THEN NULL ELSE CAST(o.o_orderdate AS DATE) END AS order_date,
   CAST(l.l_shipdate AS DATE) AS ship_date,
   CASE o.o_orderpriority
     WHEN '1-URGENT' THEN 'Same Day'
@@ -41,6 +41,7 @@ SELECT
   p.p_brand AS sub_category,
   CASE WHEN p.p_partkey % 50 = 0 AND l.l_linenumber = 7 THEN concat(p.p_name, ' v2') ELSE p.p_name END AS product_name,
   CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))
+       * CASE WHEN l.l_linenumber = 2 AND l.l_orderkey % 97 = 0 THEN 0 ELSE 1 END
        * CASE c.c_custkey % 4 WHEN 0 THEN 0.00500 WHEN 1 THEN 0.00160 WHEN 2 THEN 0.00050 ELSE 0.00016 END
        AS DECIMAL(18,9)) AS sales,
   CAST(l.l_quantity AS INT) AS quantity,
@@ -57,24 +58,23 @@ JOIN {region} r ON n.n_regionkey = r.r_regionkey
 JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 
-# Lowest supplier name per region as its manager; EUROPE has none; ASIA has two.
+# Lowest and highest supplier name of each region as its managers.
 PEOPLE_SQL = """
-SELECT min(s.s_name) AS regional_manager, r.r_name AS region
-FROM {supplier} s
-JOIN {nation} n ON s.s_nationkey = n.n_nationkey
-JOIN {region} r ON n.n_regionkey = r.r_regionkey
-WHERE r.r_name <> 'EUROPE'
-GROUP BY r.r_name
-UNION ALL
-SELECT 'Second Manager' AS regional_manager, 'ASIA' AS region
+SELECT CASE k WHEN 1 THEN lowest ELSE highest END AS regional_manager, region
+FROM (
+  SELECT min(s.s_name) AS lowest, max(s.s_name) AS highest, r.r_name AS region
+  FROM {supplier} s
+  JOIN {nation} n ON s.s_nationkey = n.n_nationkey
+  JOIN {region} r ON n.n_regionkey = r.r_regionkey
+  GROUP BY r.r_name) m
+CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 AS k) two
 """
 
-# One event per first order line flagged R (returned) or A (not returned); not de-duplicated.
+# One event per order line: R is a return, any other flag is not; not de-duplicated.
 RETURNS_SQL = """
 SELECT concat('O-', CAST(l.l_orderkey AS STRING)) AS order_id,
        CASE l.l_returnflag WHEN 'R' THEN 'Yes' ELSE 'No' END AS returned
 FROM {lineitem} l
-WHERE l.l_linenumber = 1 AND l.l_returnflag IN ('R', 'A')
 """
 
 # The raw orders table of the source warehouse names these two columns with a slash.
@@ -88,30 +88,9 @@ class RetailInputs:
     returns: DataFrame
 
 
-# Tables streamed through the joins (the others are small enough to broadcast).
-STREAMED = ("lineitem", "orders")
-
-
-def with_parallelism_floor(df: DataFrame, floor: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A file with a single row group is one task however large it is; a
-    round-robin repartition lets the joins after it use every core.  A scan that
-    already has enough splits (any real-size table) is left untouched.
-    """
-    floor = floor or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < floor:
-        return df.repartition(floor)
-    return df
-
-
 def read_tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = TPCH_TABLES) -> dict[str, DataFrame]:
-    """The TPC-H-like tables of ``sf_dir``; streamed ones get a parallelism floor."""
-    out = {}
-    for n in names:
-        df = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{n}.parquet")
-        out[n] = with_parallelism_floor(df) if n in STREAMED else df
-    return out
+    """The TPC-H-like tables of ``sf_dir``."""
+    return {n: spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{n}.parquet") for n in names}
 
 
 def retail_inputs(spark: SparkSession, sf_dir: str) -> RetailInputs:

@@ -1,11 +1,13 @@
 """Landing folder dispatch: ``.xlsx`` -> workbook ingest, ``.csv`` -> delimited ingest.
 
-The folder is listed flat (no recursion).  Suffix tests are case-sensitive, as
-in the source warehouse; other files are skipped with a message.  Unlike the
-source, target names are planned for *all* files first, and two files or sheets
-that clean to one table name stop the run before anything is written (the
-source would silently overwrite one with the other).  Legacy ``.xls`` is not
-decoded (binary format); it stops the run with a clear error.
+The direct entries of the folder are dispatched by their own names: files, and
+folders as distributed writers leave them (``orders.csv/part-*``).  Suffix tests
+are case-sensitive, as in the source warehouse; every other entry is skipped with
+a message, hidden ones included.  Unlike the source, target names are planned for
+*all* entries first, and two entries or sheets that clean to one table name stop
+the run before anything is written (the source would silently overwrite one with
+the other).  Legacy ``.xls`` is not decoded (binary format); it stops the run with
+a clear error.
 """
 
 from __future__ import annotations
@@ -27,29 +29,37 @@ WORKBOOK_SUFFIXES = (".xlsx", ".xls")
 DELIMITED_SUFFIX = ".csv"
 
 
-def _norm(path: str) -> str:
-    path = path.rstrip("/")
-    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+def _file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and its path class, as Spark's own readers use them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
 
 
 def list_landing(spark: SparkSession, directory: str) -> list[str]:
-    """Full paths of the files directly inside ``directory`` (sub-folders are ignored)."""
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-              .select("path").collect())  # file names only; content is not read for this projection
-    root = _norm(directory)
-    return sorted(r["path"] for r in listed if posixpath.dirname(_norm(r["path"])) == root)
+    """Full paths of the entries (files and folders) directly inside ``directory``."""
+    fs, path = _file_system(spark, directory)
+    return sorted(s.getPath().toString() for s in fs.listStatus(path(directory)))
+
+
+def move_single_part(spark: SparkSession, written: str, target: str) -> None:
+    """Move the one part file of the folder ``written`` to the file ``target``."""
+    fs, path = _file_system(spark, written)
+    parts = [s.getPath() for s in fs.listStatus(path(written)) if s.getPath().getName().startswith("part-")]
+    if len(parts) != 1 or not fs.rename(parts[0], path(target)):
+        raise ValueError(f"{written!r} does not hold one part file that can become {target!r}")
 
 
 def ingest_landing(spark: SparkSession, directory: str, database: str,
                    overrides: Mapping[str, Mapping[str, str]] | None = None,
                    schemas: Mapping[str, str] | None = None) -> list[IngestResult]:
-    """Ingest every supported file; ``overrides`` / ``schemas`` are keyed by raw table name."""
-    files = list_landing(spark, directory)
-    csvs = [p for p in files if p.endswith(DELIMITED_SUFFIX)]
-    books = [p for p in files if p.endswith(WORKBOOK_SUFFIXES)]
-    for p in files:
+    """Ingest every supported entry; ``overrides`` / ``schemas`` are keyed by raw table name."""
+    entries = list_landing(spark, directory)
+    seen = [p for p in entries if not posixpath.basename(p).startswith(("_", "."))]  # Spark reads no hidden ones
+    csvs = [p for p in seen if p.endswith(DELIMITED_SUFFIX)]
+    books = [p for p in seen if p.endswith(WORKBOOK_SUFFIXES)]
+    for p in entries:
         if p not in csvs and p not in books:
-            log.warning("skipping unsupported file type: %s", posixpath.basename(p))
+            log.warning("skipping %s entry: %s", "unsupported" if p in seen else "hidden", posixpath.basename(p))
     legacy = [p for p in books if not p.endswith(".xlsx")]
     if legacy:
         raise ValueError(f"legacy .xls workbooks are not supported: {legacy}")

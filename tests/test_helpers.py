@@ -6,7 +6,6 @@ import time
 import pytest
 
 from mercata.plans.concurrency import run_concurrently, run_graph
-from mercata.sources.landing import _norm
 
 
 def test_run_graph_respects_dependencies_and_overlaps_independent_work():
@@ -45,10 +44,3 @@ def test_run_concurrently_returns_by_name():
     names = set()
     out = run_concurrently({f"t{i}": (lambda i=i: names.add(threading.get_ident()) or i) for i in range(4)}, 4)
     assert out == {"t0": 0, "t1": 1, "t2": 2, "t3": 3}
-
-
-def test_landing_path_normalisation():
-    assert _norm("file:/tmp/landing/") == "/tmp/landing"
-    assert _norm("file:///tmp/landing") == "/tmp/landing"
-    assert _norm("/tmp/landing") == "/tmp/landing"
-    assert _norm("s3a://bucket/landing/") == "s3a://bucket/landing"

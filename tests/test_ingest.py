@@ -59,7 +59,7 @@ def test_landing_dispatch_workbook_and_csv(spark, tmp_dir):
     _write(os.path.join(land, "Returns.csv"), "order_id,returned\nO-1,Yes\n")
     _write(os.path.join(land, "notes.txt"), "ignored")
     _write(os.path.join(land, "archive", "old.csv"), "a\n1\n")
-    assert [os.path.basename(p) for p in list_landing(spark, land)] == ["Retail.xlsx", "Returns.csv", "notes.txt"]
+    assert [os.path.basename(p) for p in list_landing(spark, land)] == ["Retail.xlsx", "Returns.csv", "archive", "notes.txt"]
     ensure_namespace(spark, "t_land")
     res = {r.table: r for r in ingest_landing(spark, land, "t_land")}
     assert set(res) == {"orders", "people", "returns"}  # empty sheet skipped, txt skipped, sub-folder ignored
@@ -70,6 +70,21 @@ def test_landing_dispatch_workbook_and_csv(spark, tmp_dir):
     assert spark.table("t_land.people").first()["regional_manager"] == "Mia"
 
 
+def test_landing_ingests_folders_and_skips_hidden_entries(spark, tmp_dir, caplog):
+    land = os.path.join(tmp_dir, "landing")
+    spark.range(100).selectExpr("id", "id * 2 AS twice").repartition(3).write.option("header", "true").csv(f"{land}/Order Lines.csv")
+    with open(os.path.join(land, "people.csv"), "w") as f:
+        f.write("name,region\nMia,West\n")
+    with open(os.path.join(land, "_hidden.csv"), "w") as f:
+        f.write("a\n1\n")
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_folders")
+    with caplog.at_level("WARNING"):
+        res = {r.table: r for r in ingest_landing(spark, land, "t_folders")}
+    assert {t: r.rows for t, r in res.items()} == {"order_lines": 100, "people": 1}
+    assert spark.table("t_folders.order_lines").selectExpr("sum(twice)").first()[0] == 9900
+    assert any("_hidden.csv" in m for m in caplog.messages)
+
+
 def test_landing_name_collision_stops_before_writing(spark, tmp_dir):
     land = os.path.join(tmp_dir, "landing")
     os.makedirs(land)

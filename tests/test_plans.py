@@ -1,4 +1,4 @@
-"""Plan shapes the design relies on: size-checked broadcast, column pruning, no single-task rank."""
+"""Plan shapes the design relies on: lookups by real size, column pruning, two-level measures."""
 
 import contextlib
 import io
@@ -22,23 +22,31 @@ def _fact_and_dim(spark):
     return fact, dim
 
 
-def test_lookup_broadcasts_under_the_bound(spark):
-    fact, dim = _fact_and_dim(spark)
-    plan = plan_of(left_lookup(fact, dim, 5, [("customer_id", "customer_id")], ["customer_key"]))
-    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
-
-
-def test_lookup_over_the_bound_is_not_hinted(spark):
+def test_lookup_follows_the_real_size_of_a_saved_dimension(spark, tmp_dir):
     fact, dim = _fact_and_dim(spark)
+    wide = dim.selectExpr("customer_id", "customer_key", "repeat(customer_id, 200000) AS note")
+    dim.write.parquet(f"{tmp_dir}/small")
+    wide.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(f"{tmp_dir}/wide")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.mercata.lookup.broadcastBytes", "100")  # 5 rows x ~80 bytes exceed it
     try:
-        plan = plan_of(left_lookup(fact, dim, 5, [("customer_id", "customer_id")], ["customer_key"]))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+        on = [("customer_id", "customer_id")]
+        small = plan_of(left_lookup(fact, spark.read.parquet(f"{tmp_dir}/small"), on, ["customer_key"]))
+        large = plan_of(left_lookup(fact, spark.read.parquet(f"{tmp_dir}/wide"), on, ["customer_key", "note"]))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.unset("spark.mercata.lookup.broadcastBytes")
-    assert "BroadcastHashJoin" not in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
+    assert "BroadcastHashJoin" in small and "LeftOuter" in small
+    assert "BroadcastHashJoin" not in large  # five rows, but two megabytes of text
+
+
+def test_state_mart_groups_orders_before_counting_distinct(spark, tmp_dir):
+    star = build_star(toy.orders(spark, [dict(order_id="O-1"), dict(order_id="O-2", customer_id="C-2")]),
+                      toy.people(spark, [("Mia", "West")]), toy.returns(spark, [("O-1", "Yes")]))
+    lines = plan_of(marts.STATES.groups(star)).splitlines()
+    expand = next(i for i, line in enumerate(lines) if "Expand" in line)
+    by_order = next(i for i, line in enumerate(lines) if "HashAggregate" in line and "order_id" in line.split("functions")[0]
+                    and "customer_key" in line.split("functions")[0] and "__sum" not in line.split("functions")[0] and i > expand)
+    assert expand < by_order  # copies are made of order rows, not of fact lines
 
 
 def test_marts_prune_columns_and_aggregate_partially(spark, tmp_dir):

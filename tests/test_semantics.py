@@ -195,29 +195,19 @@ def test_revenue_totals_are_preserved(spark):
         assert marts.MARTS[name](star).agg(F.sum(col)).first()[0] == pytest.approx(total), name
 
 
-def test_ranks_distributed_path_matches(spark, monkeypatch):
-    from mercata.operators import keys
-
+def test_ranks_of_ties_and_missing_values(spark):
     lines = [dict(order_id=f"O-{i}", product_id=f"P-{i}", sales=s, profit=p)
              for i, (s, p) in enumerate([(50.0, 1.0), (50.0, 2.0), (20.0, 2.0), (None, None)])]
     star = star_of(spark, lines)
-    window = rows(marts.agg_product_performance(star), "product_id", "revenue_rank", "profit_rank")
-    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 0)
-    distributed = rows(marts.agg_product_performance(star), "product_id", "revenue_rank", "profit_rank")
-    assert distributed == window == [("P-0", 1, 3), ("P-1", 1, 1), ("P-2", 3, 1), ("P-3", 4, 4)]
-
+    assert rows(marts.agg_product_performance(star), "product_id", "revenue_rank", "profit_rank") == [("P-0", 1, 3), ("P-1", 1, 1), ("P-2", 3, 1), ("P-3", 4, 4)]
 
-def test_shares_subquery_path_matches(spark, monkeypatch):
-    from mercata.operators import keys
 
+def test_shares_of_revenue(spark):
     lines = [dict(order_id="O-1", ship_mode="First Class", sales=30.0), dict(order_id="O-2", ship_mode="Freight", sales=10.0),
              dict(order_id="O-3", ship_mode="Freight", sales=60.0)]
     star = star_of(spark, lines)
-    window = rows(marts.agg_shipping_analysis(star), "ship_mode", "revenue_share_pct", "order_share_pct")
-    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 0)
-    subquery = rows(marts.agg_shipping_analysis(star), "ship_mode", "revenue_share_pct", "order_share_pct")
-    assert subquery == window
-    assert [r[1] for r in window] == [30.0, 70.0]
+    shares = rows(marts.agg_shipping_analysis(star), "ship_mode", "revenue_share_pct", "order_share_pct")
+    assert [r[1] for r in shares] == [30.0, 70.0]
 
 
 def test_us_style_dates_with_formats(spark):
@@ -252,3 +242,10 @@ def test_manager_keys_follow_region_then_name(spark):
     star = star_of(spark, [dict()], people_rows=[("Zoe", "East"), ("Adam", "West"), ("Bea", "East"), ("Bea", "East")])
     got = rows(star.dim_regional_manager, "manager_key", "region", "manager_name")
     assert got == [(1, "East", "Bea"), (2, "East", "Bea"), (3, "East", "Zoe"), (4, "West", "Adam")]
+
+
+def test_a_manager_listed_twice_doubles_sums_only(spark):
+    lines = [dict(order_id="O-1", region="West", sales=30.0, profit=3.0), dict(order_id="O-2", region="West", sales=10.0, profit=1.0)]
+    once, twice = (marts.agg_regional_summary(star_of(spark, lines, people_rows=[("Mia", "West")] * n)).first() for n in (1, 2))
+    assert twice["total_revenue"] == 2 * once["total_revenue"] and twice["total_units_sold"] == 2 * once["total_units_sold"]
+    assert (twice["total_orders"], twice["avg_profit_margin"]) == (once["total_orders"], once["avg_profit_margin"])
