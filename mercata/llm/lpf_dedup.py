@@ -328,12 +328,13 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         again = F.broadcast(again)
     first_texts = keyed.alias("k").join(again.alias("f"), (F.col(f"k.{_KEY}") == F.col(f"f.{_KEY}")) & F.col(f"k.{_DOC}").eqNullSafe(F.col(f"f.{_DOC}")),
                                         "left_semi")
-    chosen = pin(first_texts.dropDuplicates([_DOC, _KEY]).join(places.select(_KEY, "places"), _KEY), "lpf-texts")
+    # one shuffle of these texts by key serves the join, the distinct and both uses below
+    chosen = first_texts.join(places.select(_KEY, "places"), _KEY).dropDuplicates([_KEY]).select(_KEY, _DOC, _TEXT, "places")
 
     sent = chosen.mapInArrow(lambda it: _sent(it, length), f"hash long, {_DOC} long, {_KEY} binary, first int, offset int, bytes binary")
     runs = sent.repartition(n, "hash").sortWithinPartitions("hash").mapInArrow(lambda it: _suffixes(it, length), f"{_KEY} binary, a int, b int")
     per_text = runs.groupBy(_KEY).agg(F.collect_list(F.struct("a", "b")).alias("runs"))  # at most a text's windows
-    cut = chosen.select(_KEY, _TEXT).join(per_text, _KEY) \
+    cut = chosen.join(per_text, _KEY) \
         .mapInArrow(lambda it: _kept(it, length), f"{_KEY} binary, spans array<struct<start:long,end:long>>, sha string")
 
     joined = base.join(firsts, _KEY, "left").join(cut, _KEY, "left")
