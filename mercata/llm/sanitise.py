@@ -126,6 +126,13 @@ def find_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         _context(text, s).alias("words"))).alias("spans"))
 
 
+def _telling(n_t: Column, total: int, alpha: float) -> Column:
+    """Does a term of ``n_t`` texts disclose its entity?  Never grows with ``n_t``."""
+    texts = F.lit(float(max(total, 1)))
+    information = F.log(texts / F.col("n_e"))
+    return (information > 0) & (F.log(F.col("n_te") * texts / (n_t * F.col("n_e"))) >= alpha * information)
+
+
 def disclosing_terms(docs: DataFrame, base: DataFrame, *, text_col: str = "text", alpha: float = ALPHA,
                      together: int = MIN_TOGETHER) -> DataFrame:
     """``key, terms``: per text that holds any, the terms that disclose a protected entity."""
@@ -133,9 +140,13 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, *, text_col: str = "text"
     held = base.select("key", F.explode("spans").alias("s")) \
         .select("key", F.concat_ws(":", F.col("s.rank").cast("string"), F.col("s.value")).alias("entity"), F.col("s.words").alias("words"))
     n_entity = held.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    near = held.select("key", "entity", F.explode("words").alias("term")).distinct() \
-        .groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= together)
-    near = pin(near.join(n_entity, "entity"), "near-terms")
+    beside = pin(held.select("key", "entity", F.explode("words").alias("term")).distinct(), "beside")
+    # texts with the term beside any entity: no more than those with the term, so a term that
+    # fails by this count fails by the corpus count too, and common words need no counting
+    n_beside = beside.select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("n_b"))
+    near = beside.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= together)
+    near = near.join(n_entity, "entity").join(n_beside, "term")
+    near = pin(near.where(_telling(F.col("n_b"), total, alpha)).select("entity", "term", "n_te", "n_e"), "near-terms")
     wanted = near.select("term").distinct()
     if near.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
@@ -145,9 +156,7 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, *, text_col: str = "text"
         F.explode(F.array_distinct(F.split(F.lower("__llm_text"), r"[^\p{L}\p{N}]++"))).alias("term"))
     stands = pin(words.join(wanted, "term", "left_semi").distinct(), "term-texts")
     n_term = stands.groupBy("term").agg(F.count("*").alias("n_t"))
-    information = F.log(F.lit(float(max(total, 1))) / F.col("n_e"))
-    pmi = F.log(F.col("n_te") * F.lit(float(max(total, 1))) / (F.col("n_t") * F.col("n_e")))
-    telling = near.join(n_term, "term").where((information > 0) & (pmi >= alpha * information)).select("term").distinct()
+    telling = near.join(n_term, "term").where(_telling(F.col("n_t"), total, alpha)).select("term").distinct()
     return stands.join(telling, "term", "left_semi").groupBy("key").agg(F.collect_set("term").alias("terms"))
 
 
