@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -210,10 +211,27 @@ def _sent(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
         if not len(keep):
             continue
         rows = pa.array(text[keep])
+        keys = piece.column(_KEY).to_pylist()
+        order = [(d is None, d, k) for d, k in zip(piece.column(_DOC).to_pylist(), keys, strict=True)]
+        sends = [data[a:b + length] for a, b in zip(first[keep].tolist(), last[keep].tolist(), strict=True)]
+        hashes, offset = h[keep].view(np.int64).copy(), (place - first)[keep].astype(np.int32)
+        # equal bytes around equal anchors: the first of the piece goes on, for the others all
+        # windows start earlier, so a very common passage sends one row per piece
+        best: dict[tuple, int] = {}
+        for i, same in enumerate(zip(hashes.tolist(), offset.tolist(), sends, strict=True)):
+            was = best.setdefault(same, i)
+            if was != i:
+                late = i
+                if (order[text[keep[i]]], first[keep[i]]) < (order[text[keep[was]]], first[keep[was]]):
+                    best[same], late = i, was
+                sends[late] = b""
+        late = np.flatnonzero([not s for s in sends])
+        for i in late.tolist():  # no bytes: the windows from first to first + offset are found already
+            offset[i] = last[keep[i]] - first[keep[i]]
+            hashes[i] = int.from_bytes(keys[text[keep[i]]][:8], "little", signed=True) ^ i
         yield pa.RecordBatch.from_arrays(
-            [pa.array(h[keep].view(np.int64)), piece.column(_DOC).take(rows), piece.column(_KEY).take(rows),
-             pa.array((first - starts[text])[keep].astype(np.int32)), pa.array((place - first)[keep].astype(np.int32)),
-             pa.array([data[a:b + length] for a, b in zip(first[keep].tolist(), last[keep].tolist(), strict=True)], pa.binary())],
+            [pa.array(hashes), piece.column(_DOC).take(rows), piece.column(_KEY).take(rows),
+             pa.array((first - starts[text])[keep].astype(np.int32)), pa.array(offset), pa.array(sends, pa.binary())],
             names=["hash", _DOC, _KEY, "first", "offset", "bytes"])
 
 
@@ -239,7 +257,19 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
 
 
 def _previous(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """Runs of the windows with an earlier equal; rows without bytes name such a run themselves."""
+    bare = pa.compute.equal(pa.compute.binary_length(batch.column("bytes")), 0)
+    known = batch.filter(bare)
+    found = _sorted_runs(batch.filter(pa.compute.invert(bare)), length)
+    again = pa.RecordBatch.from_arrays([known.column(_KEY), known.column("first"), pa.compute.add(known.column("first"), known.column("offset"))],
+                                       names=[_KEY, "a", "b"])
+    return pa.Table.from_batches([found, again]).combine_chunks().to_batches()[0] if known.num_rows else found
+
+
+def _sorted_runs(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     n = batch.num_rows
+    if not n:
+        return pa.RecordBatch.from_arrays([pa.array([], pa.binary()), pa.array([], pa.int32()), pa.array([], pa.int32())], names=[_KEY, "a", "b"])
     doc = batch.column(_DOC).fill_null(np.iinfo(np.int64).max).to_numpy()
     key = np.array(batch.column(_KEY).to_pylist(), "S16")
     first = batch.column("first").to_numpy().astype(np.int64)
