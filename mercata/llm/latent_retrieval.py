@@ -6,7 +6,7 @@
    chunk lies wholly in one passage.  Each text is read and split once: what goes on is its
    vocabulary terms with their places.
 2. Document frequencies over all passages give TF-IDF weights.  Terms of more than ``COMMON`` of the
-   passages weigh nothing in retrieval.
+   passages weigh nothing in retrieval, but for the ``TELLING`` rarest of each chunk.
 3. A randomised SVD of the passages' and chunks' TF-IDF matrix: two rounds of ``G = A'(A W)``, each
    a pass over all passages whose partial sums are added by blocks of terms; the chunks' rows weigh
    as much as the corpus together, so the latent space keeps the directions that items lie in.
@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 from mercata.llm.common import pieces, pin
 
 CHUNK = 40
-COMMON = 0.05
+COMMON = 0.005
+TELLING = 4   # terms of a chunk that weigh at least, however common they are
 RANK = 256
-COSINE = 0.4
+COSINE = 0.3
 LCS = 0.7
 ANSWER = 0.5
 SLICE = 4_096
@@ -270,9 +271,9 @@ def _slice_matches(texts: DataFrame, s: Slice, chunk: int, cosine: float, lcs: f
         df[r[0]] = r[1]
     idf = np.log((n + 1) / (df + 1))
     rare = df <= max(COMMON * n, 3)
-    for c in s.codes:  # a chunk of common terms alone keeps them
-        if not rare[c].any():
-            rare[c] = True
+    for c in s.codes:
+        own = np.unique(c)
+        rare[own[np.argsort(df[own], kind="stable")[:TELLING]]] = True
     s.idf = np.where(rare, np.maximum(idf, 1e-3), 0.0)
 
     own = chunk_rows(s)
