@@ -221,6 +221,9 @@ def _found(batches: Iterator[pa.RecordBatch], shared, chunk: int, cosine: float,
                 rows = np.add.reduceat(basis[term[span]] * weight[span, None].astype(np.float32), start[a:z] - start[a])
                 score = _unit(rows) @ latent.T
                 for i, j in np.argwhere(score >= cosine).tolist():
+                    # telling words first: they are few, and they stand in the passage's own row
+                    if len(telling[j].intersection(term[start[a + i]:stop[a + i]].tolist())) < answer * len(telling[j]):
+                        continue
                     doc = int(np.searchsorted(first, numbers[a + i], side="right")) - 1
                     k = int(numbers[a + i] - first[doc])
                     lo = ends[doc - 1] if doc else 0
@@ -228,7 +231,7 @@ def _found(batches: Iterator[pa.RecordBatch], shared, chunk: int, cosine: float,
                     last = of[-1] + 1 if k + 1 >= passages[doc] else (k + 2) * chunk
                     window = code[lo + np.searchsorted(of, k * chunk): lo + np.searchsorted(of, last)].tolist()
                     share = lcs_length(codes[j], window) / len(codes[j])
-                    if share >= lcs and len(telling[j].intersection(window)) >= answer * len(telling[j]):
+                    if share >= lcs:
                         was = out.get((doc, j), (0.0, 0.0))
                         out[doc, j] = max(was[0], float(score[i, j])), max(was[1], share)
             if out:
