@@ -4,15 +4,23 @@ Only DataFrame functions are used.  Two layers:
 
 * Base spans: e-mail addresses, IPv4 addresses, card numbers and phone numbers by the patterns
   below, leftmost and not overlapping within a kind.
-* Disclosing terms: the values found are the protected entities.  Over the whole corpus (distinct
-  texts) it is counted in how many texts an entity stands, in how many a term does, and in how many
-  the term stands next to the entity.  A term discloses an entity if their pointwise mutual
-  information reaches ``ALPHA`` of the entity's information content:
+* Disclosing terms: the protected entities are the values found, what they share (e-mail domain,
+  first digits of a number) and their kinds, so that a value of one text counts with its like.  Over
+  the whole corpus (distinct texts) it is counted in how many texts an entity stands, in how many a
+  term does (outside base spans), and in how many both do, wherever in the text.  A term discloses an
+  entity if their pointwise mutual information reaches ``ALPHA`` of the entity's information content:
 
-      log(n(t,e) N / (n(t) n(e)))  >=  ALPHA log(N / n(e)),   n(t,e) >= MIN_TOGETHER
+      log(n(t,e) N / (n(t) n(e)))  >=  ALPHA log(N / n(e))
 
-  that is, if whoever reads the term has nearly the entity itself.  Such terms are removed
-  wherever they stand.
+  that is, if whoever reads the term has nearly the entity itself, and if that is no accident: the
+  probability of so many common texts, were term and entity independent, is at most ``LEVEL`` over
+  the number of (text, entity, term) counted.  It is bounded by Chernoff's exp(-n KL) from either side
+
+      max(n(t) KL(n(t,e)/n(t), n(e)/N), n(e) KL(n(t,e)/n(e), n(t)/N))  >=  log(counted / LEVEL)
+
+  so how many texts are evidence follows from the corpus: a word that all three texts of a value
+  share tells more among a million texts than among a hundred.  Such terms are removed wherever
+  they stand.
 
 Matches are found by setting marks around them with one regular-expression replacement and cutting
 at the marks; positions are sums of lengths in code points.  Possessive quantifiers and look-behinds
@@ -21,15 +29,15 @@ keep every pattern linear in the text and free of recursion, also on very long r
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercata.llm.common import pin
 
 ALPHA = 0.9
-MIN_TOGETHER = 3        # distinct texts with term and entity side by side
-CONTEXT_WORDS = 6       # words on either side of an entity that are its context
-CONTEXT_CHARS = 120
+LEVEL = 0.01            # expected number of accidental (entity, term) pairs in a whole corpus
 BROADCAST_ROWS = 200_000  # candidate terms up to which they are broadcast (some 20 MB)
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -105,63 +113,92 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(email, ip, card, phone))
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Lower-case words next to a span."""
-    left = F.substring(text, F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0)) + 1,
-                       F.least(span["start"], F.lit(CONTEXT_CHARS)))
-    right = F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))
-    before = F.regexp_extract_all(F.lower(left), F.lit(_WORD), F.lit(0))
-    after = F.regexp_extract_all(F.lower(right), F.lit(_WORD), F.lit(0))
-    before = F.slice(before, F.greatest(F.size(before) - CONTEXT_WORDS, F.lit(0)) + 1, F.lit(CONTEXT_WORDS))
-    return F.array_distinct(F.concat(before, F.slice(after, 1, CONTEXT_WORDS)))
+def _words(text: Column, spans: Column) -> Column:
+    """Distinct lower-case words of a text outside its spans."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.greatest(s["start"] - acc["at"], F.lit(0))
+        return F.struct(F.concat(acc["out"], F.substring(text, acc["at"] + 1, gap), F.lit(" ")).alias("out"),
+                        F.greatest(acc["at"], s["end"]).cast("int").alias("at"))
+
+    rest = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    rest = F.when(F.size(spans) > 0, rest).otherwise(text)
+    return F.array_remove(F.array_distinct(F.split(F.lower(rest), r"[^\p{L}\p{N}]++")), "")
+
+
+def _entities(span: Column) -> Column:
+    """A span's kind, what its value shares with others, and its value."""
+    rank, value = span["rank"], span["value"]
+    kind = rank.cast("string")
+    number = F.when(rank >= 2, _digits(value)).otherwise(value)
+    shared = F.when(rank == 0, F.substring_index(value, "@", -1)) \
+        .when(rank == 1, F.substring_index(value, ".", 3)).otherwise(F.substring(number, 1, 6))  # network, issuer, area
+    return F.array(kind, F.concat_ws("~", kind, shared), F.concat_ws(":", kind, number))
 
 
 def find_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key (hash of the text), spans (start, rank, end, value, words next to it)."""
+    """doc_id, key (hash of the text), spans (start, rank, end, value), words (outside the spans)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), _clean(F.col(f"`{text_col}`")).alias("__llm_text"))
     found = rows.select("doc_id", "__llm_text", F.md5(F.col("__llm_text").cast("binary")).alias("key"), base_spans(F.col("__llm_text")).alias("__llm_spans"))
-    text = F.col("__llm_text")
     return found.select("doc_id", "key", F.transform("__llm_spans", lambda s: F.struct(
-        s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), F.lower(s["value"]).alias("value"),
-        _context(text, s).alias("words"))).alias("spans"))
+        s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), F.lower(s["value"]).alias("value"))).alias("spans"),
+        _words(F.col("__llm_text"), F.col("__llm_spans")).alias("words"))
+
+
+def _kl(p: Column, q: Column) -> Column:
+    """Information of a coin of ``p`` against one of ``q``."""
+    def part(x: Column, y: Column) -> Column:
+        return F.when((x > 0) & (y > 0), x * F.log(x / y)).otherwise(0.0)
+
+    return part(p, q) + part(1 - p, 1 - q)
 
 
-def _telling(n_t: Column, total: int, alpha: float) -> Column:
-    """Does a term of ``n_t`` texts disclose its entity?  Never grows with ``n_t``."""
+def _telling(n_t: Column, total: int, counted: int, alpha: float, level: float) -> Column:
+    """Does a term of ``n_t`` texts disclose its entity?  Never turns true as ``n_t`` grows."""
     texts = F.lit(float(max(total, 1)))
     information = F.log(texts / F.col("n_e"))
-    return (information > 0) & (F.log(F.col("n_te") * texts / (n_t * F.col("n_e"))) >= alpha * information)
+    share = F.log(F.col("n_te") * texts / (n_t * F.col("n_e"))) >= alpha * information
+    evidence = F.greatest(n_t * _kl(F.col("n_te") / n_t, F.col("n_e") / texts), F.col("n_e") * _kl(F.col("n_te") / F.col("n_e"), n_t / texts))
+    return (information > 0) & share & (evidence >= math.log(max(counted, 1) / level))
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, *, text_col: str = "text", alpha: float = ALPHA,
-                     together: int = MIN_TOGETHER) -> DataFrame:
+def disclosing_terms(base: DataFrame, *, alpha: float = ALPHA, level: float = LEVEL) -> DataFrame:
     """``key, terms``: per text that holds any, the terms that disclose a protected entity."""
-    total = base.select("key").distinct().count()
-    held = base.select("key", F.explode("spans").alias("s")) \
-        .select("key", F.concat_ws(":", F.col("s.rank").cast("string"), F.col("s.value")).alias("entity"), F.col("s.words").alias("words"))
-    n_entity = held.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    beside = pin(held.select("key", "entity", F.explode("words").alias("term")).distinct(), "beside")
-    # texts with the term beside any entity: no more than those with the term, so a term that
+    keys = base.groupBy("key").agg(F.count("*").alias("copies"))
+    total = keys.count()
+    copied = keys.where("copies > 1")
+    if copied.count() <= BROADCAST_ROWS:
+        copied = F.broadcast(copied)
+    # every row of a text counts as its part of one text
+    rows = base.join(copied, "key", "left").select("spans", "words", (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))
+    texts = F.round(F.sum("part")).cast("long")
+    held = rows.where(F.size("spans") > 0).select("words", "part", F.array_distinct(F.flatten(F.transform("spans", _entities))).alias("entities"))
+    n_entity = held.select(F.explode("entities").alias("entity"), "part").groupBy("entity").agg(texts.alias("n_e"))
+    counted = held.agg(F.round(F.coalesce(F.sum(F.size("words") * F.size("entities") * F.col("part")), F.lit(0))).cast("long")).collect()[0][0]
+    # texts with the term and any entity: no more than those with the term, so a term that
     # fails by this count fails by the corpus count too, and common words need no counting
-    n_beside = beside.select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("n_b"))
-    near = beside.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= together)
-    near = near.join(n_entity, "entity").join(n_beside, "term")
-    near = pin(near.where(_telling(F.col("n_b"), total, alpha)).select("entity", "term", "n_te", "n_e"), "near-terms")
+    n_held = held.select(F.explode("words").alias("term"), "part").groupBy("term").agg(texts.alias("n_h"))
+    near = held.select("words", "part", F.explode("entities").alias("entity")).select("entity", "part", F.explode("words").alias("term")) \
+        .groupBy("entity", "term").agg(texts.alias("n_te"))
+    # no pair has more evidence than one whose term and entity stand nowhere else
+    near = near.where(F.col("n_te") * F.log(F.lit(float(max(total, 1))) / F.col("n_te")) >= math.log(max(counted, 1) / level))
+    near = near.join(n_entity, "entity").join(n_held, "term")
+    near = pin(near.where(_telling(F.col("n_h"), total, counted, alpha, level)).select("entity", "term", "n_te", "n_e"), "near-terms")
     wanted = near.select("term").distinct()
     if near.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    clean = _clean(F.col(f"`{text_col}`"))
-    words = docs.select(clean.alias("__llm_text")).select(
-        F.md5(F.col("__llm_text").cast("binary")).alias("key"),
-        F.explode(F.array_distinct(F.split(F.lower("__llm_text"), r"[^\p{L}\p{N}]++"))).alias("term"))
-    stands = pin(words.join(wanted, "term", "left_semi").distinct(), "term-texts")
-    n_term = stands.groupBy("term").agg(F.count("*").alias("n_t"))
-    telling = near.join(n_term, "term").where(_telling(F.col("n_t"), total, alpha)).select("term").distinct()
-    return stands.join(telling, "term", "left_semi").groupBy("key").agg(F.collect_set("term").alias("terms"))
+    n_term = rows.select(F.explode("words").alias("term"), "part").join(wanted, "term", "left_semi").groupBy("term").agg(texts.alias("n_t"))
+    telling = near.join(n_term, "term").where(_telling(F.col("n_t"), total, counted, alpha, level)).select("term").distinct()
+    telling = pin(telling, "telling-terms")
+    if telling.count() <= BROADCAST_ROWS:
+        telling = F.broadcast(telling)
+    return base.select("key", F.explode("words").alias("term")).join(telling, "term", "left_semi") \
+        .groupBy("key").agg(F.collect_set("term").alias("terms"))
 
 
 def find_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
-               together: int = MIN_TOGETHER) -> DataFrame:
+               level: float = LEVEL) -> DataFrame:
     """One row per row of ``docs``: doc_id, base (spans of the four kinds), spans (with disclosing terms).
 
     Spans are (start, rank, end) by start, in code points, end exclusive; rank counts ``KINDS``.
@@ -169,7 +206,7 @@ def find_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     are not read; no rows give none.  A term inside a base span is no span of its own.
     """
     base = pin(find_base(docs, id_col=id_col, text_col=text_col), "pii-base")
-    terms = pin(disclosing_terms(docs, base, text_col=text_col, alpha=alpha, together=together), "pii-terms")
+    terms = pin(disclosing_terms(base, alpha=alpha, level=level), "pii-terms")
     extra = _term_spans(docs, terms, text_col)
     joined = base.join(extra, "key", "left")
     own = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 from collections import Counter
 
 from brute import PATTERNS, base_spans, sha, span_text
@@ -64,3 +66,54 @@ def test_odd_rows_and_empty_table(odd, nothing, odd_rows):
     assert Counter((r.doc_id, tuple((s.start, s.rank, s.end) for s in r.base)) for r in got) == Counter((d, tuple(base_spans(t))) for d, t in odd_rows)
     assert find_spans(nothing).collect() == []
     assert [k for k, _, _ in PATTERNS] == ["email", "ip", "card", "phone"]
+
+
+def plain_terms(texts, spans_of):
+    """Terms that disclose a kind, a shared part or a value, counted one distinct text at a time."""
+    n_t, n_e, n_te, counted = Counter(), Counter(), Counter(), 0
+    texts = set(texts)
+    for t in texts:
+        rest, at, entities = "", 0, set()
+        for a, k, b in spans_of(t):
+            v = t[a:b].lower()
+            number = "".join(c for c in v if c.isdigit()) if k >= 2 else v
+            entities |= {f"{k}", f"{k}:{number}", f"{k}~{[v.split('@')[-1], v.rsplit('.', 1)[0], number[:6], number[:6]][k]}"}
+            rest, at = rest + t[at:max(a, at)] + " ", max(at, b)
+        words = {w for w in re.split(r"[\W_]+", (rest + t[at:]).lower()) if w}
+        n_t.update(words)
+        n_e.update(entities)
+        n_te.update((e, w) for e in entities for w in words)
+        counted += len(entities) * len(words)
+
+    def kl(p, q):
+        return sum(x * math.log(x / y) for x, y in ((p, q), (1 - p, 1 - q)) if x > 0 and y > 0)
+
+    n, out = len(texts), set()
+    for (e, w), both in n_te.items():
+        evidence = max(n_t[w] * kl(both / n_t[w], n_e[e] / n), n_e[e] * kl(both / n_e[e], n_t[w] / n))
+        if n_e[e] < n and math.log(both * n / (n_t[w] * n_e[e])) >= 0.9 * math.log(n / n_e[e]) and evidence >= math.log(counted / 0.01):
+            out.add(w)
+    return out
+
+
+def test_terms_far_from_values_that_never_repeat(spark):
+    """Every address and number stands in one text; the telling words stand 60 words before it."""
+    r = random.Random(8)
+    fill = [f"w{i}" for i in range(400)]
+    docs = []
+    for i in range(300):
+        words = r.choices(fill, k=80)
+        if i < 12:
+            words = ["Zorblax", *words[:60], f"p{i}@corp.example", *words[60:], "corp"]
+        elif i < 24:
+            words = ["quuxish", *words[:60], f"+49 30 12{i}456", *words[60:]]
+        elif i < 30:
+            words = [*words, f"p{i}@other.example"]
+        docs += [(i, " ".join(words))] * r.choice((1, 1, 3))
+    docs += [(900, "zorblax without any address"), (901, None)]
+    got = find_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    text = dict(docs)
+    terms = {(row.doc_id, text[row.doc_id][s.start:s.end].lower()) for row in got for s in row.spans if s.rank == 4}
+    want = plain_terms([t or "" for _, t in docs], base_spans)
+    assert {"zorblax", "quuxish", "corp"} == want == {w for _, w in terms}
+    assert {d for d, w in terms if w == "zorblax"} == {*range(12), 900} and {d for d, w in terms if w == "quuxish"} == set(range(12, 24))
