@@ -39,6 +39,7 @@ GRAM = 32
 PIECE = 2 << 20
 BROADCAST_ROWS = 1_000_000  # keys of texts to read again up to which they are broadcast (some 60 MB)
 SORT_ROWS = 60_000          # anchors sorted together at least; a hash is never torn apart
+OUT_ROWS = 100_000          # runs of windows returned at once
 _DOC, _TEXT, _KEY, _ROW = "__llm_doc", "__llm_text", "__llm_key", "__llm_row"
 _POS_BITS = np.uint64((1 << 31) - 1)
 
@@ -239,37 +240,43 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
     """Rows sorted by hash: runs of windows (text, first start, last start) that also start earlier."""
     held: list[pa.RecordBatch] = []
     rows = 0
+    before = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        h = batch.column("hash").to_numpy()
+        cut = int(np.argmax(h == h[-1]))  # rows before the last hash
+        if rows + cut >= SORT_ROWS and (cut or h[0] != before):
+            yield from _previous([*held, batch.slice(0, cut)], length)
+            held, rows, batch = [], 0, batch.slice(cut)
         held.append(batch)
         rows += batch.num_rows
-        if rows < SORT_ROWS:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        h = table.column("hash").to_numpy()
-        cut = int(np.searchsorted(h != h[-1], False))  # rows before the last hash
-        if cut and cut < len(h):
-            yield _previous(table.slice(0, cut), length)
-            held, rows = [table.slice(cut)], len(h) - cut
-        else:
-            held = [table]
+        before = h[-1]
     if rows:
-        yield _previous(pa.Table.from_batches(held).combine_chunks().to_batches()[0], length)
+        yield from _previous(held, length)
 
 
-def _previous(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
+def _previous(held: list[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Runs of the windows with an earlier equal; rows without bytes name such a run themselves."""
+    table = pa.Table.from_batches(held)
+    # 64-bit offsets: with 32-bit ones a hot hash of more than 2 GiB would stay in several chunks
+    wide = pa.schema([f.with_type(pa.large_binary()) if f.type == pa.binary() else f for f in table.schema])
+    (batch,) = table.cast(wide).combine_chunks().to_batches()
     bare = pa.compute.equal(pa.compute.binary_length(batch.column("bytes")), 0)
     known = batch.filter(bare)
     found = _sorted_runs(batch.filter(pa.compute.invert(bare)), length)
     again = pa.RecordBatch.from_arrays([known.column(_KEY), known.column("first"), pa.compute.add(known.column("first"), known.column("offset"))],
                                        names=[_KEY, "a", "b"])
-    return pa.Table.from_batches([found, again]).combine_chunks().to_batches()[0] if known.num_rows else found
+    for runs in (found, again):
+        for at in range(0, runs.num_rows, OUT_ROWS):
+            part = runs.slice(at, OUT_ROWS)
+            yield pa.RecordBatch.from_arrays([part.column(_KEY).cast(pa.binary()), part.column("a"), part.column("b")], names=[_KEY, "a", "b"])
 
 
 def _sorted_runs(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     n = batch.num_rows
     if not n:
-        return pa.RecordBatch.from_arrays([pa.array([], pa.binary()), pa.array([], pa.int32()), pa.array([], pa.int32())], names=[_KEY, "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([], pa.large_binary()), pa.array([], pa.int32()), pa.array([], pa.int32())], names=[_KEY, "a", "b"])
     doc = batch.column(_DOC).fill_null(np.iinfo(np.int64).max).to_numpy()
     key = np.array(batch.column(_KEY).to_pylist(), "S16")
     first = batch.column("first").to_numpy().astype(np.int64)
@@ -278,7 +285,7 @@ def _sorted_runs(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     rank = np.empty(n, np.int64)
     rank[position] = np.arange(n)
     column = batch.column("bytes")
-    bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + n + 1].astype(np.int64)
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8)
     count = np.diff(bounds) - length + 1  # windows of each anchor
     windows = np.lib.stride_tricks.sliding_window_view(data, length)
@@ -293,8 +300,8 @@ def _sorted_runs(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
         again = order[1:][(ranked[1:] == ranked[:-1]).all(axis=1)]
         found_row.append(own[again])
         found_at.append(offset[own[again]] - o)
-    if not found_row:
-        return pa.RecordBatch.from_arrays([pa.array([], pa.binary()), pa.array([], pa.int32()), pa.array([], pa.int32())], names=[_KEY, "a", "b"])
+    if not any(map(len, found_row)):
+        return pa.RecordBatch.from_arrays([pa.array([], pa.large_binary()), pa.array([], pa.int32()), pa.array([], pa.int32())], names=[_KEY, "a", "b"])
     row, at = np.concatenate(found_row), np.concatenate(found_at)
     order = np.lexsort((at, row))
     row, at = row[order], at[order]

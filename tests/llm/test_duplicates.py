@@ -2,9 +2,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from brute import components, repeats, shingles
 
-from mercata.llm import registry
+from mercata.llm import lpf_dedup, registry
 from mercata.llm.components import components as spark_components
 from mercata.llm.jaccard import near_duplicates, shingle_sets
 from mercata.llm.lpf_dedup import anchors, repeated_spans
@@ -94,3 +95,32 @@ def test_repeats_odd_rows_and_empty_table(odd, nothing, odd_rows):
     # one document in two rows: its own later windows go, the first hundred bytes stay, in both rows
     assert len(nine) == 2 and all([(s.start, s.end) for s in r.spans] == [(1, 3000)] for r in nine)
     assert repeated_spans(nothing).collect() == []
+
+
+def test_suffixes_are_cut_between_hashes(monkeypatch):
+    """Each batch of hashes is settled once the next begins; a hash over several batches stays whole."""
+    r = random.Random(9)
+    hashes = sorted([1] * 3 + [2] * 250 + [3] * 40 + [r.randint(4, 60) for _ in range(700)])
+    texts = {h: [bytes(r.choice(b"ab") for _ in range(130)) for _ in range(3)] for h in hashes}
+    rows = [(h, i, i.to_bytes(16, "big"), 0, 30, r.choice(texts[h])[:r.randint(100, 130)]) for i, h in enumerate(hashes)]
+    names = ["hash", "__llm_doc", "__llm_key", "first", "offset", "bytes"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+    fed = []
+
+    def batches():
+        for at in range(0, len(rows), 50):
+            fed.append(at)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + 50], strict=True), types, strict=True)], names=names)
+
+    monkeypatch.setattr(lpf_dedup, "SORT_ROWS", 60)
+    got, taken = set(), []
+    for b in lpf_dedup._suffixes(batches(), 100):
+        taken.append(len(fed))
+        got |= {(x["__llm_key"], i) for x in b.to_pylist() for i in range(x["a"], x["b"] + 1)}
+    seen, want = set(), set()
+    for h, _, key, _, _, data in rows:
+        mine = {(h, i, data[i:i + 100]) for i in range(len(data) - 99)}
+        want |= {(key, i) for _, i, w in mine if (h, i, w) in seen}
+        seen |= mine
+    assert got == want and len(want) > 500
+    assert taken[0] < 10 and len(set(taken)) > 4
