@@ -6,14 +6,16 @@
    chunk lies wholly in one passage.  Each text is read and split once: what goes on is its
    vocabulary terms with their places.
 2. Document frequencies over all passages give TF-IDF weights.  Terms of more than ``COMMON`` of the
-   passages weigh nothing in retrieval, but for the ``TELLING`` rarest of each chunk.
+   passages weigh nothing in retrieval, but for the ``TELLING`` rarest of each chunk, which weigh as
+   much as a term of ``COMMON``: words of an item that stands everywhere are not drowned by rarer ones.
 3. A randomised SVD of the passages' and chunks' TF-IDF matrix: two rounds of ``G = A'(A W)``, each
    a pass over all passages whose partial sums are added by blocks of terms; the chunks' rows weigh
    as much as the corpus together, so the latent space keeps the directions that items lie in.
 4. Every passage is projected; chunks at a cosine of ``COSINE`` or more are candidates.
 5. A candidate is confirmed if its words and the chunk's have a longest common subsequence of
-   ``LCS`` of the chunk, and hold ``ANSWER`` of the chunk's telling words (the terms that weigh in
-   retrieval, which carry its answer).  That admits paraphrases, gaps and exchanged words.
+   ``LCS`` of the chunk, and hold words of ``ANSWER`` of the IDF of all its words (rare ones, which
+   carry its answer, count most).  That admits paraphrases, gaps and exchanged words, in an item
+   that stands in a few passages or in a third of them; what weighs in retrieval plays no part.
 
 The benchmark is worked through in slices of ``SLICE`` chunks, so what is broadcast (vocabulary,
 basis) is bounded by the slice, whatever the benchmark's size.
@@ -35,7 +37,7 @@ from mercata.llm.common import pieces, pin
 
 CHUNK = 40
 COMMON = 0.005
-TELLING = 4   # terms of a chunk that weigh at least, however common they are
+TELLING = 8   # terms of a chunk that weigh at least, however common they are
 RANK = 256
 COSINE = 0.3
 LCS = 0.7
@@ -57,7 +59,8 @@ class Slice:
     items: list[int | None]
     codes: list[np.ndarray]
     terms: dict[str, int]
-    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))  # weights in retrieval
+    full: np.ndarray = field(default_factory=lambda: np.zeros(0))  # IDF of all terms
     basis: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
 
@@ -204,7 +207,8 @@ def _found(batches: Iterator[pa.RecordBatch], shared, chunk: int, cosine: float,
     basis = s.basis.astype(np.float32)
     latent = _unit(chunk_rows(s) @ basis)
     codes = [c.tolist() for c in s.codes]
-    telling = [{t for t in c if s.idf[t] > 0} for c in codes]
+    weighs = [{t: float(s.full[t]) for t in c} for c in codes]
+    wanted = [answer * sum(w.values()) - 1e-9 for w in weighs]
     for batch in batches:
         for row in batch.to_pylist():
             passage, term, weight = _weighted(row, s.idf, chunk)
@@ -220,16 +224,20 @@ def _found(batches: Iterator[pa.RecordBatch], shared, chunk: int, cosine: float,
                 span = slice(start[a], stop[z - 1])
                 rows = np.add.reduceat(basis[term[span]] * weight[span, None].astype(np.float32), start[a:z] - start[a])
                 score = _unit(rows) @ latent.T
+                seen = -1
                 for i, j in np.argwhere(score >= cosine).tolist():
-                    # telling words first: they are few, and they stand in the passage's own row
-                    if len(telling[j].intersection(term[start[a + i]:stop[a + i]].tolist())) < answer * len(telling[j]):
+                    if i != seen:  # the candidates of a passage follow each other
+                        seen = i
+                        doc = int(np.searchsorted(first, numbers[a + i], side="right")) - 1
+                        k = int(numbers[a + i] - first[doc])
+                        lo = ends[doc - 1] if doc else 0
+                        of = place[lo:ends[doc]]
+                        last = of[-1] + 1 if k + 1 >= passages[doc] else (k + 2) * chunk
+                        window = code[lo + np.searchsorted(of, k * chunk): lo + np.searchsorted(of, last)].tolist()
+                        held = set(window)
+                    weight_of = weighs[j]
+                    if sum([weight_of[t] for t in held.intersection(weight_of)]) < wanted[j]:
                         continue
-                    doc = int(np.searchsorted(first, numbers[a + i], side="right")) - 1
-                    k = int(numbers[a + i] - first[doc])
-                    lo = ends[doc - 1] if doc else 0
-                    of = place[lo:ends[doc]]
-                    last = of[-1] + 1 if k + 1 >= passages[doc] else (k + 2) * chunk
-                    window = code[lo + np.searchsorted(of, k * chunk): lo + np.searchsorted(of, last)].tolist()
                     share = lcs_length(codes[j], window) / len(codes[j])
                     if share >= lcs:
                         was = out.get((doc, j), (0.0, 0.0))
@@ -277,7 +285,9 @@ def _slice_matches(texts: DataFrame, s: Slice, chunk: int, cosine: float, lcs: f
     for c in s.codes:
         own = np.unique(c)
         rare[own[np.argsort(df[own], kind="stable")[:TELLING]]] = True
-    s.idf = np.where(rare, np.maximum(idf, 1e-3), 0.0)
+    floor = np.log((n + 1) / (max(COMMON * n, 3) + 1))
+    s.idf = np.where(rare, np.maximum(idf, max(floor, 1e-3)), 0.0)
+    s.full = np.maximum(idf, 0.0)
 
     own = chunk_rows(s)
     own *= np.sqrt(max(n, 1) / len(own))  # as much weight as the corpus together

@@ -149,3 +149,22 @@ def test_decontamination_odd_rows(spark, odd, nothing):
     assert {(r.doc_id, r.item_id) for r in contaminated(odd, bench).collect()} == {(10, None)}
     assert contaminated(nothing, bench).collect() == []
     assert contaminated(odd, bench.limit(0)).collect() == []
+
+
+def test_decontamination_of_edited_copies_of_a_very_common_item(spark):
+    """An item in a third of the documents, in copies that keep 70 % of it, most without its rarest words."""
+    rng = np.random.default_rng(12)
+    hot = [f"h{i}" for i in range(40)]
+    items = [(0, " ".join(hot))] + [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 40))) for i in range(1, 40)]
+    docs = []
+    for d in range(900):
+        host = [f"w{x}" for x in rng.integers(0, 900, 6)] + [f"f{x}" for x in rng.integers(0, 3000, 120)]
+        rng.shuffle(host)
+        if d % 3 == 0:
+            gone = rng.random(40) < np.where(np.arange(40) % 10 == 5, 0.7, 0.15)  # h5, h15, h25 and h35 become the rarest
+            host[60:60] = [f"f{rng.integers(0, 3000)}" if g else w for g, w in zip(gone, hot, strict=True)]
+        docs.append((d, " ".join(host)))
+    want = {(d, 0) for d, t in docs if sum(w in hot for w in t.split()) >= 28}
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id) for r in contaminated(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and len(want) > 200
