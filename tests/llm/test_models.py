@@ -168,3 +168,19 @@ def test_decontamination_of_edited_copies_of_a_very_common_item(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     got = {(r.doc_id, r.item_id) for r in contaminated(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == want and len(want) > 200
+
+
+def test_search_of_each_length_and_of_many_equal_cosines(spark):
+    """Scaled copies have equal cosines: the smallest ids win; vectors of another length have their own neighbours."""
+    scaled = [(1000 - i, [1.0 * 2 ** (i % 20), 2.0 * 2 ** (i % 20), float(i // 20) * 2 ** (i % 20)]) for i in range(60)]
+    other = [(2000 + i, [1.0 + i, 5.0]) for i in range(30)]
+    frame = spark.createDataFrame(scaled + other + [(3000, [4.0])], "vec_id long, embedding array<float>").repartition(3)
+    got = {}
+    for r in nearest(frame, 5, query_every=50).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    vec = {i: np.array(v) for i, v in scaled + other}
+    assert set(got) == {950, 1000, 2000}
+    for q, ids in got.items():
+        near = [(-round(float(vec[q] @ v / np.linalg.norm(vec[q]) / np.linalg.norm(v)), 12), i) for i, v in vec.items() if i != q and len(v) == len(vec[q])]
+        assert ids == [i for _, i in sorted(near)[:5]]
+    assert got[1000] == [981, 982, 983, 984, 985]
