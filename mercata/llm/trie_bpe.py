@@ -12,8 +12,9 @@ The candidates of a prefix are the vocabulary tokens it ends in, from an automat
 prefixes that is filled as it is used.
 
 The vocabulary file's pipeline (NFC, white space, lower case, word pattern, bytes, word ends) is
-followed for words of Latin letters, digits and ASCII signs; any other word goes to the library
-alone, cut at ASCII white space, where that pipeline never joins.  Memory is bounded: word and
+followed for words of Latin letters, digits and ASCII signs; any other word, cut at ASCII white
+space, where that pipeline never joins, is normalised and cut into pieces by the library, and its
+pieces go into the trie like all others.  Memory is bounded: word and
 pair memories start anew beyond a fixed number of entries, which changes no result.
 """
 
@@ -207,7 +208,7 @@ class TrieEncoder:
         return s[:-1] + chr(ord(s[-1]) + _MARK)
 
     def _cut(self, word: str) -> list[str] | None:
-        """Pieces of a word of a text after normalisation; None: leave it to the library."""
+        """Pieces of a word of a text after normalisation; None: the library must cut it."""
         if word.isascii():
             low = word.lower()
             return [low] if low.isalpha() else None if _ODD_SPACE.search(low) else _ASCII_WORD.findall(low)
@@ -216,26 +217,24 @@ class TrieEncoder:
         low = unicodedata.normalize("NFC", word).lower()
         return [low] if low.isalpha() else self.latin_word.findall(low)
 
+    def _library_cut(self, word: str) -> list[str]:
+        """Symbols of the pieces of any word, normalised and cut by the library; merging is the trie's."""
+        cut = self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(word))
+        return [p[:-1] + chr(ord(p[-1]) + _MARK) for p, _ in cut]
+
     def learn(self, words: set[str]) -> None:
         """Put the ids of all ``words`` into the memory."""
         if len(self.words) > WORD_MEMO:
             self.words = {s: array("i", [i]).tobytes() for s, i in self.special.items()}
         cut = {}
-        left = []
         for w in words.difference(self.words):
             parts = self._cut(w)
-            if parts is None:
-                left.append(w)
-            else:
-                cut[w] = [self._symbols(p) for p in parts]
+            cut[w] = self._library_cut(w) if parts is None else [self._symbols(p) for p in parts]
         tokens = self.encode_words({p for parts in cut.values() for p in parts})
         get = self.ids.__getitem__
         ids = {piece: array("i", map(get, got)).tobytes() for piece, got in tokens.items()}
         for w, parts in cut.items():
             self.words[w] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[p] for p in parts])
-        if left:
-            for w, e in zip(left, self.lib.encode_batch_fast(left, add_special_tokens=False), strict=True):
-                self.words[w] = array("i", e.ids).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Words of a text; special strings are words of their own."""

@@ -116,3 +116,18 @@ def test_empty_table(spark, nothing):
     path = scratch_path(spark, "t")
     write_packed(nothing, path)
     assert read_digests(spark, path).collect() == [] and read_ids(spark, path).collect() == []
+
+
+def test_words_of_any_script_go_through_the_trie():
+    """The library only normalises and cuts: its encoder is never asked."""
+    path = public_tokenizers.path(WORDS)
+    own, plain = TrieEncoder(path), library(WORDS)
+    letters = "Привет мир ΣΑΣ 中文字 한글 İstanbul don’t “quoted”—dash a\u2003b x\x1cz ﬁne é中 123٣ \u200b 😀!a \u3000 e\u0301 \u00a0x"
+    r = random.Random(3)
+    texts = [letters] + ["".join(r.choices(letters, k=r.randint(1, 40))) for _ in range(500)]
+
+    class Cutter:
+        normalizer, pre_tokenizer = plain.normalizer, plain.pre_tokenizer
+
+    own.lib = Cutter()
+    assert own.encode(texts) == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
