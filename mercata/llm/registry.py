@@ -16,6 +16,7 @@ from mercata.llm.learned_partitions import nearest
 from mercata.llm.lpf_dedup import repeated_spans
 from mercata.llm.packed_ids import read_digests, write_packed
 from mercata.llm.shard import shuffle_into_shards
+from mercata.llm.spelling import spelling_variants
 from mercata.llm.token_counts import token_counts
 from mercata.llm.trie_bpe import encode_decode
 
@@ -90,6 +91,11 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, form and root."""
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage by name."""
     return {
@@ -103,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_trie_bpe": op8_trie_bpe,
         "op9_shingle_join": op9_shingle_join,
         "op10_packed_ids": op10_packed_ids,
+        "op11_spelling_variants": op11_spelling_variants,
     }
 
 
