@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.config import scratch_path
-from mercata.llm import sanitise, toxicity
+from mercata.llm import filter_audit, sanitise, toxicity
 from mercata.llm.common import read_table
 from mercata.llm.jaccard import near_duplicates
 from mercata.llm.latent_retrieval import contaminated
@@ -96,6 +96,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in every order, per language."""
+    return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage by name."""
     return {
@@ -110,9 +115,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_shingle_join": op9_shingle_join,
         "op10_packed_ids": op10_packed_ids,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_filter_audit": op12_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return {"op12_filter_audit": filter_audit.ORACLE}
