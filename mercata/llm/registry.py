@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.config import scratch_path
-from mercata.llm import filter_audit, sanitise, toxicity
+from mercata.llm import filter_audit, flat_graph, sanitise, toxicity
 from mercata.llm.common import read_table
 from mercata.llm.jaccard import near_duplicates
 from mercata.llm.latent_retrieval import contaminated
@@ -101,6 +101,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors that are near duplicates within their label."""
+    return flat_graph.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage by name."""
     return {
@@ -116,9 +121,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_packed_ids": op10_packed_ids,
         "op11_spelling_variants": op11_spelling_variants,
         "op12_filter_audit": op12_filter_audit,
+        "op13_flat_graph": op13_flat_graph,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op12_filter_audit": filter_audit.ORACLE}
+    return {"op12_filter_audit": filter_audit.ORACLE, "op13_flat_graph": flat_graph.ORACLE}
