@@ -7,8 +7,11 @@
    most texts never move.  Cells with more than ``1 / HEAVY`` of the rows are few whatever the data:
    texts of which every cell is one of those are passed on without a join, so a text of a third of
    all rows is no hot key.
-3. Only possible repeats are grouped by their whole texts, combined in the tasks before the shuffle,
-   for the smallest id.  The text is compared in full; what the filter lets through by accident
+3. The keys that may repeat become a bitmap of bounded size (``BITMAP_BITS``, whatever the data),
+   which the second scan consults: other texts are not shuffled at all.  Where the bitmap is too
+   small for the keys it lets more pass, and the join behind it settles that.
+   Only possible repeats are grouped by their whole texts, combined in the tasks before the shuffle,
+   for the smallest id.  The text is compared in full; what the filters let through by accident
    turns out to be alone.
 4. A document is then one mask.  Documents are counted per (part, mask), at most 2 ** filters rows a
    part, and every order, step and Shapley sum follows from those counts.
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import pieces, pin
+from mercata.llm.common import pieces, pin, width
 
 LETTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -36,6 +39,8 @@ SIGNS = b"#$%&*|"
 CELLS = 16        # cells of the filter per document
 HASHES = 3
 HEAVY = 100       # a cell is heavy from 1 / HEAVY of all rows on
+BITMAP_BITS = 1 << 28  # of the bitmap that tasks consult, at most (32 MB)
+_SEGMENT = 1 << 19     # bits of a row of the bitmap
 _DOC, _TEXT, _PART = "__llm_doc", "__llm_text", "__llm_part"
 _KIND = np.zeros(256, np.uint8)
 _KIND[65:91] = 1                        # A-Z
@@ -63,6 +68,45 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(keys, pa.binary())], names=["doc_id", "part", "mask", "key"])
 
 
+def _spots(keys: list[bytes], bits: int) -> np.ndarray:
+    """Place of each text key in a bitmap of ``bits`` (a power of two)."""
+    return (np.frombuffer(b"".join(keys), "<u8").reshape(-1, 2)[:, 0] & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _segments(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The segments of the bitmap that a batch of keys sets bits in."""
+    for batch in batches:
+        at = np.unique(_spots(batch.column("key").to_pylist(), bits))
+        for s in np.unique(at // _SEGMENT).tolist():
+            own = np.zeros(min(bits, _SEGMENT), np.uint8)
+            own[at[at // _SEGMENT == s] - s * _SEGMENT] = 1
+            yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], names=["segment", "own"])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by segment: each segment once."""
+    at = own = None
+    for batch in batches:
+        for s, b in zip(batch.column("segment").to_pylist(), batch.column("own").to_pylist(), strict=True):
+            if s != at and own is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([own.tobytes()], pa.binary())], names=["segment", "own"])
+                own = None
+            at, own = s, np.frombuffer(b, np.uint8) if own is None else own | np.frombuffer(b, np.uint8)
+    if own is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([own.tobytes()], pa.binary())], names=["segment", "own"])
+
+
+def _passed(batches: Iterator[pa.RecordBatch], shared, bits: int) -> Iterator[pa.RecordBatch]:
+    """Texts whose key the bitmap holds, with the key."""
+    bitmap = shared.value
+    for piece in pieces(batches, _TEXT, 8 << 20):
+        keys = [hashlib.md5(t or b"", usedforsecurity=False).digest() for t in piece.column(_TEXT).cast(pa.binary()).to_pylist()]
+        at = _spots(keys, bits)
+        held = (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in (_DOC, _TEXT)), pa.array(keys, pa.binary())],
+                                         names=["doc_id", "text", "text_key"]).filter(pa.array(held))
+
+
 def _cells(key: Column, cells: int) -> list[Column]:
     """The cells of a text key."""
     return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(cells)) for i in range(HASHES)]
@@ -103,15 +147,21 @@ def masks(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
                .union(rows.where(is_heavy(F.col("key"))).withColumn("repeats", F.lit(True)).select(columns)), "audit-rows")
 
     # exact: smallest id of every whole text that may repeat
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias(_DOC), text.alias(_TEXT)) \
-        .withColumn("__llm_key", F.unhex(F.md5(F.col(_TEXT).cast("binary"))))
-    asked = rows.where("repeats").where(~is_heavy(F.col("key"))).select(F.col("key").alias("__llm_asked")).distinct()
-    moved = texts.where(~is_heavy(F.col("__llm_key"))).join(asked, F.col("__llm_key") == F.col("__llm_asked"), "left_semi")
+    asked = pin(rows.where("repeats").select("key").distinct(), "audit-asked")
+    bits = 1 << min(BITMAP_BITS.bit_length() - 1, max(16 * asked.count(), 64).bit_length())
+    made = asked.mapInArrow(lambda it: _segments(it, bits), "segment long, own binary").repartition(width(docs.sparkSession), "segment") \
+        .sortWithinPartitions("segment").mapInArrow(_merged, "segment long, own binary")
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for r in made.collect():  # BITMAP_BITS at most
+        bitmap[r.segment * (_SEGMENT // 8):][:len(r.own)] = np.frombuffer(r.own, np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias(_DOC), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(_TEXT)) \
+        .mapInArrow(lambda it: _passed(it, shared, bits), "doc_id long, text string, text_key binary")
+    moved = texts.where(~is_heavy(F.col("text_key"))).join(asked, F.col("text_key") == F.col("key"), "left_semi")
     if heavy:
-        moved = moved.union(texts.where(is_heavy(F.col("__llm_key"))))
-    first = moved.groupBy(_TEXT).agg(F.min(_DOC).alias("first")) \
-        .select("first", F.unhex(F.md5(F.col(_TEXT).cast("binary"))).alias("first_key")).where("first is not null")
+        moved = moved.union(texts.where(is_heavy(F.col("text_key"))))
+    first = moved.groupBy("text").agg(F.min("doc_id").alias("first")) \
+        .select("first", F.unhex(F.md5(F.col("text").cast("binary"))).alias("first_key")).where("first is not null")
 
     fails = F.col("repeats") & F.col("doc_id").isNotNull() & F.col("first").isNull()
     judged = rows.join(first, (F.col("doc_id") == F.col("first")) & (F.col("key") == F.col("first_key")), "left") \

@@ -10,15 +10,19 @@ whose ends are known to be connected already.
    counts per document.  A document needs ``percent`` of its shingles shared to have any link; the
    others are done.
 2. Equal sets become one class.  Classes get their sorted sets and a parity bitmap.
-3. Cheap links first: classes that agree in a minimum hash are checked exactly against one member
-   of the group, a few rounds over, and connected classes get one label.  Groups of thousands of
-   near copies collapse here with one check per class and round.
+3. Cheap links first: classes that agree in a minimum hash meet with their sets in cells of bounded
+   size, one member per label, and connected classes get one label; so for a few rounds.  Groups of
+   near copies collapse here: of two that link, most meet in the first round.
 4. Tiles: what is left are pairs of different labels.  Shingles that occur under several labels
    are ordered by how rare they are (all others before them); two sets that link share one of the
    first ``n - ceil(t n) + 1``.  A tile is such a shingle and a band of set sizes; large tiles are
    cut into blocks and every pair of blocks is a cell.  In a cell, sizes and the bitmaps' differing
-   bits bound the overlap from above; pairs that pass are intersected exactly.
+   bits bound the overlap from above; a class that may link with another of the cell goes on with
+   its set to the same cell, where pairs are intersected exactly.
 5. Components over all links found.
+
+No cell emits pairs: it joins labels as it finds links, skips pairs whose labels are joined, and
+emits the joining links only, fewer than it has classes, however large a group of copies is.
 """
 
 from __future__ import annotations
@@ -41,9 +45,10 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 PIECE = 8 << 20
 ROUNDS = 4              # minimum hashes
-BITS = 1024             # parity bitmap
-BLOCK = 1_000           # classes per block of a tile
-BROADCAST_ROWS = 2_000_000  # ids of representatives up to which they are broadcast (some 64 MB)
+BITS = 1024             # parity bitmap, at least; BITS_PER_SHINGLE for larger sets
+BITS_PER_SHINGLE = 8
+BLOCK = 1_000           # classes per block of a tile or a round's cell
+BLOCK_SHINGLES = 4 << 20  # shingles of a block (32 MB)
 _DOC, _TEXT = "__llm_doc", "__llm_text"
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -208,69 +213,133 @@ def shared_documents(docs: DataFrame, id_col: str, text_col: str, k: int, percen
 
 # ---- step 2: classes of equal sets
 
+def _parity(s: np.ndarray) -> bytes:
+    """Bitmap of a set: a power of two of bits that grows with it."""
+    bits = max(BITS, 1 << (BITS_PER_SHINGLE * len(s) - 1).bit_length())
+    odd = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches, _TEXT):
         sets = [s for s in shingle_sets([t or "" for t in piece.column(_TEXT).to_pylist()], k) if len(s)]
-        mins, bitmaps = [], []
-        for s in sets:
-            mins.append([int(_mix(s ^ (_MULT[r % 5] + np.uint64(r))).view(np.int64).min()) for r in range(ROUNDS)])
-            odd = np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-            bitmaps.append(np.packbits(odd.astype(np.uint8)).tobytes())
+        mins = [[int(_mix(s ^ (_MULT[r % 5] + np.uint64(r))).view(np.int64).min()) for r in range(ROUNDS)] for s in sets]
         yield pa.RecordBatch.from_arrays(
             [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int64())),
-             pa.array(bitmaps, pa.binary())], names=["digest", "n", "hashes", "mins", "bitmap"])
-
-
-# ---- steps 3 and 4: exact checks, tiles
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar enough, by exact intersection."""
-    a = sets.select(F.col("digest").alias("a"), F.col("hashes").alias("ha"))
-    b = sets.select(F.col("digest").alias("b"), F.col("hashes").alias("hb"))
-    common = F.size(F.array_intersect("ha", "hb"))
-    union = F.size("ha") + F.size("hb") - common
-    return pairs.join(a, "a").join(b, "b").where(100 * common >= percent * union).select("a", "b")
-
-
-def _cells(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell: pairs of different labels that sizes and bitmaps cannot rule out."""
+             pa.array([_parity(s) for s in sets], pa.binary())], names=["digest", "n", "hashes", "mins", "bitmap"])
+
+
+# ---- steps 3 and 4: cells
+
+_CELL_COLUMNS = ["block", "home", "digest", "label", "n", "bitmap"]
+
+
+class _Cell:
+    """The classes of a cell: which pairs may link by sizes and bitmaps, and which labels are joined."""
+
+    def __init__(self, rows: list[dict], crossing: bool, percent: int) -> None:
+        self.rows, self.crossing, self.percent = rows, crossing, percent
+        self.n = np.array([r["n"] for r in rows], np.int64)
+        self.label = np.unique(np.array([r["label"].hex() for r in rows], dtype=object).astype(str), return_inverse=True)[1]
+        self.block = np.array([r["block"] for r in rows])
+        self.home = np.array([r["home"] for r in rows])
+        # bitmaps are folded to the shortest of the cell: parities add up
+        size = min(len(r["bitmap"]) for r in rows)
+        self.bits = np.zeros((len(rows), size // 8), np.uint64)
+        for i, r in enumerate(rows):
+            self.bits[i] = np.bitwise_xor.reduce(np.frombuffer(r["bitmap"], np.uint64).reshape(-1, size // 8), axis=0)
+
+    def may_link(self, i: int) -> np.ndarray:
+        """Later classes of other labels that nothing rules out."""
+        js = np.flatnonzero((self.label[i + 1:] != self.label[i]) & (self.home[i] | self.home[i + 1:])) + i + 1  # two guests meet in another band
+        if self.crossing:
+            js = js[self.block[js] != self.block[i]]
+        both = self.n[js] + self.n[i]
+        js, both = (x[(100 + self.percent) * np.minimum(self.n[js], self.n[i]) >= self.percent * both] for x in (js, both))
+        differ = np.bitwise_count(self.bits[js] ^ self.bits[i]).sum(axis=1, dtype=np.int64)
+        most = (both - differ) // 2
+        return js[100 * most >= self.percent * (both - most)]
+
+    def candidates(self) -> list[int]:
+        """Classes that may link with another one."""
+        found = np.zeros(len(self.rows), bool)
+        for i in range(len(self.rows)):
+            js = self.may_link(i)
+            found[js] = True
+            found[i] |= bool(len(js))
+        return np.flatnonzero(found).tolist()
+
+    def links(self) -> list[tuple[bytes, bytes]]:
+        """Links that joined two labels; pairs of joined labels are not looked at again."""
+        out = []
+        for i, a in enumerate(self.rows):
+            for j in self.may_link(i).tolist():
+                if self.label[i] == self.label[j]:
+                    continue
+                b = self.rows[j]
+                common = len(np.intersect1d(a["hashes"], b["hashes"], assume_unique=True))
+                if 100 * common >= self.percent * (a["n"] + b["n"] - common):
+                    self.label[self.label == self.label[j]] = self.label[i]
+                    out.append((a["digest"], b["digest"]))
+        return out
+
+
+def _cells(batches: Iterator[pa.RecordBatch], key: list[str], percent: int, confirm: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by cell: the classes that may link (``cell`` columns, digest), or with the sets at hand the joining links."""
     cell, held = None, []
 
     def done() -> pa.RecordBatch:
-        n = np.array([r["n"] for r in held], np.int64)
-        bits = np.frombuffer(b"".join(r["bitmap"] for r in held), np.uint64).reshape(len(held), -1)
-        label = pd.factorize(np.array([r["label"].hex() for r in held], dtype=object))[0]
-        block = np.array([r["block"] for r in held])
-        home = np.array([r["home"] for r in held])
-        digest = [r["digest"] for r in held]
-        within = held[0]["row"] == held[0]["col"]  # a cell of two blocks only pairs across them
-        out: list[tuple[bytes, bytes]] = []
-        for i in range(len(held)):
-            ok = (label[i + 1:] != label[i]) & (home[i] | home[i + 1:])  # two guests meet in another band
-            if not within:
-                ok &= block[i + 1:] != block[i]
-            both = n[i + 1:] + n[i]
-            differ = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            most = (both - differ) // 2
-            ok &= 100 * most >= percent * (both - most)
-            out += [(min(digest[i], digest[j]), max(digest[i], digest[j])) for j in (np.flatnonzero(ok) + i + 1).tolist()]
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+        of = _Cell(held, "row" in key and cell[-2] != cell[-1], percent)
+        if confirm:
+            out = of.links()
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+        some = of.candidates()
+        return pa.RecordBatch.from_arrays([*(pa.array([v] * len(some), batch.schema.field(c).type) for c, v in zip(key, cell, strict=True)),
+                                           *(pa.array([held[i][c] for i in some], batch.schema.field(c).type) for c in _CELL_COLUMNS)],
+                                          names=[*key, *_CELL_COLUMNS])
 
     for batch in batches:
-        for row in batch.to_pylist():
-            key = (row["shingle"], row["band"], row["row"], row["col"])
-            if key != cell and held:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True))
+        columns = [batch.column(c).to_pylist() for c in _CELL_COLUMNS]
+        sets = batch.column("hashes") if confirm else None
+        for i, (at, values) in enumerate(zip(keys, zip(*columns, strict=True), strict=True)):
+            if at != cell and held:
                 yield done()
                 held = []
-            cell = key
+            cell = at
+            row = dict(zip(_CELL_COLUMNS, values, strict=True))
+            if confirm:
+                row["hashes"] = sets[i].values.to_numpy()
             held.append(row)
     if held:
         yield done()
 
 
+def _confirmed(cells: DataFrame, key: list[str], percent: int) -> DataFrame:
+    """Joining links ``a, b`` of cells whose rows carry their sets."""
+    return cells.select(*key, *_CELL_COLUMNS, "hashes").repartition(width(cells.sparkSession), *key).sortWithinPartitions(*key, "digest") \
+        .mapInArrow(lambda it: _cells(it, key, percent, True), "a binary, b binary")
+
+
+def _blocks() -> Column:
+    """Blocks that a group of classes is cut into, by their number and the size of their sets."""
+    return F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+
+
+def _round(sets: DataFrame, labels: DataFrame, r: int, percent: int) -> DataFrame:
+    """Links among the classes that agree in minimum hash ``r``, one class per label, in blocks."""
+    seen = sets.select("digest", "n", F.col("mins")[r].alias("m")).join(labels, "digest") \
+        .groupBy("m", "label").agg(F.min(F.struct("digest", "n")).alias("one")).select("m", "label", "one.digest", "one.n")
+    size = seen.groupBy("m").agg(_blocks().alias("blocks"), F.count("*").alias("k")).where("k > 1").select("m", "blocks")
+    placed = seen.join(size, "m").withColumn("block", F.pmod(F.xxhash64("digest", F.lit(r)), F.col("blocks")).cast("int"))
+    rows = placed.withColumn("home", F.lit(True)).select("m", "block", "home", "digest", "label") \
+        .join(sets.select("digest", "n", "bitmap", "hashes"), "digest")
+    return _confirmed(rows.withColumn("cut", F.col("block")), ["m", "cut"], percent)
+
+
 def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of classes with different labels: every pair that may link is among them."""
+    """Joining links among classes with different labels: every pair that may link meets in a cell."""
     held = sets.join(labels, "digest")
     each = held.select("digest", "label", "n", F.explode("hashes").alias("shingle"))
     mixed = each.groupBy("shingle").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")) \
@@ -286,17 +355,18 @@ def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumn("own", band) \
         .select("*", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("band")) \
         .withColumn("home", F.col("band") == F.col("own"))
-    size = rows.groupBy("shingle", "band").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+    size = rows.groupBy("shingle", "band").agg(_blocks().alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi"),
                                                F.max("home").alias("any_home")) \
-        .where("lo <> hi and any_home").select("shingle", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+        .where("lo <> hi and any_home").select("shingle", "band", "blocks")
     rows = rows.join(size, ["shingle", "band"]) \
         .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")) \
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cells = rows.select("shingle", "band", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"),
-                        "block", "home", "digest", "label", "n", "bitmap")
+    cells = rows.select("shingle", "band", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), *_CELL_COLUMNS)
     key = ["shingle", "band", "row", "col"]
-    return cells.repartition(width(sets.sparkSession), *key).sortWithinPartitions(*key) \
-        .mapInArrow(lambda it: _cells(it, percent), "a binary, b binary").distinct()
+    kinds = "shingle long, band int, row int, col int, block int, home boolean, digest binary, label binary, n long, bitmap binary"
+    alive = cells.repartition(width(sets.sparkSession), *key).sortWithinPartitions(*key, "digest") \
+        .mapInArrow(lambda it: _cells(it, key, percent, False), kinds)
+    return _confirmed(alive.join(sets.select("digest", "hashes"), "digest"), key, percent)
 
 
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -312,15 +382,8 @@ def class_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``digest, label``: equal labels for classes connected by links, for every class."""
     labels = sets.select("digest", F.col("digest").alias("label"))
     for r in range(ROUNDS):
-        # one member per label and minimum hash, checked against one member of the whole group
-        seen = sets.select("digest", F.col("mins")[r].alias("m")).join(labels, "digest") \
-            .groupBy("m", "label").agg(F.min("digest").alias("a"))
-        pivot = seen.groupBy("m").agg(F.min_by("a", "label").alias("b"), F.min("label").alias("lb"))
-        pairs = seen.join(pivot, "m").where("label <> lb").select("a", "b").distinct()
-        links = pin(_linked(pairs, sets, percent), "class-links")
-        labels = _relabel(labels, links)
-    links = pin(_linked(_tiles(sets, labels, percent), sets, percent), "class-links")
-    return _relabel(labels, links)
+        labels = _relabel(labels, pin(_round(sets, labels, r, percent), "class-links"))
+    return _relabel(labels, pin(_tiles(sets, labels, percent), "class-links"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
@@ -331,15 +394,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Null and empty texts and texts of white space have no shingle and link with nothing; a text of
     fewer than ``k`` words is one shingle.  Rows of one id are judged by their own texts.  A
     component whose ids are all null has a null id; other columns are not read; no rows give none.
-    Of a component the smallest id stays, and of several texts of that id the one of the smallest
-    key; rows equal in id and text are one document and stay or go together.
+    Of a component one row stays: the smallest id, of several texts of that id the one of the
+    smallest key, and of rows equal in id and text any one.
     """
-    base = pin(shared_documents(docs, id_col, text_col, k, percent), "near-base")
-    classes = base.where("digest is not null").groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
+    base = pin(shared_documents(docs, id_col, text_col, k, percent).withColumn("row", F.monotonically_increasing_id()), "near-base")
+    classes = base.where("digest is not null").groupBy("digest") \
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "row")).alias("first"))
     classes = pin(classes, "near-classes")
     first = classes.select(F.col("first.doc_id").alias(_DOC)).distinct()
-    if classes.count() <= BROADCAST_ROWS:
-        first = F.broadcast(first)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("__llm_id"), F.col(f"`{text_col}`").alias(_TEXT))
     texts = texts.join(first, F.col("__llm_id").eqNullSafe(F.col(_DOC)), "left_semi").select(_TEXT)
     built = texts.mapInArrow(lambda it: _sets(it, k), "digest binary, n long, hashes array<long>, mins array<long>, bitmap binary")
@@ -350,6 +412,5 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     groups = classes.join(labels, "digest").groupBy("label").agg(F.min("first").alias("best"))
     of = labels.join(groups, "label").select("digest", "best")
     out = base.join(of, "digest", "left")
-    best = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.text_key") == F.col("text_key"))
     return out.select("doc_id", "n_shingles", F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
-                      "text_key", (F.col("best").isNull() | best).alias("stays"))
+                      "text_key", (F.col("best").isNull() | (F.col("best.row") == F.col("row"))).alias("stays"))

@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import PIECE_BYTES
+from mercata.llm.common import pieces
 
 DIM_BITS = 22
 TRAIN_ROWS = 16_384
+PIECE = 1 << 20  # bytes of text whose features a task holds at once (some 35 MB)
 THRESHOLD = 0.3
 HELD_OUT = 2  # remainder of crc32(id) mod 4 that is never learned from
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -91,7 +92,7 @@ def fit_ftrl(examples: list[np.ndarray], labels: np.ndarray, *, epochs: int = 3,
 
     for _ in range(epochs):
         for at, y in zip(examples, labels, strict=True):
-            at = np.append(at, dim)
+            at = np.append(at, dim).astype(np.int64)
             w = weights(at)
             g = 1.0 / (1.0 + np.exp(-np.clip(w.sum() + offset, -35, 35))) - y
             grown = n[at] + g * g
@@ -126,21 +127,19 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a in range(0, batch.num_rows, 256):
-            part = batch.slice(a, 256)
-            text, at = feature_indices([t or "" for t in part.column(_TEXT).to_pylist()])
-            both = np.unique(text << DIM_BITS | at)
-            cuts = np.searchsorted(both >> DIM_BITS, np.arange(part.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array((both & ((1 << DIM_BITS) - 1)).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column("turn"), part.column(_LABEL).cast(pa.int32()), lists], names=["turn", "label", "at"])
+    for part in pieces(batches, _TEXT, PIECE):
+        text, at = feature_indices([t or "" for t in part.column(_TEXT).to_pylist()])
+        both = np.unique(text << DIM_BITS | at)
+        cuts = np.searchsorted(both >> DIM_BITS, np.arange(part.num_rows + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array((both & ((1 << DIM_BITS) - 1)).astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([part.column("turn"), part.column(_LABEL).cast(pa.int32()), lists], names=["turn", "label", "at"])
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     examples, labels = [], []
     for batch in batches:
         labels += batch.column("label").to_pylist()
-        examples += [np.array(x.values.to_numpy(), np.int64) for x in batch.column("at")]
+        examples += [x.values.to_numpy() for x in batch.column("at")]  # views of the batch
     if not examples:
         return
     model = fit_ftrl(examples, np.array([min(max(y, 0), 1) for y in labels]))
@@ -149,27 +148,41 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      names=["at", "weight", "bias"])
 
 
+def _scores(model: Model, column: pa.Array) -> Iterator[np.ndarray]:
+    """Scores of a text column, piece by piece: only a piece's texts become Python strings."""
+    named = pa.RecordBatch.from_arrays([column], names=[_TEXT])
+    for part in pieces(iter([named]), _TEXT, PIECE):
+        text, at = feature_indices([t or "" for t in part.column(0).to_pylist()])
+        place = np.minimum(np.searchsorted(model.index, at), max(len(model.index) - 1, 0))
+        live = model.index[place] == at if len(model.index) else np.zeros(len(at), bool)
+        both = np.unique(text[live] << DIM_BITS | place[live])
+        total = np.bincount(both >> DIM_BITS, model.weight[both & ((1 << DIM_BITS) - 1)], part.num_rows)
+        yield 1.0 / (1.0 + np.exp(-np.clip(total + model.bias, -35, 35)))
+
+
 def score_column(spark, model: Model, text_col: str = "text") -> Column:
     """Score of a text column, 0 to 1.  Null and empty texts get the bias; no other column is read."""
     shared = spark.sparkContext.broadcast(model)
 
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m = shared.value
-        w = m.dense()
         for column in texts:
-            out = np.zeros(len(column))
-            todo: list[str] = []
-            first = size = 0
-            for i, t in enumerate([x or "" for x in column.to_pylist()]):
-                todo.append(t)
-                size += len(t)
-                if size >= PIECE_BYTES or i + 1 == len(column):
-                    text, at = feature_indices(todo)
-                    live = w[at] != 0
-                    both = np.unique(text[live] << DIM_BITS | at[live])
-                    np.add.at(out, first + (both >> DIM_BITS), w[both & ((1 << DIM_BITS) - 1)])
-                    first, size, todo = i + 1, 0, []
-            yield pa.array(1.0 / (1.0 + np.exp(-np.clip(out + m.bias, -35, 35))))
+            yield pa.array(np.concatenate([np.zeros(0), *_scores(shared.value, column)]))
 
     scores.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(scores, "double")(F.col(f"`{text_col}`"))
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns.
+
+    Rows pass through the tasks batch by batch, so none are queued beside the scoring.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = np.concatenate([np.zeros(0), *_scores(shared.value, batch.column(at))])
+            yield batch.filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(kept, docs.schema)

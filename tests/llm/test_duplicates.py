@@ -5,7 +5,8 @@ import numpy as np
 import pyarrow as pa
 from brute import components, repeats, shingles
 
-from mercata.llm import lpf_dedup, registry
+from mercata.llm import jaccard, lpf_dedup, registry
+from mercata.llm.common import pin
 from mercata.llm.components import components as spark_components
 from mercata.llm.jaccard import near_duplicates, shingle_sets
 from mercata.llm.lpf_dedup import anchors, repeated_spans
@@ -43,10 +44,58 @@ def test_join_odd_rows_and_empty_table(odd, nothing, odd_rows):
     got = near_duplicates(odd).collect()
     assert Counter(r.doc_id for r in got) == Counter(d for d, _ in odd_rows)
     of = {(r.doc_id, r.n_shingles): (r.component_id, r.stays) for r in got}
-    assert of[4, 1] == (4, True) and of[5, 1] == (4, False) and of[1, 0] == (1, True) and of[9, 1] == (9, True)
+    assert of[4, 1] == (4, True) and of[5, 1] == (4, False) and of[1, 0] == (1, True)
+    assert sorted((r.component_id, r.stays) for r in got if r.doc_id == 9) == [(9, False), (9, True)]
     assert near_duplicates(nothing).collect() == []
 
 
+def test_rows_without_ids_leave_one(spark):
+    docs = [(None, "all of one text and without any id")] * 5 + [(None, "")] * 2
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.n_shingles, r.stays) for r in got) == [(0, True)] * 2 + [(4, False)] * 4 + [(4, True)]
+
+
+def test_cells_emit_links_in_proportion_to_a_group(spark, monkeypatch):
+    """Near copies of one text: twice the copies, at most twice the links, and the same components as all pairs."""
+    real = jaccard._confirmed
+    made = []
+
+    def counted(*a):
+        out = pin(real(*a), "counted")
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_confirmed", counted)
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(160)]
+    docs = []
+    for i in range(240):
+        edited = list(words)
+        for at in r.sample(range(160), r.randint(1, 5)):
+            edited[at] = f"x{r.randint(0, 500)}"
+        docs.append((i, " ".join(edited)))
+    totals = []
+    for n in (120, 240):
+        made.clear()
+        got = near_duplicates(spark.createDataFrame(docs[:n], "doc_id long, text string")).collect()
+        assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == components(docs[:n])
+        totals.append(sum(made))
+        assert totals[-1] < n * (jaccard.ROUNDS + 1)
+    assert totals[1] <= 2.5 * totals[0]
+
+
+def test_bitmaps_of_large_sets_rule_pairs_out():
+    """Bitmaps grow with the set, and are compared at the size of the smaller one."""
+    r = np.random.default_rng(1)
+    big, other = (np.unique(r.integers(0, 1 << 62, 6000).astype(np.uint64)) for _ in range(2))
+    near = np.sort(np.concatenate([big[:5800], other[:100]]))
+    rows = [{"digest": bytes([i]), "label": bytes([i]), "n": len(s), "bitmap": jaccard._parity(s), "block": 0, "home": True, "hashes": s.view(np.int64)}
+            for i, s in enumerate((big, other, near, big[:5000], big[:300]))]
+    cell = jaccard._Cell(rows, False, 80)
+    assert [cell.may_link(i).tolist() for i in range(5)] == [[2, 3], [], [3], [], []]
+    assert cell.links() == [(b"\x00", b"\x02"), (b"\x00", b"\x03")]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(7, 7)]
     got = {r.node: r.label for r in spark_components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -3,6 +3,8 @@ import re
 from itertools import permutations
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from mercata.llm import filter_audit as fa
@@ -78,6 +80,7 @@ def test_a_crowded_filter_only_costs_exact_work(spark, monkeypatch):
     frames = (spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert rows_of(fa.filter_audit(*frames)) == brute(docs, labels)
     monkeypatch.setattr(fa, "HEAVY", 1)  # no heavy cell: by the joins
+    monkeypatch.setattr(fa, "BITMAP_BITS", 64)  # every bit set: all texts pass
     assert rows_of(fa.filter_audit(*frames)) == brute(docs, labels)
 
 
@@ -94,6 +97,19 @@ def test_query_equals_its_sql_and_the_walk(spark, sf, rows):
     assert got == brute(docs, con.execute("SELECT doc_id, quality, toxic FROM labels").fetchall())
 
 
+def test_bitmap_holds_its_keys_over_several_segments(monkeypatch):
+    monkeypatch.setattr(fa, "_SEGMENT", 64)
+    r = random.Random(1)
+    keys = [r.randbytes(16) for _ in range(40)]
+    one = pa.RecordBatch.from_arrays([pa.array(keys[:25], pa.binary())], names=["key"])
+    two = pa.RecordBatch.from_arrays([pa.array(keys[20:], pa.binary())], names=["key"])
+    made = sorted((x for b in fa._segments(iter([one, two]), 1024) for x in b.to_pylist()), key=lambda x: x["segment"])
+    bitmap = np.zeros(128, np.uint8)
+    for b in fa._merged(iter([pa.RecordBatch.from_pylist(made)])):
+        bitmap[b["segment"][0].as_py() * 8:][:8] = np.frombuffer(b["own"][0].as_py(), np.uint8)
+    assert np.flatnonzero(np.unpackbits(bitmap, bitorder="little")).tolist() == np.unique(fa._spots(keys, 1024)).tolist()
+
+
 def test_odd_rows_and_empty_table(spark, odd, nothing, odd_rows):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = rows_of(fa.filter_audit(odd.withColumn("lang", odd["key"]), none))

@@ -1,7 +1,9 @@
+import math
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from brute import lcs
 
 from mercata.llm import registry, toxicity
@@ -37,6 +39,46 @@ def test_toxicity_query_and_held_out_accuracy(spark, rows):
     assert sum(p and not y for p, y in judged) <= 1
 
 
+def test_ftrl_equals_a_plain_one():
+    """One coordinate at a time, as the update is written down."""
+    rng = np.random.default_rng(4)
+    examples = [np.unique(rng.integers(0, 60, rng.integers(1, 9))).astype(np.int32) for _ in range(200)]
+    labels = np.array([int((x < 12).sum() > 1) for x in examples])
+    got = toxicity.fit_ftrl(examples, labels, l1=1.0)
+    alpha, beta, l1, l2, dim = 0.3, 1.0, 1.0, 1.0, 1 << toxicity.DIM_BITS
+    offset = math.log((labels.sum() + 1) / (len(labels) - labels.sum() + 99))
+    z, n = {}, {}
+
+    def weight(i):
+        limit = 0.0 if i == dim else l1
+        if abs(z.get(i, 0.0)) <= limit:
+            return 0.0
+        return (math.copysign(limit, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(3):
+        for x, y in zip(examples, labels.tolist(), strict=True):
+            w = {i: weight(i) for i in [*x.tolist(), dim]}
+            g = 1 / (1 + math.exp(-(sum(w.values()) + offset))) - y
+            for i, wi in w.items():
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * wi
+                n[i] = n.get(i, 0.0) + g * g
+    want = {i: weight(i) for i in range(60) if weight(i)}
+    assert got.index.tolist() == sorted(want) and len(want) > 10
+    assert np.allclose(got.weight, [want[i] for i in sorted(want)], rtol=1e-5)
+    assert abs(got.bias - weight(dim) - offset) < 1e-9
+
+
+def test_scoring_cuts_pieces_before_it_decodes(spark, monkeypatch):
+    """Whatever the batch, a piece of some bytes is held as words at a time; scores do not change with it."""
+    model = toxicity.Model(np.array([5, 9, 70_000]), np.array([1.0, -2.0, 0.5], np.float32), -0.5)
+    texts = pa.array(["a b c " * (i % 7) for i in range(50)] + [None, "", "x" * 5000])
+    whole = np.concatenate(list(toxicity._scores(model, texts)))
+    monkeypatch.setattr(toxicity, "PIECE", 64)
+    parts = list(toxicity._scores(model, texts))
+    assert len(parts) > 10 and np.array_equal(np.concatenate(parts), whole) and len(whole) == 53
+
+
 def test_toxicity_odd_rows_and_no_labels(spark, odd, nothing, odd_rows):
     labels = spark.createDataFrame([(1, 1), (3, None), (None, 1), (8, 0), (8, 1)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)

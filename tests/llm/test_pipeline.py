@@ -44,16 +44,19 @@ def test_pipeline_equals_the_plain_one(spark, sf, rows):
 
 
 def test_stages_keep_columns_and_take_odd_rows(spark, sf, odd, nothing, odd_rows):
-    columns = "doc_id long, text string, lang string, source string, n_chars long, __llm_key2 string"
-    docs = spark.createDataFrame([(d, t, "en", None, len(t or ""), "k") for d, t in odd_rows], columns)
+    more = ["__llm_key", "__LLM_key_", "__llm_out", "__llm_spans", "__llm_listed", "__llm_of", "row", "stays"]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in more)
+    docs = spark.createDataFrame([(d, t, "en", None, len(t or ""), *more) for d, t in odd_rows], columns)
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, sf)
         assert name == "bpe" or out.dtypes == docs.dtypes
-        kept[name] = Counter(r.doc_id for r in out.collect())
+        rows = out.collect()
+        kept[name] = Counter(r.doc_id for r in rows)
+        assert name == "bpe" or all([r[c] for c in more] == more for r in rows)
         assert stage(spark, nothing, sf).collect() == []
     ids = Counter(d for d, _ in odd_rows)
     assert kept["toxicity"] == kept["decontamination"] == kept["personal_data"] == kept["bpe"] == ids
-    assert ids - kept["near_duplicates"] == Counter({5: 1})
+    assert ids - kept["near_duplicates"] == Counter({5: 1, 9: 1})
     six = [r for r in corpus_pipeline.remove_personal_data(spark, docs, sf).collect() if r.doc_id == 6][0]
     assert "a.b@c.de" not in six.text and "10.0.0.256" in six.text and "[IP]" in six.text and six.n_chars == len(six.text)
