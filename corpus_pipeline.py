@@ -17,53 +17,70 @@ from mercata.llm.jaccard import near_duplicates
 from mercata.llm.latent_retrieval import contaminated
 from mercata.llm.trie_bpe import encode_decode
 
-BROADCAST_ROWS = 1_000_000  # keys or spans up to which a stage's decisions are broadcast (some 60 MB)
 
 
 def _text_key() -> Column:
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def _without(docs: DataFrame, gone: DataFrame, with_id: bool) -> DataFrame:
-    """``docs`` without the texts (and ids) listed in ``gone(text_key, gone_id)``."""
-    gone = pin(gone.distinct(), "pipeline-gone")
-    right = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    same = F.col("__llm_key") == F.col("__llm_gone_key")
+def _fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``docs`` has, upper and lower case alike."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _listed(docs: DataFrame, keys: DataFrame, with_id: bool, how: str) -> DataFrame:
+    """``docs`` joined ``left_semi`` or ``left_anti`` with the texts (and ids) of ``keys(text_key, doc_id)``; Spark broadcasts by the saved size."""
+    key, listed, of = _fresh(docs, "__llm_key", "__llm_listed", "__llm_of")
+    keys = keys.select(F.col("text_key").alias(listed), *([F.col("doc_id").alias(of)] if with_id else [])).distinct()
+    same = F.col(key) == F.col(listed)
     if with_id:
-        same = same & F.col("doc_id").eqNullSafe(F.col("__llm_gone_id"))
-    return docs.withColumn("__llm_key", _text_key()).join(right, same, "left_anti").drop("__llm_key")
+        same = same & F.col("doc_id").eqNullSafe(F.col(of))
+    return docs.withColumn(key, _text_key()).join(keys, same, how).drop(key)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; null and empty texts score like clean ones and stay."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return docs.where(toxicity.score_column(spark, model) < toxicity.THRESHOLD)
+    return toxicity.accepted(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that of the smallest doc_id."""
-    gone = near_duplicates(docs).where(~F.col("stays")).select(F.col("text_key").alias("__llm_gone_key"), F.col("doc_id").alias("__llm_gone_id"))
-    return _without(docs, gone, True)
+    """One row of each group of near duplicates stays: one of the smallest doc_id.
+
+    Texts without words have no shingles, are nobody's duplicates and stay.
+    """
+    judged = near_duplicates(docs).groupBy("text_key", "doc_id").agg(
+        F.max("stays").alias("stays"), (F.max("n_shingles") > 0).alias("worded"), F.count("*").alias("n"))
+    judged = pin(judged.where("not stays or (worded and n > 1)"), "pipeline-judged")
+    left = _listed(docs, judged.where("not stays"), True, "left_anti")
+    again = judged.where("stays")  # rows equal in id and text: any one of them
+    if again.isEmpty():
+        return left
+    key, = _fresh(docs, "__llm_key")
+    one = _listed(left, again, True, "left_semi").withColumn(key, _text_key()).dropDuplicates(["doc_id", key]).drop(key)
+    return _listed(left, again, True, "left_anti").unionByName(one)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select(F.col("text_key").alias("__llm_gone_key")), False)
+    found = pin(contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("text_key", "doc_id"), "pipeline-gone")
+    return _listed(docs, found, False, "left_anti")
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it become their kind in brackets; ``n_chars`` follows."""
-    found = sanitise.find_spans(docs).where(F.size("spans") > 0) \
-        .groupBy(F.col("key").alias("__llm_found")).agg(F.first("spans").alias("__llm_spans"))
-    found = pin(found, "pipeline-spans")
-    size = found.agg(F.coalesce(F.sum(F.size("__llm_spans")), F.lit(0))).collect()[0][0]
-    right = F.broadcast(found) if size <= BROADCAST_ROWS else found
-    key = sanitise.text_key(F.col("text"))
-    joined = docs.withColumn("__llm_key", key).join(right, F.col("__llm_key") == F.col("__llm_found"), "left")
-    hit = F.col("__llm_spans").isNotNull()
-    redacted = joined.withColumn("__llm_out", F.when(hit, sanitise.redact(F.col("text"), F.col("__llm_spans"))).otherwise(F.col("text")))
-    changed = {"text": F.col("__llm_out"), "n_chars": F.when(hit, F.length("__llm_out").cast("long")).otherwise(F.col("n_chars"))}
+    key, of, spans, out = _fresh(docs, "__llm_key", "__llm_found", "__llm_spans", "__llm_out")
+    found = sanitise.find_spans(docs).where(F.size("spans") > 0).groupBy(F.col("key").alias(of)).agg(F.first("spans").alias(spans))
+    joined = docs.withColumn(key, sanitise.text_key(F.col("text"))).join(pin(found, "pipeline-spans"), F.col(key) == F.col(of), "left")
+    hit = F.col(spans).isNotNull()
+    redacted = joined.withColumn(out, F.when(hit, sanitise.redact(F.col("text"), F.col(spans))).otherwise(F.col("text")))
+    changed = {"text": F.col(out), "n_chars": F.when(hit, F.length(out).cast("long")).otherwise(F.col("n_chars"))}
     return redacted.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
