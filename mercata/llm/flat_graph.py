@@ -6,9 +6,9 @@
 2. Each shard (in blocks of ``BLOCK``) builds a graph: nearest members and a few far ones are pruned
    robustly, an edge stays unless a kept one leads there.  The adjacency lists of a class from all
    its shards are united.
-3. Every class searches its ``probes`` nearest shards: best first from the shard's medoid (and from
-   itself where it is a member) for ``expand`` steps, then outwards over every node within range
-   until there are no more.  Hits are checked on the original vectors in double precision.  A cell
+3. Every class searches its ``probes`` nearest shards: best first from the shard's medoid for
+   ``expand`` steps (where it is a member, also from itself and for ``EXPAND_OWN``), then outwards
+   over every node within range until there are no more.  Hits are checked on the original vectors in double precision.  A cell
    returns links that join two of its components only: fewer than its rows, however dense it is.
 4. Components over those links.  The recall is audited: a sample is compared with all rows; below
    ``RECALL`` the search is run again, twice as wide.
@@ -33,11 +33,12 @@ from mercata.llm.common import pin, width
 from mercata.llm.components import components
 
 COSINE = 0.93
-SHARD = 1_000      # classes per shard that the number of centres aims at
+SHARD = 500        # classes per shard that the number of centres aims at
 CENTRES = 4_096    # centres in all, at most
 OVERLAP = 2
 PROBES = 3
 EXPAND = 24        # nodes a search opens before it keeps to the range
+EXPAND_OWN = 4     # the same where the query is a node of the graph and has its own edges
 BLOCK = 2_048      # members of a shard that are searched together
 SLICE = 16_384     # queries of a cell
 DEGREE = 16
@@ -192,39 +193,36 @@ def range_search(unit: np.ndarray, edges: np.ndarray, queries: np.ndarray, selve
     """
     m, n = len(unit), len(queries)
     score = np.full((n, m + 1), -np.inf, np.float32)
-    done = np.zeros((n, m + 1), bool)
-    done[:, m] = True
+    score[:, m] = np.inf  # padding counts as seen
+    waiting = np.full((n, m), -np.inf, np.float32)  # scores of nodes seen and not opened
     every = np.arange(n)
 
     def visit(rows: np.ndarray, cols: np.ndarray) -> None:
         for a in range(0, len(rows), 65_536):
             r, c = rows[a:a + 65_536], cols[a:a + 65_536]
-            score[r, c] = np.einsum("ij,ij->i", queries[r], unit[c])
-
-    def visit_edges(rows: np.ndarray, nodes: np.ndarray) -> None:
-        mark = np.zeros((n, m + 1), bool)
-        mark[np.repeat(rows, edges.shape[1]), edges[nodes].ravel()] = True
-        mark &= np.isneginf(score)
-        mark[:, m] = False
-        visit(*np.nonzero(mark))
+            score[r, c] = waiting[r, c] = np.einsum("ij,ij->i", queries[r], unit[c])
 
     visit(every, np.full(n, start))
     own = np.flatnonzero(selves < m)
     visit(own, selves[own])
     for _ in range(min(expand, m)):
-        best = np.where(done, -np.inf, score).argmax(axis=1)
-        live = np.flatnonzero(~done[every, best] & ~np.isneginf(score[every, best]))
+        best = waiting.argmax(axis=1)
+        live = np.flatnonzero(~np.isneginf(waiting[every, best]))
         if not len(live):
             break
-        done[live, best[live]] = True
-        visit_edges(live, best[live])
+        waiting[live, best[live]] = -np.inf
+        rows, cols = np.repeat(live, edges.shape[1]), edges[best[live]].ravel()
+        new = np.isneginf(score[rows, cols])  # a node's edges are distinct
+        visit(rows[new], cols[new])
     while True:
-        rows, cols = np.nonzero((score >= limit - SLACK) & ~done)
+        rows, cols = np.nonzero(waiting >= limit - SLACK)
         if not len(rows):
-            return np.nonzero(score >= limit - 1e-5)
-        done[rows, cols] = True
+            return np.nonzero(score[:, :m] >= limit - 1e-5)
+        waiting[rows, cols] = -np.inf
         for a in range(0, len(rows), 65_536):
-            visit_edges(rows[a:a + 65_536], cols[a:a + 65_536])
+            mark = np.zeros((n, m + 1), bool)
+            mark[np.repeat(rows[a:a + 65_536], edges.shape[1]), edges[cols[a:a + 65_536]].ravel()] = True
+            visit(*np.nonzero(mark & np.isneginf(score)))
 
 
 class _Joined:
@@ -270,11 +268,11 @@ def _searched(batches: Iterator[pa.RecordBatch], expand: int, limit: float) -> I
         if asked and members:
             index = index or index_of()
             full, unit, place, edges, start = index
-            for a in range(0, len(asked), 256):
-                some = asked[a:a + 256]
+            own, others = [r for r in asked if r["key"] in place], [r for r in asked if r["key"] not in place]
+            for some, steps in [(of[a:a + 256], k) for of, k in ((own, min(EXPAND_OWN, expand)), (others, expand)) for a in range(0, len(of), 256)]:
                 q = _matrix([r["vec"] for r in some])
                 selves = np.array([place.get(r["key"], len(members)) for r in some])
-                found = range_search(unit, edges, _unit(q).astype(np.float32), selves, start, expand, limit)
+                found = range_search(unit, edges, _unit(q).astype(np.float32), selves, start, steps, limit)
                 for i, j in zip(*(x.tolist() for x in found), strict=True):
                     x, y = some[i]["key"], members[j]["key"]
                     if x != y and joined.find(x) != joined.find(y) and exact_cosine(q[i], full[j]) >= limit:
@@ -321,10 +319,10 @@ def _audited(batches: Iterator[pa.RecordBatch], shared, limit: float) -> Iterato
             mine = [r for r in rows if r["family"] == family]
             keys, labels, vecs = sample[family]
             near = _linked(vecs, _matrix([r["vec"] for r in mine]), limit)
-            near &= np.array(keys, object)[:, None] != np.array([r["key"] for r in mine], object)
-            same = np.array(labels, object)[:, None] == np.array([r["label"] for r in mine], object)
-            there += int(near.sum())
-            held += int((near & same).sum())
+            for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+                if keys[i] != mine[j]["key"]:
+                    there += 1
+                    held += labels[i] == mine[j]["label"]
         yield pa.RecordBatch.from_arrays([pa.array([there]), pa.array([held])], names=["there", "held"])
 
 

@@ -44,7 +44,7 @@ from mercata.llm.components import components
 SHINGLE_WORDS = 5
 PERCENT = 80
 PIECE = 8 << 20
-ROUNDS = 4              # minimum hashes
+ROUNDS = 2              # minimum hashes
 BITS = 1024             # parity bitmap, at least; BITS_PER_SHINGLE for larger sets
 BITS_PER_SHINGLE = 8
 BLOCK = 1_000           # classes per block of a tile or a round's cell
@@ -304,15 +304,16 @@ def _cells(batches: Iterator[pa.RecordBatch], key: list[str], percent: int, conf
         columns = [batch.column(c).to_pylist() for c in _CELL_COLUMNS]
         sets = batch.column("hashes") if confirm else None
         for i, (at, values) in enumerate(zip(keys, zip(*columns, strict=True), strict=True)):
-            if at != cell and held:
-                yield done()
+            if at != cell:
+                if len(held) > 1:
+                    yield done()
                 held = []
             cell = at
             row = dict(zip(_CELL_COLUMNS, values, strict=True))
             if confirm:
                 row["hashes"] = sets[i].values.to_numpy()
             held.append(row)
-    if held:
+    if len(held) > 1:
         yield done()
 
 
@@ -327,15 +328,22 @@ def _blocks() -> Column:
     return F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
 
 
-def _round(sets: DataFrame, labels: DataFrame, r: int, percent: int) -> DataFrame:
+def _round(sets: DataFrame, labels: DataFrame | None, r: int, percent: int) -> DataFrame:
     """Links among the classes that agree in minimum hash ``r``, one class per label, in blocks."""
-    seen = sets.select("digest", "n", F.col("mins")[r].alias("m")).join(labels, "digest") \
-        .groupBy("m", "label").agg(F.min(F.struct("digest", "n")).alias("one")).select("m", "label", "one.digest", "one.n")
-    size = seen.groupBy("m").agg(_blocks().alias("blocks"), F.count("*").alias("k")).where("k > 1").select("m", "blocks")
-    placed = seen.join(size, "m").withColumn("block", F.pmod(F.xxhash64("digest", F.lit(r)), F.col("blocks")).cast("int"))
-    rows = placed.withColumn("home", F.lit(True)).select("m", "block", "home", "digest", "label") \
-        .join(sets.select("digest", "n", "bitmap", "hashes"), "digest")
-    return _confirmed(rows.withColumn("cut", F.col("block")), ["m", "cut"], percent)
+    m = F.col("mins")[r].alias("m")
+    if labels is None:  # every class is a label of its own and meets with its set at once
+        large = pin(sets.select(m, "n").groupBy("m").agg(_blocks().alias("blocks")).where("blocks > 1"), "round-large")
+        rows = sets.select(m, "digest", F.col("digest").alias("label"), "n", "bitmap", "hashes").join(large, "m", "left")
+        blocks = F.coalesce("blocks", F.lit(1))
+    else:
+        seen = sets.select("digest", "n", m).join(labels, "digest").groupBy("m", "label").agg(F.min(F.struct("digest", "n")).alias("one"))
+        seen = seen.select("m", "label", "one.digest", "one.n")
+        size = seen.groupBy("m").agg(_blocks().alias("blocks"), F.count("*").alias("k")).where("k > 1").select("m", "blocks")
+        # few are left: saved, so that Spark knows, and does not shuffle the sets for them
+        placed = pin(seen.join(size, "m").select("m", "digest", "label", "blocks"), "round-placed")
+        rows, blocks = placed.join(sets.select("digest", "n", "bitmap", "hashes"), "digest"), F.col("blocks")
+    block = F.pmod(F.xxhash64("digest", F.lit(r)), blocks).cast("int")
+    return _confirmed(rows.withColumn("block", block).withColumn("cut", F.col("block")).withColumn("home", F.lit(True)), ["m", "cut"], percent)
 
 
 def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -364,8 +372,8 @@ def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     cells = rows.select("shingle", "band", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), *_CELL_COLUMNS)
     key = ["shingle", "band", "row", "col"]
     kinds = "shingle long, band int, row int, col int, block int, home boolean, digest binary, label binary, n long, bitmap binary"
-    alive = cells.repartition(width(sets.sparkSession), *key).sortWithinPartitions(*key, "digest") \
-        .mapInArrow(lambda it: _cells(it, key, percent, False), kinds)
+    alive = pin(cells.repartition(width(sets.sparkSession), *key).sortWithinPartitions(*key, "digest")
+                .mapInArrow(lambda it: _cells(it, key, percent, False), kinds), "cells-alive")
     return _confirmed(alive.join(sets.select("digest", "hashes"), "digest"), key, percent)
 
 
@@ -382,7 +390,7 @@ def class_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``digest, label``: equal labels for classes connected by links, for every class."""
     labels = sets.select("digest", F.col("digest").alias("label"))
     for r in range(ROUNDS):
-        labels = _relabel(labels, pin(_round(sets, labels, r, percent), "class-links"))
+        labels = _relabel(labels, pin(_round(sets, labels if r else None, r, percent), "class-links"))
     return _relabel(labels, pin(_tiles(sets, labels, percent), "class-links"))
 
 
