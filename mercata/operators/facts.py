@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mercata.functions.calendar import date_key, to_date_col
 from mercata.operators.dims import CUSTOMER, GEOGRAPHY, PRODUCT, SHIP_MODE, Dimension
-from mercata.operators.keys import Keyed, with_dense_key
+from mercata.operators.keys import Keyed, saved, with_dense_key
 from mercata.operators.lookup import left_lookup
 
 FACT_SALES_COLUMNS = ("sales_key", "order_id", "order_date_key", "ship_date_key", "customer_key",
@@ -22,6 +22,9 @@ FACT_SALES_COLUMNS = ("sales_key", "order_id", "order_date_key", "ship_date_key"
                       "discount", "profit", "cost", "profit_margin")
 FACT_RETURNS_COLUMNS = ("return_key", "order_id", "order_date_key", "customer_key", "product_key")
 
+COPIES = 10_000  # copies of a return line that one row stands for, at most
+_TIMES = "__times"
+
 # Raw orders columns that feed each lookup (fact column, dimension column).
 _LOOKUPS = (
     (CUSTOMER, (("customer_id", "customer_id"),)),
@@ -75,26 +78,24 @@ def build_fact_returns(orders: DataFrame, returns: DataFrame, dims: Mapping[str,
                        date_formats: Sequence[str] | None = None, on_duplicate: str = "keep") -> Keyed:
     """One row per (return event, distinct order line of that order).
 
-    Expressed as inner join + anti join instead of one left join: identical rows,
-    but an order with a huge number of lines is a hot key on the *order* side,
-    which AQE can split in an inner join and which the anti join only needs once
-    (distinct order ids).  The order-line distinct is restricted to returned
-    orders first (semi join), so it does not aggregate the whole order history.
+    Events are counted per order first, so lines meet one row per returned order, the lookups run
+    over distinct lines, and the copies that several events of an order ask for are made last, in
+    the tasks that number them; a line asked for very often is split into rows of ``COPIES``.
+    The distinct lines are saved once: events without a line are those whose order is not among
+    them.  The join to the lines is an inner join, in which AQE can split a hot order.
     """
-    events = returned_orders(returns).select("order_id")
-    lines = (orders.select("order_id", "customer_id", "product_id", "order_date", "region")
-             .join(events.distinct(), "order_id", "left_semi")
-             .distinct())
-    matched = events.join(lines, "order_id", "inner")
-    unmatched = (events.join(lines.select("order_id").distinct(), "order_id", "left_anti")
-                 .select("order_id", *[F.lit(None).cast(lines.schema[c].dataType).alias(c)
-                                       for c in ("customer_id", "product_id", "order_date", "region")]))
-    expanded = matched.unionByName(unmatched)
-    looked = _lookup_all(expanded, dims, _LOOKUPS[:2], on_duplicate)
+    events = returned_orders(returns).where(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.count(F.lit(1)).alias(_TIMES))
+    lines = orders.select("order_id", "customer_id", "product_id", "order_date", "region")
+    matched = saved(lines.join(events, "order_id").distinct(), "returned-lines")
+    alone = events.join(matched.select("order_id").distinct(), "order_id", "left_anti") \
+        .unionByName(returned_orders(returns).where(F.col("order_id").isNull()).groupBy("order_id").agg(F.count(F.lit(1)).alias(_TIMES)))
+    missing = [F.lit(None).cast(matched.schema[c].dataType).alias(c) for c in matched.columns if c not in ("order_id", _TIMES)]
+    looked = _lookup_all(matched.unionByName(alone.select("order_id", _TIMES, *missing)), dims, _LOOKUPS[:2], on_duplicate)
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(_TIMES) - 1) / COPIES)))
     shaped = looked.select(
         "order_id",
         date_key(to_date_col("order_date", date_formats)).alias("order_date_key"),
-        "customer_key", "product_key",
-    )
-    keyed = with_dense_key(shaped, "return_key", list(FACT_RETURNS_COLUMNS[1:]), unique=False)
+        "customer_key", "product_key", _TIMES, part.alias("__part"),
+    ).withColumn(_TIMES, F.least(F.lit(COPIES).cast("long"), F.col(_TIMES) - F.col("__part") * COPIES)).drop("__part")
+    keyed = with_dense_key(shaped, "return_key", list(FACT_RETURNS_COLUMNS[1:]), unique=False, times=_TIMES)
     return Keyed(keyed.frame.select(*FACT_RETURNS_COLUMNS), keyed.rows)

@@ -5,58 +5,95 @@ measure the parts it needs (sums, counts, extremes), and then combines the parts
 per group.  The first level runs with map-side partial aggregation and leaves one
 row per order of a group, so distinct counts work on orders, never on copies of
 every fact line.
+
+Sums of doubles are kept as integer limbs (``functions.exact``) over both levels, so
+totals and means do not depend on how the lines are spread or in which order they come.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercata.functions.exact import from_limbs, is_inexact, limbs, outside
+
+Parts = Mapping[str, Callable[[], Column]]  # part name -> aggregate over fact lines
+Totals = Mapping[str, Callable[[], Column]]  # summed column -> its total over the parts of a group
+
 
 @dataclass(frozen=True)
 class Measure:
-    parts: Mapping[str, Callable[[], Column]]  # part name -> aggregate over fact lines
-    combine: Callable[[], Column]            # aggregate over the parts of a group
-    like: str | None = None                  # part whose type the result keeps
+    """``combine`` makes the result from the parts of a group and the totals of the ``sums`` columns."""
+    combine: Callable[[Totals], Column]
+    parts: Parts = field(default_factory=dict)
+    sums: tuple[str, ...] = ()
+    counts: str | None = None  # column of the first level's grain that is counted distinctly
+
+
+def _sum_parts(value: str, inexact: bool) -> tuple[Parts, Callable[[], Column]]:
+    """First-level parts of a column's sum, and the total they give."""
+    part = f"__sum_{value}"
+    if not inexact:
+        return {part: lambda: F.sum(value)}, lambda: F.sum(part)
+    names = [f"{part}_{i}" for i in range(len(limbs(value)))]
+    rest = f"{part}_rest"
+    parts: dict[str, Callable[[], Column]] = {n: (lambda i=i: F.sum(limbs(value)[i])) for i, n in enumerate(names)}
+    parts[rest] = lambda: F.sum(outside(value))
+    return parts, lambda: from_limbs([F.sum(n) for n in names], F.sum(rest))
 
 
 def total(value: str) -> Measure:
     """Sum, in the type that one sum of the lines has."""
-    part = f"__sum_{value}"
-    return Measure({part: lambda: F.sum(value)}, lambda: F.sum(part), part)
+    return Measure(lambda t: t[value](), sums=(value,))
 
 
 def average(value: str) -> Measure:
     """Mean of the non-NULL values: exact sum over count, one division in double."""
-    s, n = f"__sum_{value}", f"__count_{value}"
-    return Measure({s: lambda: F.sum(value), n: lambda: F.count(value)}, lambda: F.try_divide(F.sum(s).cast("double"), F.sum(n)))
+    n = f"__count_{value}"
+    return Measure(lambda t: F.try_divide(t[value]().cast("double"), F.sum(n)), {n: lambda: F.count(value)}, (value,))
 
 
 def smallest(value: str) -> Measure:
     part = f"__min_{value}"
-    return Measure({part: lambda: F.min(value)}, lambda: F.min(part))
+    return Measure(lambda _: F.min(part), {part: lambda: F.min(value)})
 
 
 def largest(value: str) -> Measure:
     part = f"__max_{value}"
-    return Measure({part: lambda: F.max(value)}, lambda: F.max(part))
+    return Measure(lambda _: F.max(part), {part: lambda: F.max(value)})
 
 
 def distinct(key: str) -> Measure:
     """Exact distinct count of a column of the first level's grain."""
-    return Measure({}, lambda: F.count_distinct(key))
+    return Measure(lambda _: F.count_distinct(key), counts=key)
 
 
 def summarise(lines: DataFrame, by: Sequence[str], grain: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
-    """``measures`` per ``by``; ``grain`` are the columns that are counted distinctly."""
-    parts = {name: make for m in measures.values() for name, make in m.parts.items()}
-    first = lines.groupBy(*by, *grain).agg(*[make().alias(name) for name, make in parts.items()])
-    kind = {f.name: f.dataType for f in first.schema.fields}
+    """``measures`` per ``by``; ``grain`` are the columns that are counted distinctly.
+
+    With a grain of one column the first level has one row per value of it and group: a plain
+    count of the rows is the distinct count.
+    """
+    kind = {f.name: f.dataType for f in lines.schema.fields}
+    parts: dict[str, Callable[[], Column]] = {}
+    totals: dict[str, Callable[[], Column]] = {}
+    for m in measures.values():
+        parts |= m.parts
+        for value in m.sums:
+            added, totals[value] = _sum_parts(value, is_inexact(kind[value]))
+            parts |= added
+    groups = lines.groupBy(*by, *grain)
+    first = groups.agg(*[make().alias(name) for name, make in parts.items()]) if parts else lines.select(*by, *grain).distinct()
+    one_sum = {f.name: f.dataType for f in first.schema.fields}
     out = []
     for name, m in measures.items():
-        col = m.combine()
-        out.append((col.cast(kind[m.like]) if m.like else col).alias(name))
+        if m.counts is not None and list(grain) == [m.counts]:
+            col = F.count(m.counts)
+        else:
+            col = m.combine(totals)
+        like = one_sum.get(f"__sum_{m.sums[0]}") if m.sums and not m.parts else None
+        out.append((col.cast(like) if like is not None else col).alias(name))
     return first.groupBy(*by).agg(*out)

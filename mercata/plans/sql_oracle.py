@@ -31,7 +31,11 @@ def _ratio(num: str, den: str) -> str:
 
 
 def _margin(col: str = "profit_margin") -> str:
-    return f"ROUND(AVG({col}), 9)"
+    """Mean of a double column over an order-independent sum: units of 2^48, 2^24, ... 2^-72, each summed as an integer."""
+    units = [f"round_even({col} * CAST({2.0 ** -p!r} AS DOUBLE), 0)" for p in (48, 24, 0, -24, -48, -72)]
+    own = [units[0], *(f"({u} - {above} * CAST(16777216 AS DOUBLE))" for above, u in zip(units, units[1:]))]
+    sums = [f"CAST(SUM(CAST({x} AS BIGINT)) AS DOUBLE) * CAST({2.0 ** p!r} AS DOUBLE)" for p, x in zip((48, 24, 0, -24, -48, -72), own)]
+    return f"({' + '.join(reversed(sums))}) / NULLIF(COUNT({col}), 0)"
 
 
 # Restated here, not imported: a wrong value in the engine must not pass.
