@@ -46,7 +46,7 @@ PERCENT = 80
 PIECE = 8 << 20
 ROUNDS = 2              # minimum hashes
 BITS = 1024             # parity bitmap, at least; BITS_PER_SHINGLE for larger sets
-BITS_PER_SHINGLE = 8
+BITS_PER_SHINGLE = 2    # unrelated sets of n then differ in some 0.86 n bits, linked ones in 0.22 n at most
 BLOCK = 1_000           # classes per block of a tile or a round's cell
 BLOCK_SHINGLES = 4 << 20  # shingles of a block (32 MB)
 _DOC, _TEXT = "__llm_doc", "__llm_text"
@@ -244,11 +244,25 @@ class _Cell:
         self.label = np.unique(np.array([r["label"].hex() for r in rows], dtype=object).astype(str), return_inverse=True)[1]
         self.block = np.array([r["block"] for r in rows])
         self.home = np.array([r["home"] for r in rows])
-        # bitmaps are folded to the shortest of the cell: parities add up
-        size = min(len(r["bitmap"]) for r in rows)
-        self.bits = np.zeros((len(rows), size // 8), np.uint64)
-        for i, r in enumerate(rows):
-            self.bits[i] = np.bitwise_xor.reduce(np.frombuffer(r["bitmap"], np.uint64).reshape(-1, size // 8), axis=0)
+        self.words = np.array([len(r["bitmap"]) // 8 for r in rows])  # of the bitmap
+        self.place = np.zeros(len(rows), np.int64)
+        self.bits: dict[int, np.ndarray] = {}  # bitmaps by their size
+        for size in np.unique(self.words).tolist():
+            own = np.flatnonzero(self.words == size)
+            self.place[own] = np.arange(len(own))
+            self.bits[size] = np.frombuffer(b"".join([rows[i]["bitmap"] for i in own.tolist()]), np.uint64).reshape(-1, size)
+
+    def differing(self, i: int, js: np.ndarray) -> np.ndarray:
+        """Bits in which the bitmaps of ``js`` differ from that of ``i``; the longer of two is folded, as parities add up."""
+        out = np.zeros(len(js), np.int64)
+        own = self.bits[self.words[i]][self.place[i]]
+        for size in np.unique(self.words[js]).tolist():
+            at = np.flatnonzero(self.words[js] == size)
+            short = min(size, len(own))
+            theirs = np.bitwise_xor.reduce(self.bits[size][self.place[js[at]]].reshape(len(at), -1, short), axis=1)
+            mine = np.bitwise_xor.reduce(own.reshape(-1, short), axis=0)
+            out[at] = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
+        return out
 
     def may_link(self, i: int) -> np.ndarray:
         """Later classes of other labels that nothing rules out."""
@@ -257,8 +271,7 @@ class _Cell:
             js = js[self.block[js] != self.block[i]]
         both = self.n[js] + self.n[i]
         js, both = (x[(100 + self.percent) * np.minimum(self.n[js], self.n[i]) >= self.percent * both] for x in (js, both))
-        differ = np.bitwise_count(self.bits[js] ^ self.bits[i]).sum(axis=1, dtype=np.int64)
-        most = (both - differ) // 2
+        most = (both - self.differing(i, js)) // 2
         return js[100 * most >= self.percent * (both - most)]
 
     def candidates(self) -> list[int]:
@@ -358,7 +371,7 @@ def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     take = prefix - (F.col("n") - F.size("of"))
     taken = found.where(take > 0).select("digest", F.explode(F.slice("of", F.lit(1), take.cast("int"))).alias("x")) \
         .select("digest", F.col("x.shingle").alias("shingle"))
-    rows = taken.join(held.select("digest", "label", "n", "bitmap"), "digest")
+    rows = taken.join(held.select("digest", "label", "n"), "digest")
     band = F.floor(F.log(F.col("n")) / math.log(100.0 / percent) + 1e-9).cast("int")
     rows = rows.withColumn("own", band) \
         .select("*", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("band")) \
@@ -366,7 +379,8 @@ def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     size = rows.groupBy("shingle", "band").agg(_blocks().alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi"),
                                                F.max("home").alias("any_home")) \
         .where("lo <> hi and any_home").select("shingle", "band", "blocks")
-    rows = rows.join(size, ["shingle", "band"]) \
+    # bitmaps join the rows that are left
+    rows = rows.join(size, ["shingle", "band"]).join(sets.select("digest", "bitmap"), "digest") \
         .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")) \
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = rows.select("shingle", "band", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), *_CELL_COLUMNS)

@@ -62,6 +62,7 @@ class Slice:
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))  # weights in retrieval
     full: np.ndarray = field(default_factory=lambda: np.zeros(0))  # IDF of all terms
     basis: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # unit rows of the chunks, projected
 
 
 def benchmark_slices(rows: list[tuple], chunk: int = CHUNK, size: int = SLICE) -> Iterator[Slice]:
@@ -144,6 +145,31 @@ def _weighted(row: dict, idf: np.ndarray, chunk: int) -> tuple[np.ndarray, ...]:
     return passage, term, weight
 
 
+def group_sums(source: np.ndarray, take: np.ndarray, scale: np.ndarray, start: np.ndarray, run: int = 64) -> np.ndarray:
+    """Sums of ``source[take] * scale`` over consecutive groups beginning at ``start``.
+
+    Groups are cut into runs; the k-th members of all runs are added at once, longest runs first,
+    so no matrix of all members is made.
+    """
+    if not len(start):
+        return np.zeros((0, source.shape[1]), source.dtype)
+    size = np.diff(np.append(start, len(take)))
+    runs = -(-size // run)
+    head = np.cumsum(runs) - runs
+    first = np.repeat(start, runs) + run * (np.arange(runs.sum()) - np.repeat(head, runs))
+    length = np.minimum(np.repeat(start + size, runs) - first, run)
+    order = np.argsort(-length, kind="stable")
+    first, length = first[order], length[order]
+    out = np.zeros((len(first), source.shape[1]), source.dtype)
+    for k in range(int(length[0])):
+        n = int(np.searchsorted(-length, -k))  # runs of more than k members
+        at = first[:n] + k
+        out[:n] += source[take[at]] * scale[at, None]
+    back = np.empty_like(out)
+    back[order] = out
+    return np.add.reduceat(back, head) if len(head) < len(back) else back
+
+
 def _products(batches: Iterator[pa.RecordBatch], shared, chunk: int) -> Iterator[pa.RecordBatch]:
     """Partial sums of A'(A W), in blocks of terms."""
     idf, w = shared.value
@@ -152,12 +178,12 @@ def _products(batches: Iterator[pa.RecordBatch], shared, chunk: int) -> Iterator
         for row in batch.to_pylist():
             passage, term, weight = _weighted(row, idf, chunk)
             for a in range(0, len(passage), 100_000):  # a cut passage is two rows: allowed in a sketch, kept rare
-                p, t, x = passage[a:a + 100_000], term[a:a + 100_000], weight[a:a + 100_000, None].astype(np.float32)
+                p, t, x = passage[a:a + 100_000], term[a:a + 100_000], weight[a:a + 100_000].astype(np.float32)
                 _, start, back = np.unique(p, return_index=True, return_inverse=True)
-                y = np.add.reduceat(w[t] * x, start)[back] * x
+                y = group_sums(w, t, x, start)
                 order = np.argsort(t, kind="stable")
                 terms, start = np.unique(t[order], return_index=True)
-                total[terms] += np.add.reduceat(y[order], start)
+                total[terms] += group_sums(y, back[order], x[order], start)
     for b in range(BLOCKS):
         yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([zlib.compress(total[b::BLOCKS].astype("<f4").tobytes(), 1)])],
                                          names=["block", "sums"])
@@ -193,19 +219,28 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 1e-9)
 
 
-def chunk_rows(s: Slice) -> np.ndarray:
-    """Unit TF-IDF rows of the chunks."""
-    rows = np.zeros((len(s.codes), len(s.terms)), np.float32)
-    for i, c in enumerate(s.codes):
-        t, n = np.unique(c, return_counts=True)
-        rows[i, t] = (1 + np.log(n)) * s.idf[t]
-    return _unit(rows)
+def chunk_rows(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit TF-IDF rows of the chunks: (chunk, term, weight), by chunk."""
+    chunk = np.repeat(np.arange(len(s.codes)), [len(c) for c in s.codes])
+    pair, n = np.unique(chunk * len(s.terms) + np.concatenate(s.codes), return_counts=True)
+    chunk, term = pair // len(s.terms), pair % len(s.terms)
+    weight = (1 + np.log(n)) * s.idf[term]
+    norm = np.sqrt(np.bincount(chunk, weight ** 2, len(s.codes)))[chunk]
+    return chunk, term, np.divide(weight, norm, out=np.zeros_like(weight), where=norm > 1e-9).astype(np.float32)
+
+
+def _projected(rows: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, basis: np.ndarray) -> np.ndarray:
+    """``n`` sparse rows times a matrix over the terms."""
+    chunk, term, weight = rows
+    out = np.zeros((n, basis.shape[1]), np.float32)
+    some, start = np.unique(chunk, return_index=True)
+    out[some] = group_sums(basis, term, weight, start)
+    return out
 
 
 def _found(batches: Iterator[pa.RecordBatch], shared, chunk: int, cosine: float, lcs: float, answer: float) -> Iterator[pa.RecordBatch]:
     s: Slice = shared.value
-    basis = s.basis.astype(np.float32)
-    latent = _unit(chunk_rows(s) @ basis)
+    basis, latent = s.basis, s.latent
     codes = [c.tolist() for c in s.codes]
     weighs = [{t: float(s.full[t]) for t in c} for c in codes]
     wanted = [answer * sum(w.values()) - 1e-9 for w in weighs]
@@ -222,7 +257,7 @@ def _found(batches: Iterator[pa.RecordBatch], shared, chunk: int, cosine: float,
             for a in range(0, len(numbers), 2_048):
                 z = min(a + 2_048, len(numbers))
                 span = slice(start[a], stop[z - 1])
-                rows = np.add.reduceat(basis[term[span]] * weight[span, None].astype(np.float32), start[a:z] - start[a])
+                rows = group_sums(basis, term[span], weight[span].astype(np.float32), start[a:z] - start[a])
                 score = _unit(rows) @ latent.T
                 seen = -1
                 for i, j in np.argwhere(score >= cosine).tolist():
@@ -290,18 +325,22 @@ def _slice_matches(texts: DataFrame, s: Slice, chunk: int, cosine: float, lcs: f
     s.full = np.maximum(idf, 0.0)
 
     own = chunk_rows(s)
-    own *= np.sqrt(max(n, 1) / len(own))  # as much weight as the corpus together
+    by_term = np.argsort(own[1], kind="stable")
+    own_terms, own_start = np.unique(own[1][by_term], return_index=True)
+    share = max(n, 1) / len(s.codes)  # as much weight as the corpus together
     rank = min(rank, len(s.terms))
     w = np.random.default_rng(7).standard_normal((len(s.terms), min(rank + 16, len(s.terms)))).astype(np.float32)
     for _ in range(2):
         shared = sc.broadcast((s.idf, w))
         parts = encoded.select("blob", "passages").mapInArrow(lambda it, b=shared: _products(it, b, chunk), "block int, sums binary")
-        g = (own.T @ (own @ w)).astype(np.float64)
+        g = np.zeros(w.shape)
+        g[own_terms] = share * group_sums(_projected(own, len(s.codes), w), own[0][by_term], own[2][by_term], own_start)
         for r in parts.repartition(BLOCKS, "block").mapInArrow(_added, "block int, sums binary").collect():  # terms x rank numbers in all
             g[r[0]::BLOCKS] += np.frombuffer(r[1]).reshape(-1, w.shape[1])
         u, _, _ = np.linalg.svd(g, full_matrices=False)
         w = u.astype(np.float32)
-    s.basis = w[:, :rank]
+    s.basis = np.ascontiguousarray(w[:, :rank])
+    s.latent = _unit(_projected(own, len(s.codes), s.basis))
     last = sc.broadcast(s)
     return encoded.mapInArrow(lambda it: _found(it, last, chunk, cosine, lcs, answer),
                               "doc_id long, text_key binary, item_id long, cosine double, lcs_share double")

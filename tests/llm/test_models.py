@@ -7,7 +7,7 @@ import pyarrow as pa
 from brute import lcs
 
 from mercata.llm import registry, toxicity
-from mercata.llm.latent_retrieval import benchmark_slices, contaminated, lcs_length, words_of
+from mercata.llm.latent_retrieval import benchmark_slices, chunk_rows, contaminated, group_sums, lcs_length, words_of
 from mercata.llm.learned_partitions import balanced_parts, fit_router, nearest, neighbour_graph
 
 
@@ -91,6 +91,25 @@ def test_toxicity_odd_rows_and_no_labels(spark, odd, nothing, odd_rows):
     assert nothing.select(toxicity.score_column(spark, empty)).collect() == []
 
 
+def test_group_sums_and_chunk_rows():
+    rng = np.random.default_rng(3)
+    source = rng.normal(size=(50, 7))
+    sizes = np.array([1, 70, 3, 64, 65, 1, 200, 2])
+    take, scale = rng.integers(0, 50, sizes.sum()), rng.normal(size=sizes.sum())
+    start = np.cumsum(sizes) - sizes
+    want = [(source[take[a:a + n]] * scale[a:a + n, None]).sum(axis=0) for a, n in zip(start, sizes, strict=True)]
+    assert np.allclose(group_sums(source, take, scale, start), want) and np.allclose(group_sums(source, take, scale, start, run=2), want)
+    assert group_sums(source, take[:0], scale[:0], start[:0]).shape == (0, 7)
+    s = next(benchmark_slices([(1, "one two two three"), (2, "three four"), (3, "five")]))
+    s.idf = np.array([1.0, 2.0, 0.5, 3.0, 0.0])
+    chunk, term, weight = chunk_rows(s)
+    dense = np.zeros((3, 5))
+    dense[chunk, term] = weight
+    plain = np.array([[1, 2 * (1 + np.log(2)), 0.5, 0, 0], [0, 0, 0.5, 3, 0], [0, 0, 0, 0, 0]])
+    norm = np.linalg.norm(plain, axis=1, keepdims=True)
+    assert np.allclose(dense, np.divide(plain, norm, out=np.zeros_like(plain), where=norm > 0), atol=1e-6)
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(8, 16)) * 3
