@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 # Library settings (session conf keys).  Values are read at plan-build time.
 KEY_PARTITIONS = "spark.mercata.key.partitions"
+SCRATCH_RUN = "spark.mercata.scratch.run"  # set by run_scratch: the folder of a run's scratch
 
 
 def build_session(master: str = "local[8]", app: str = "mercata", shuffle_partitions: int = 8,
@@ -60,7 +63,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared checkpoint root (never reused)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/scratch/{label}-{uuid.uuid4().hex}"
+    run = spark.conf.get(SCRATCH_RUN, None)
+    return f"{root}/scratch/{run + '/' if run else ''}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession, delete: Callable[[SparkSession, str], None]) -> Iterator[str]:
+    """Scratch folders made inside lie below one folder, which ``delete`` removes at the end, after a failure too."""
+    root, run = ensure_checkpoint_dir(spark).rstrip("/"), f"run-{uuid.uuid4().hex}"
+    spark.conf.set(SCRATCH_RUN, run)
+    try:
+        yield f"{root}/scratch/{run}"
+    finally:
+        spark.conf.unset(SCRATCH_RUN)
+        delete(spark, f"{root}/scratch/{run}")
 
 
 def key_partitions(spark: SparkSession) -> int | None:

@@ -16,17 +16,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mercata.config import run_scratch
 from mercata.functions.naming import clean_names
 from mercata.operators import marts
 from mercata.operators.star_tables import StarTables
 from mercata.plans.concurrency import run_concurrently
 from mercata.plans.star import STAR_TABLES, build_star, star_from_tables
-from mercata.sources.catalog import ensure_namespace, overwrite_table, qualified
+from mercata.sources.catalog import delete_folder, ensure_namespace, overwrite_table, qualified
 from mercata.sources.driver_tables import RetailInputs
 from mercata.sources.landing import ingest_landing
 
 RAW_TABLES = ("orders", "people", "returns")
-DIMENSIONS = tuple(t for t in STAR_TABLES if t.startswith("dim_"))
 
 
 @dataclass(frozen=True)
@@ -95,19 +95,15 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(),
     return dict(star.rows)
 
 
-def saved_star(spark: SparkSession, database: str, rows: Mapping[str, int] | None = None) -> StarTables:
-    """The star tables of ``database``, with dimension sizes for the broadcast checks."""
-    tables = {t: spark.table(qualified(database, t)) for t in STAR_TABLES}
-    if rows is None:  # dimension sizes drive the broadcast decisions
-        rows = {t: tables[t].count() for t in DIMENSIONS}
-    return star_from_tables(tables, dict(rows))
+def saved_star(spark: SparkSession, database: str) -> StarTables:
+    """The star tables of ``database``."""
+    return star_from_tables({t: spark.table(qualified(database, t)) for t in STAR_TABLES})
 
 
-def run_gold(spark: SparkSession, layers: Layers = Layers(), star_rows: Mapping[str, int] | None = None,
-             max_workers: int = 8) -> dict[str, int]:
+def run_gold(spark: SparkSession, layers: Layers = Layers(), max_workers: int = 8) -> dict[str, int]:
     """Star tables -> the seven reporting marts, written concurrently."""
     ensure_namespace(spark, layers.reporting)
-    star = saved_star(spark, layers.star, star_rows)
+    star = saved_star(spark, layers.star)
     return run_concurrently({name: (lambda name=name, fn=fn: overwrite_table(fn(star), layers.reporting, name))
                              for name, fn in marts.MARTS.items()}, max_workers)
 
@@ -116,8 +112,9 @@ def run_all(spark: SparkSession, landing_dir: str, layers: Layers = Layers(),
             overrides: Mapping[str, Mapping[str, str]] | None = None,
             date_formats: Sequence[str] | None = None, on_duplicate: str = "keep",
             schemas: Mapping[str, str] | None = None) -> dict:
-    """Landing -> raw -> star -> reporting; returns the rows written per layer and table."""
-    bronze = run_bronze(spark, landing_dir, layers, overrides, schemas)
-    silver = run_silver(spark, layers, date_formats, on_duplicate=on_duplicate)
-    gold = run_gold(spark, layers, star_rows=silver)
+    """Landing -> raw -> star -> reporting; returns the rows written per layer and table.  The run's scratch is deleted."""
+    with run_scratch(spark, delete_folder):
+        bronze = run_bronze(spark, landing_dir, layers, overrides, schemas)
+        silver = run_silver(spark, layers, date_formats, on_duplicate=on_duplicate)
+        gold = run_gold(spark, layers)
     return {"bronze": bronze, "silver": silver, "gold": gold}

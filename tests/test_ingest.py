@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from mercata.sources.catalog import ensure_namespace
 from mercata.sources.delimited import ingest_delimited, read_delimited, table_name_for
@@ -179,3 +180,35 @@ def test_workbook_rows_without_reference_numbers(tmp_dir):
     _raw_xlsx(p, rows)
     recs = list(decode_workbook(p, open(p, "rb").read()))
     assert [(r[2], r[3]) for r in recs] == [(1, ["A", "B"]), (2, ["1", "2"]), (5, ["3"]), (6, ["4"])]
+
+
+KINDS = {
+    "ints": ["1", "-2", "+3", ""], "zeros": ["007", "12", "0", ""], "longs": ["1", "9999999999", "", "2"], "beyond": ["1", "92233720368547758070", "5", ""],
+    "doubles": ["1", "2.5", "1e3", ""], "odd_doubles": ["NaN", "-Inf", " 1.5", "2."], "dates": ["2021-03-01", "", "1999-12-31", "2020-02-29"],
+    "no_dates": ["2021-03-01", "2021-02-30", "", "2021-03-02"], "times": ["2021-03-01 10:00:00", "2021-03-01T10:00:00", "", "2022-01-01 00:00:00"],
+    "dates_and_times": ["2021-03-01", "2021-03-01 10:00:00", "", ""], "flags": ["true", "FALSE", "", "True"], "mixed": ["1", "true", "", ""],
+    "numbers_and_dates": ["1.5", "2021-03-01", "", ""], "text": ["a", "1", "", "b"], "nothing": ["", "", "", ""],
+}
+
+
+def test_types_of_one_pass_equal_sparks_inference(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "kinds.csv")
+    with open(path, "w") as f:
+        f.write(",".join(KINDS) + "\n")
+        for values in zip(*KINDS.values(), strict=True):
+            f.write(",".join(values) + "\n")
+    want = spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+    got = read_delimited(spark, path)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert "csv" not in got._jdf.queryExecution().executedPlan().toString().lower()  # the landing file is not read again
+    assert dict(read_delimited(spark, path, zeros_are_text=True).dtypes) == dict(want.dtypes) | {"zeros": "string"}
+
+
+def test_kinds_merge_over_many_tasks(spark, tmp_dir):
+    """The one text value that decides the type stands in the last of many files."""
+    path = os.path.join(tmp_dir, "many")
+    spark.range(400).select((F.col("id") % 7).alias("n"), F.when(F.col("id") == 399, "x").otherwise(F.col("id").cast("string")).alias("s")) \
+        .repartitionByRange(16, "n", "s").write.option("header", "true").csv(path)
+    got = read_delimited(spark, path)
+    assert got.dtypes == [("n", "int"), ("s", "string")] and got.count() == 400

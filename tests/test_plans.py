@@ -63,3 +63,40 @@ def test_marts_prune_columns_and_aggregate_partially(spark, tmp_dir):
     join = next(i for i, line in enumerate(lines) if "Join" in line and "[customer_key" in line)
     agg = next(i for i, line in enumerate(lines) if "HashAggregate(keys=[customer_key" in line)
     assert join < agg  # the aggregate is a child of the dimension join: the fact is grouped first
+
+
+def test_shares_and_ranks_scan_the_fact_once(spark, tmp_dir, monkeypatch):
+    from mercata.operators import keys
+
+    star = build_star(toy.orders(spark, [dict(order_id=f"O-{i}", product_id=f"P-{i}", ship_mode=("First Class", "Same Day")[i % 2]) for i in range(6)]),
+                      toy.people(spark, [("Mia", "West")]), toy.returns(spark, [("O-1", "Yes")]))
+    star.fact_sales.write.parquet(f"{tmp_dir}/fact_sales")
+    star = star.__class__(**{**star.__dict__, "fact_sales": spark.read.parquet(f"{tmp_dir}/fact_sales")})
+    plans = []
+    real = keys.saved
+
+    def saved(df, label):
+        plans.append(plan_of(df))
+        return real(df, label)
+
+    monkeypatch.setattr(keys, "saved", saved)
+    for mart in (marts.agg_shipping_analysis, marts.agg_product_performance, marts.agg_state_performance):
+        plans.clear()
+        out = mart(star)
+        scans = [p.count(f"{tmp_dir}/fact_sales") for p in [*plans, plan_of(out)]]
+        assert sum(scans) == scans[0] == 1, mart.__name__  # the first saved frame reads it, nothing after it
+        assert out.count() > 0
+
+
+def test_ranks_move_distinct_values_only(spark, tmp_dir, monkeypatch):
+    """A value that a third of the rows share is one row of what is range-partitioned."""
+    from mercata.operators import keys
+
+    rows = spark.range(900).selectExpr("id", "if(id % 3 = 0, 5, id) AS v", "repeat('x', 50) AS wide")
+    saved = {}
+    real = keys.saved
+    monkeypatch.setattr(keys, "saved", lambda df, label: saved.setdefault(label, real(df, label)))
+    ranked = keys.with_ranks_desc(rows, {"r": "v"})
+    assert saved["ranks"].columns[:2] == ["value", "__mercata_rows"] and saved["ranks"].count() == 600
+    assert "Exchange" not in plan_of(saved["ranked"])
+    assert ranked.where("v = 5").select("r").distinct().collect()[0][0] == 597  # 596 rows are larger
