@@ -17,12 +17,12 @@ whose ends are known to be connected already.
    are ordered by how rare they are (all others before them); two sets that link share one of the
    first ``n - ceil(t n) + 1``.  A tile is such a shingle and a band of set sizes; large tiles are
    cut into blocks and every pair of blocks is a cell.  In a cell, sizes and the bitmaps' differing
-   bits bound the overlap from above; a class that may link with another of the cell goes on with
-   its set to the same cell, where pairs are intersected exactly.
+   bits bound the overlap from above.  Classes that may link, directly or over others, are one
+   group; each goes to its group with its set once, and pairs there are intersected exactly.
 5. Components over all links found.
 
-No cell emits pairs: it joins labels as it finds links, skips pairs whose labels are joined, and
-emits the joining links only, fewer than it has classes, however large a group of copies is.
+No cell emits all its pairs: it joins classes as it finds pairs, skips those that are joined, and
+emits the joining ones only, fewer than it has classes, however large a group of copies is.
 """
 
 from __future__ import annotations
@@ -241,22 +241,25 @@ class _Cell:
     def __init__(self, rows: list[dict], crossing: bool, percent: int) -> None:
         self.rows, self.crossing, self.percent = rows, crossing, percent
         self.n = np.array([r["n"] for r in rows], np.int64)
-        self.label = np.unique(np.array([r["label"].hex() for r in rows], dtype=object).astype(str), return_inverse=True)[1]
+        number: dict[bytes, int] = {}
+        self.label = np.array([number.setdefault(r["label"], len(number)) for r in rows])
         self.block = np.array([r["block"] for r in rows])
         self.home = np.array([r["home"] for r in rows])
         self.words = np.array([len(r["bitmap"]) // 8 for r in rows])  # of the bitmap
         self.place = np.zeros(len(rows), np.int64)
         self.bits: dict[int, np.ndarray] = {}  # bitmaps by their size
-        for size in np.unique(self.words).tolist():
+        for size in set(self.words.tolist()):
             own = np.flatnonzero(self.words == size)
             self.place[own] = np.arange(len(own))
             self.bits[size] = np.frombuffer(b"".join([rows[i]["bitmap"] for i in own.tolist()]), np.uint64).reshape(-1, size)
 
     def differing(self, i: int, js: np.ndarray) -> np.ndarray:
         """Bits in which the bitmaps of ``js`` differ from that of ``i``; the longer of two is folded, as parities add up."""
-        out = np.zeros(len(js), np.int64)
         own = self.bits[self.words[i]][self.place[i]]
-        for size in np.unique(self.words[js]).tolist():
+        if len(self.bits) == 1:
+            return np.bitwise_count(self.bits[len(own)][js] ^ own).sum(axis=1, dtype=np.int64)
+        out = np.zeros(len(js), np.int64)
+        for size in set(self.words[js].tolist()):
             at = np.flatnonzero(self.words[js] == size)
             short = min(size, len(own))
             theirs = np.bitwise_xor.reduce(self.bits[size][self.place[js[at]]].reshape(len(at), -1, short), axis=1)
@@ -266,51 +269,72 @@ class _Cell:
 
     def may_link(self, i: int) -> np.ndarray:
         """Later classes of other labels that nothing rules out."""
-        js = np.flatnonzero((self.label[i + 1:] != self.label[i]) & (self.home[i] | self.home[i + 1:])) + i + 1  # two guests meet in another band
+        n, later = self.n, slice(i + 1, None)
+        both = n[later] + n[i]
+        ok = (self.label[later] != self.label[i]) & (self.home[i] | self.home[later])  # two guests meet in another band
+        ok &= (100 + self.percent) * np.minimum(n[later], n[i]) >= self.percent * both
         if self.crossing:
-            js = js[self.block[js] != self.block[i]]
-        both = self.n[js] + self.n[i]
-        js, both = (x[(100 + self.percent) * np.minimum(self.n[js], self.n[i]) >= self.percent * both] for x in (js, both))
+            ok &= self.block[later] != self.block[i]
+        js = np.flatnonzero(ok) + i + 1
+        if not len(js):
+            return js
+        both = n[js] + n[i]
         most = (both - self.differing(i, js)) // 2
         return js[100 * most >= self.percent * (both - most)]
 
-    def candidates(self) -> list[int]:
-        """Classes that may link with another one."""
-        found = np.zeros(len(self.rows), bool)
-        for i in range(len(self.rows)):
+    def _all_pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """The same for every class of a small cell at once."""
+        n, (bits,) = self.n, self.bits.values()
+        both = n[:, None] + n
+        most = (both - np.bitwise_count(bits[:, None] ^ bits).sum(axis=2, dtype=np.int64)) // 2
+        ok = (100 * most >= self.percent * (both - most)) & (self.label[:, None] != self.label) & (self.home[:, None] | self.home)
+        if self.crossing:
+            ok &= self.block[:, None] != self.block
+        for i, of in enumerate(np.triu(ok, 1)):
+            if of.any():
+                yield i, np.flatnonzero(of)
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each class with the later ones it may link with."""
+        if len(self.bits) == 1 and len(self.rows) ** 2 * int(self.words[0]) <= 1 << 18:
+            yield from self._all_pairs()
+            return
+        for i in range(len(self.rows) - 1):
             js = self.may_link(i)
-            found[js] = True
-            found[i] |= bool(len(js))
-        return np.flatnonzero(found).tolist()
+            if len(js):
+                yield i, js
 
-    def links(self) -> list[tuple[bytes, bytes]]:
-        """Links that joined two labels; pairs of joined labels are not looked at again."""
+    def _forest(self, group: np.ndarray, links) -> list[tuple[bytes, bytes]]:
+        """Pairs that joined two groups, of those for which ``links(i, j)`` holds; others of joined groups are not looked at."""
         out = []
-        for i, a in enumerate(self.rows):
-            for j in self.may_link(i).tolist():
-                if self.label[i] == self.label[j]:
-                    continue
-                b = self.rows[j]
-                common = len(np.intersect1d(a["hashes"], b["hashes"], assume_unique=True))
-                if 100 * common >= self.percent * (a["n"] + b["n"] - common):
-                    self.label[self.label == self.label[j]] = self.label[i]
-                    out.append((a["digest"], b["digest"]))
+        for i, js in self.pairs():
+            for j in js.tolist():
+                if group[i] != group[j] and links(self.rows[i], self.rows[j]):
+                    group[group == group[j]] = group[i]
+                    out.append((self.rows[i]["digest"], self.rows[j]["digest"]))
         return out
 
+    def candidates(self) -> list[tuple[bytes, bytes]]:
+        """Pairs that connect all classes that may link with each other, directly or not."""
+        return self._forest(np.arange(len(self.rows)), lambda a, b: True)
+
+    def _links(self, a: dict, b: dict) -> bool:
+        common = len(np.intersect1d(a["hashes"], b["hashes"], assume_unique=True))
+        return 100 * common >= self.percent * (a["n"] + b["n"] - common)
+
+    def links(self) -> list[tuple[bytes, bytes]]:
+        """Links, by exact intersection, that joined two labels."""
+        return self._forest(self.label, self._links)
+
 
 def _cells(batches: Iterator[pa.RecordBatch], key: list[str], percent: int, confirm: bool) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell: the classes that may link (``cell`` columns, digest), or with the sets at hand the joining links."""
+    """Rows sorted by cell: pairs that connect what may link, or with the sets at hand the links that joined two labels."""
     cell, held = None, []
 
     def done() -> pa.RecordBatch:
         of = _Cell(held, "row" in key and cell[-2] != cell[-1], percent)
-        if confirm:
-            out = of.links()
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
-        some = of.candidates()
-        return pa.RecordBatch.from_arrays([*(pa.array([v] * len(some), batch.schema.field(c).type) for c, v in zip(key, cell, strict=True)),
-                                           *(pa.array([held[i][c] for i in some], batch.schema.field(c).type) for c in _CELL_COLUMNS)],
-                                          names=[*key, *_CELL_COLUMNS])
+        out = of.links() if confirm else of.candidates()
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
     for batch in batches:
         keys = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True))
@@ -385,10 +409,16 @@ def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = rows.select("shingle", "band", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), *_CELL_COLUMNS)
     key = ["shingle", "band", "row", "col"]
-    kinds = "shingle long, band int, row int, col int, block int, home boolean, digest binary, label binary, n long, bitmap binary"
-    alive = pin(cells.repartition(width(sets.sparkSession), *key).sortWithinPartitions(*key, "digest")
-                .mapInArrow(lambda it: _cells(it, key, percent, False), kinds), "cells-alive")
-    return _confirmed(alive.join(sets.select("digest", "hashes"), "digest"), key, percent)
+    may = pin(cells.repartition(width(sets.sparkSession), *key).sortWithinPartitions(*key, "digest")
+              .mapInArrow(lambda it: _cells(it, key, percent, False), "a binary, b binary").distinct(), "cells-may")
+    # classes that may link, directly or not, are one group; each goes to it with its set once
+    groups = pin(components(may).select(F.col("node").alias("digest"), F.col("label").alias("group")).join(labels, "digest")
+                 .join(sets.select("digest", "n"), "digest"), "cells-groups")
+    size = groups.groupBy("group").agg(_blocks().alias("blocks"))
+    placed = groups.join(size, "group").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.lit(True)) \
+        .select("group", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), "block", "home", "digest", "label")
+    return _confirmed(placed.join(sets.select("digest", "n", "bitmap", "hashes"), "digest"), ["group", "row", "col"], percent)
 
 
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.config import scratch_path
-from mercata.llm import filter_audit, flat_graph, sanitise, toxicity
+from mercata.llm import filter_audit, flat_graph, oracles, sanitise, toxicity
 from mercata.llm.common import read_table
 from mercata.llm.jaccard import near_duplicates
 from mercata.llm.latent_retrieval import contaminated
@@ -127,4 +127,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op12_filter_audit": filter_audit.ORACLE, "op13_flat_graph": flat_graph.ORACLE}
+    return dict(oracles.SQL)

@@ -93,7 +93,20 @@ def test_bitmaps_of_large_sets_rule_pairs_out():
             for i, s in enumerate((big, other, near, big[:5000], big[:300]))]
     cell = jaccard._Cell(rows, False, 80)
     assert [cell.may_link(i).tolist() for i in range(5)] == [[2, 3], [], [3], [], []]
-    assert cell.links() == [(b"\x00", b"\x02"), (b"\x00", b"\x03")]
+    assert cell.candidates() == cell.links() == [(b"\x00", b"\x02"), (b"\x00", b"\x03")]
+
+
+def test_small_cells_at_once_equal_row_by_row():
+    r = np.random.default_rng(2)
+    base = np.unique(r.integers(0, 1 << 62, 90).astype(np.uint64))
+    rows = []
+    for i in range(30):
+        s = np.unique(np.concatenate([base[r.random(len(base)) < 0.9], r.integers(0, 1 << 62, int(r.integers(0, 9))).astype(np.uint64)]))
+        rows.append({"digest": bytes([i]), "label": bytes([i // 2]), "n": len(s), "bitmap": jaccard._parity(s), "block": i % 3, "home": bool(i % 4),
+                     "hashes": s.view(np.int64)})
+    for crossing in (False, True):
+        cell = jaccard._Cell(rows, crossing, 80)
+        assert {i: js.tolist() for i, js in cell._all_pairs()} == {i: cell.may_link(i).tolist() for i in range(30) if len(cell.may_link(i))}
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
