@@ -163,6 +163,14 @@ def _telling(n_t: Column, total: int, counted: int, alpha: float, level: float)
     return (information > 0) & share & (evidence >= math.log(max(counted, 1) / level))
 
 
+def _least_texts(total: int, evidence: float) -> int:
+    """The fewest common texts that can be enough evidence: n log(total / n) grows up to total / e."""
+    n = 1
+    while n * math.e <= total and n * math.log(total / n) < evidence:
+        n += 1
+    return n if n * math.log(total / n) >= evidence else total + 1
+
+
 def disclosing_terms(base: DataFrame, *, alpha: float = ALPHA, level: float = LEVEL) -> DataFrame:
     """``key, terms``: per text that holds any, the terms that disclose a protected entity."""
     keys = base.groupBy("key").agg(F.count("*").alias("copies"))
@@ -171,16 +179,28 @@ def disclosing_terms(base: DataFrame, *, alpha: float = ALPHA, level: float = LE
     if copied.count() <= BROADCAST_ROWS:
         copied = F.broadcast(copied)
     # every row of a text counts as its part of one text
-    rows = base.join(copied, "key", "left").select("spans", "words", (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))
+    rows = base.join(copied, "key", "left").select("key", "spans", "words", (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))
     texts = F.round(F.sum("part")).cast("long")
-    held = rows.where(F.size("spans") > 0).select("words", "part", F.array_distinct(F.flatten(F.transform("spans", _entities))).alias("entities"))
-    n_entity = held.select(F.explode("entities").alias("entity"), "part").groupBy("entity").agg(texts.alias("n_e"))
-    counted = held.agg(F.round(F.coalesce(F.sum(F.size("words") * F.size("entities") * F.col("part")), F.lit(0))).cast("long")).collect()[0][0]
+    entities = F.transform("spans", _entities)
+    held = rows.where(F.size("spans") > 0).select("key", "words", "part", F.array_distinct(F.transform(entities, lambda e: e[0])).alias("kinds"),
+                                                  F.array_distinct(F.flatten(F.transform(entities, lambda e: F.slice(e, 2, 2)))).alias("rest"))
+    size = F.size("words") * (F.size("kinds") + F.size("rest")) * F.col("part")
+    counted = held.agg(F.round(F.coalesce(F.sum(size), F.lit(0))).cast("long")).collect()[0][0]
+    # an entity of fewer texts has no term with enough evidence: most single values and a long list
+    # of contacts end here, before any word is set beside them
+    least = _least_texts(max(total, 1), math.log(max(counted, 1) / level))
+    n_kind = held.select(F.explode("kinds").alias("entity"), "part").groupBy("entity").agg(texts.alias("n_e"))
+    in_text = held.select("key", F.explode("rest").alias("entity")).distinct()
+    n_rest = pin(in_text.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= least), "pii-entities")
+    n_entity = n_kind.union(n_rest)
     # texts with the term and any entity: no more than those with the term, so a term that
     # fails by this count fails by the corpus count too, and common words need no counting
     n_held = held.select(F.explode("words").alias("term"), "part").groupBy("term").agg(texts.alias("n_h"))
-    near = held.select("words", "part", F.explode("entities").alias("entity")).select("entity", "part", F.explode("words").alias("term")) \
+    kinds = held.select("words", "part", F.explode("kinds").alias("entity")).select("entity", "part", F.explode("words").alias("term")) \
         .groupBy("entity", "term").agg(texts.alias("n_te"))
+    live = pin(in_text.join(n_rest.select("entity"), "entity"), "pii-live")
+    words = held.select("key", "words").dropDuplicates(["key"])
+    near = kinds.union(live.join(words, "key").select("entity", F.explode("words").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_te")))
     # no pair has more evidence than one whose term and entity stand nowhere else
     near = near.where(F.col("n_te") * F.log(F.lit(float(max(total, 1))) / F.col("n_te")) >= math.log(max(counted, 1) / level))
     near = near.join(n_entity, "entity").join(n_held, "term")

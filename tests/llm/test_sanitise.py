@@ -117,3 +117,24 @@ def test_terms_far_from_values_that_never_repeat(spark):
     want = plain_terms([t or "" for _, t in docs], base_spans)
     assert {"zorblax", "quuxish", "corp"} == want == {w for _, w in terms}
     assert {d for d, w in terms if w == "zorblax"} == {*range(12), 900} and {d for d, w in terms if w == "quuxish"} == set(range(12, 24))
+
+
+def test_terms_of_random_corpora(spark):
+    """Shared parts and values that repeat, among texts of many entities, against one text at a time."""
+    for seed in (1, 2):
+        r = random.Random(seed)
+        docs = []
+        for i in range(220):
+            words = r.choices([f"w{k}" for k in range(60)], k=r.randint(3, 30))
+            for g in range(4):
+                if r.random() < 0.09:
+                    k = r.randint(0, 2)
+                    words += [f"group{g}", f"tell{g}{k}", (f"a{r.randint(0, 2)}@g{g}.example", f"10.{g}.7.{r.randint(1, 3)}", f"+49 30 9{g}12345")[k]]
+            if i % 40 == 0:
+                words += [f"x{r.randint(0, 999)}@host{k}.example" for k in range(30)]
+            docs.append((i, " ".join(words)))
+        docs += [(1000 + i, docs[r.randint(0, 219)][1]) for i in range(60)]
+        got = find_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        text = dict(docs)
+        want = plain_terms(list(text.values()), base_spans)
+        assert {text[row.doc_id][s.start:s.end].lower() for row in got for s in row.spans if s.rank == 4} == want and want
