@@ -385,17 +385,18 @@ def _round(sets: DataFrame, labels: DataFrame | None, r: int, percent: int) -> D
 
 def _tiles(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Joining links among classes with different labels: every pair that may link meets in a cell."""
-    held = sets.join(labels, "digest")
-    each = held.select("digest", "label", "n", F.explode("hashes").alias("shingle"))
-    mixed = each.groupBy("shingle").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")) \
+    # one row per class and shingle: no wider than it must be (labels as 64-bit hashes, like the shingles)
+    each = sets.join(labels, "digest").select("digest", F.xxhash64("label").alias("of"), F.explode("hashes").alias("shingle"))
+    mixed = each.groupBy("shingle").agg(F.count("*").cast("int").alias("df"), F.min("of").alias("lo"), F.max("of").alias("hi")) \
         .where("lo <> hi").select("shingle", "df")
-    found = each.join(mixed, "shingle").groupBy("digest", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("of"))
+    found = each.select("digest", "shingle").join(mixed, "shingle").groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("of")) \
+        .join(sets.select("digest", "n"), "digest")
     # how many of the rarest shingles to look at; those under one label come first and find nothing
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1
     take = prefix - (F.col("n") - F.size("of"))
     taken = found.where(take > 0).select("digest", F.explode(F.slice("of", F.lit(1), take.cast("int"))).alias("x")) \
         .select("digest", F.col("x.shingle").alias("shingle"))
-    rows = taken.join(held.select("digest", "label", "n"), "digest")
+    rows = taken.join(labels.join(sets.select("digest", "n"), "digest"), "digest")
     band = F.floor(F.log(F.col("n")) / math.log(100.0 / percent) + 1e-9).cast("int")
     rows = rows.withColumn("own", band) \
         .select("*", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("band")) \
