@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 # Library settings (session conf keys).  Values are read at plan-build time.
 KEY_PARTITIONS = "spark.mercata.key.partitions"
+LOOKUP_SALTS = "spark.mercata.lookup.salts"  # explicit split of hot lookup keys (unset: left to AQE)
 SCRATCH_RUN = "spark.mercata.scratch.run"  # set by run_scratch: the folder of a run's scratch
 
 

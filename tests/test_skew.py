@@ -46,3 +46,55 @@ def test_shuffle_lookups_equal_broadcast_lookups(spark):
             else:
                 spark.conf.set(k, v)
     assert shuffled == broadcast
+
+
+def test_hot_keys_are_split_by_salts_with_aqe_off(spark):
+    """A third of the lines on one id, another part without any: no task of the join is far above the median."""
+    from mercata.config import LOOKUP_SALTS
+    from mercata.operators.lookup import hot_keys, left_lookup
+
+    fact = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 9 == 1, None).otherwise(F.concat(F.lit("c"), F.col("id") % 600)).alias("c"))
+    dim = spark.range(600).select(F.concat(F.lit("c"), F.col("id")).alias("cid"), F.col("id").alias("ck")) \
+        .unionByName(spark.createDataFrame([("HOT", 9001), ("HOT", 9002)], "cid string, ck long"))
+    assert [r[0] for r in hot_keys(fact, ["c"]).collect()] == ["HOT"]
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        largest = {}
+        rows = {}
+        for salts in ("0", "32"):
+            spark.conf.set(LOOKUP_SALTS, salts)
+            out = left_lookup(fact, dim, [("c", "cid")], ["ck"])
+            assert out.columns == ["id", "c", "ck"]
+            sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+            largest[salts] = sizes[-1] / sizes[len(sizes) // 2]
+            rows[salts] = sorted(map(repr, out.collect()))
+        assert rows["0"] == rows["32"] and len(rows["0"]) == 9000 + 3000
+        assert largest["0"] > 8 and largest["32"] < 3
+    finally:
+        spark.conf.unset(LOOKUP_SALTS)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_star_with_salted_lookups_is_the_same(spark):
+    from mercata.config import LOOKUP_SALTS
+
+    orders = toy.orders(spark, _lines()).withColumns({c: F.col(c).cast("decimal(12,2)") for c in ("sales", "profit", "discount")})
+    rets = toy.returns(spark, [("O-0", "Yes"), ("O-3", "Yes"), ("O-3", "Yes")])
+
+    def facts():
+        star = build_star(orders, toy.people(spark, []), rets)
+        return [sorted(map(repr, getattr(star, t).collect())) for t in ("fact_sales", "fact_returns")]
+
+    plain = facts()
+    try:
+        spark.conf.set(LOOKUP_SALTS, "4")
+        assert facts() == plain
+    finally:
+        spark.conf.unset(LOOKUP_SALTS)
