@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 
-
 @dataclass(frozen=True)
 class StarTables:
     """Star schema tables as DataFrames, with known row counts where available."""
@@ -22,9 +21,6 @@ class StarTables:
     dim_regional_manager: DataFrame
     rows: dict | None = None
 
-    def n(self, table: str) -> int | None:
-        return (self.rows or {}).get(table)
-
     def lookup(self, table: str, *cols: str) -> DataFrame:
         """Projection of a dimension; Spark broadcasts it if its size allows."""
         return getattr(self, table).select(*cols)

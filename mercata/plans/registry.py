@@ -8,7 +8,6 @@ entries do not rebuild it each time.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,10 +86,15 @@ def ingest_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAR_CHECK_DB = "mercata_star_check"
 
 
+def _database(spark: SparkSession, sf_dir: str, prefix: str) -> str:
+    """Name of a database of one application and data folder, the same at each call."""
+    return f"{prefix}_{hashlib.md5(' '.join(_key(spark, sf_dir)).encode(), usedforsecurity=False).hexdigest()[:12]}"
+
+
 def star_database(spark: SparkSession, sf_dir: str) -> str:
     """Namespace of one data folder's star: the saved tables, registered where they lie."""
     application, folder = _key(spark, sf_dir)
-    name = f"{STAR_CHECK_DB}_{hashlib.md5(f'{application} {folder}'.encode(), usedforsecurity=False).hexdigest()[:12]}"
+    name = _database(spark, sf_dir, STAR_CHECK_DB)
     star_for(spark, sf_dir)
     ensure_namespace(spark, name, scratch_path(spark, "star-db"))
     for t in STAR_TABLES:
@@ -120,7 +124,7 @@ def landing_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = scratch_path(spark, "one-file")
     tables["nation"].select("n_nationkey", "n_name").coalesce(1).write.option("header", "true").csv(one)
     move_single_part(spark, one, f"{landing}/nation.csv")
-    database = f"mercata_landing_{uuid.uuid4().hex}"
+    database = _database(spark, sf_dir, "mercata_landing")
     ensure_namespace(spark, database, scratch_path(spark, "landing-db"))
     ingest_landing(spark, landing, database)
     nation, supplier = (spark.table(qualified(database, t)) for t in ("nation", "supplier"))
