@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,6 +44,14 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker is used again by later stages and keeps what it does not return."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches into consecutive slices of about ``limit`` bytes of ``text``."""
     import numpy as np
@@ -55,6 +64,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+    release_memory()
 
 
 def tokenizer_path(name: str) -> str:
