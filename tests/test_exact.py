@@ -81,3 +81,36 @@ def test_plain_count_where_the_grain_is_the_counted_column(spark):
     assert sorted(map(tuple, two.collect())) == [("a", 1, 2), ("b", 1, 1)]
     plan = summarise(df, ["g"], ["o"], {"n": distinct("o")})._jdf.queryExecution().executedPlan().toString()  # not run: the plan stands once
     assert plan.count("HashAggregate") == 4 and "Expand" not in plan
+
+
+def test_groups_taken_apart_equal_two_levels_without_wide_rows_per_order(spark, monkeypatch):
+    """Of groups with hardly more than one line an order: same rows and types, and no sum is grouped by order."""
+    from mercata.operators import keys
+    from mercata.operators.measures import summarise_apart
+
+    r = random.Random(4)
+    lines = [(r.choice(("a", "b", None)), r.choice((1, 2, 3, None)), r.choice((*range(30), None)), r.choice((r.gauss(0, 10), None))) for _ in range(600)]
+    df = spark.createDataFrame(lines, "g string, h int, o int, x double").withColumn("d", F.col("x").cast("decimal(18,9)")).repartition(5)
+    measures = {"sum": total("x"), "orders": distinct("o"), "mean": average("x"), "exact": total("d"), "least": smallest("d"), "most": largest("x")}
+    plans = []
+    real = keys.saved
+    monkeypatch.setattr(keys, "saved", lambda rows, label: plans.append(label) or real(rows, label))
+    apart, two = summarise_apart(df, ["g", "h"], measures), summarise(df, ["g", "h"], ["o"], measures)
+    assert plans == ["lines"] and apart.schema == two.schema
+    assert sorted(map(repr, apart.collect())) == sorted(map(repr, two.collect()))
+    grouped = [line for line in summarise_apart(df, ["g"], measures)._jdf.queryExecution().executedPlan().toString().splitlines() if "keys=" in line]
+    assert not any("o#" in line.split("functions=")[0] or "orders#" in line.split("functions=")[0] for line in grouped if "sum(" in line)
+
+
+def test_product_marts_shuffle_no_measures_by_order(spark):
+    """One line an order and product: what is shuffled per line is a product and an order, never sums."""
+    import toy
+    from mercata.operators import marts
+    from mercata.plans.star import build_star
+
+    star = build_star(toy.orders(spark, [dict(order_id=f"O-{i}", product_id=f"P-{i % 2}") for i in range(8)]),
+                      toy.people(spark, [("Mia", "West")]), toy.returns(spark, [("O-1", "Yes")]))
+    for spec in (marts.PRODUCT_SALES,):
+        plan = spec.groups(star)._jdf.queryExecution().executedPlan().toString()
+        keys = [line.split("functions=")[0] for line in plan.splitlines() if "functions=" in line and "sum(" in line]
+        assert keys and not any("order_id#" in k for k in keys)
