@@ -110,7 +110,7 @@ def test_product_marts_shuffle_no_measures_by_order(spark):
 
     star = build_star(toy.orders(spark, [dict(order_id=f"O-{i}", product_id=f"P-{i % 2}") for i in range(8)]),
                       toy.people(spark, [("Mia", "West")]), toy.returns(spark, [("O-1", "Yes")]))
-    for spec in (marts.PRODUCT_SALES,):
+    for spec in (marts.PRODUCT_SALES, marts.QUARTERS):
         plan = spec.groups(star)._jdf.queryExecution().executedPlan().toString()
         keys = [line.split("functions=")[0] for line in plan.splitlines() if "functions=" in line and "sum(" in line]
         assert keys and not any("order_id#" in k for k in keys)
