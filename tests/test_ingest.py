@@ -212,3 +212,19 @@ def test_kinds_merge_over_many_tasks(spark, tmp_dir):
         .repartitionByRange(16, "n", "s").write.option("header", "true").csv(path)
     got = read_delimited(spark, path)
     assert got.dtypes == [("n", "int"), ("s", "string")] and got.count() == 400
+
+
+def test_inference_is_sparks_own_and_no_value_is_tested_by_expressions(spark, tmp_dir, monkeypatch):
+    """What lands is the bare strings: patterns and casts per value took most of the time of a large file."""
+    from mercata.sources import delimited
+
+    path = os.path.join(tmp_dir, "orders")
+    rows = "(0, 'a', '007', '1.5', '2021-01-01'), (1, 'b', '8', '2', '2021-01-02 10:00:00'), (2, null, '9', null, null)"
+    spark.sql(f"SELECT * FROM VALUES {rows} AS t(n, s, z, d, at)").repartition(3).write.option("header", "true").csv(path)
+    plans = []
+    real = delimited.saved
+    monkeypatch.setattr(delimited, "saved", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, label))
+    got = read_delimited(spark, path)
+    assert got.dtypes == [("n", "int"), ("s", "string"), ("z", "int"), ("d", "double"), ("at", "timestamp")] and got.count() == 3
+    assert len(plans) == 1 and "RLIKE" not in plans[0] and "cast" not in plans[0].lower() and "CollectMetrics" not in plans[0]
+    assert dict(read_delimited(spark, path, zeros_are_text=True, overrides={"n": "string"}).dtypes) == dict(got.dtypes) | {"z": "string", "n": "string"}
