@@ -15,7 +15,8 @@ The vocabulary file's pipeline (NFC, white space, lower case, word pattern, byte
 followed for words of Latin letters, digits and ASCII signs; any other word, cut at ASCII white
 space, where that pipeline never joins, is normalised and cut into pieces by the library, and its
 pieces go into the trie like all others.  Memory is bounded: word and
-pair memories start anew beyond a fixed number of entries, which changes no result.
+pair memories start anew beyond a fixed number of entries, which changes no result, and a task's
+words and merge paths go at its end, as its Python worker stays for whatever stage comes next.
 """
 
 from __future__ import annotations
@@ -31,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import pieces, tokenizer_path
+from mercata.llm.common import pieces, release_memory, tokenizer_path
 
-WORD_MEMO = 1_000_000  # some 200 MB
+WORD_MEMO = 250_000  # some 50 MB
 PAIR_MEMO = 1_000_000
+PIECE = 1 << 20  # bytes of text whose words, ids and tokens a task holds at once
 _END = "</w>"
 _MARK = 0x400  # added to the last symbol of a word, which is a symbol of its own in the vocabulary
 _DOC, _TEXT = "__llm_doc", "__llm_text"
@@ -79,15 +81,22 @@ class TrieEncoder:
         # then merges inside a token happen in the order of their ranks
         self.in_order = len(products) == len(self.rank) and all(max(made.get(a, -1), made.get(b, -1)) < r for (a, b), r in self.rank.items())
         self.products = products
-        self.edges: tuple[dict[str, list], dict[str, list]] = {}, {}
         self.tokens = {t for t in self.ids if len(t) == 1 or t in products}
         self.prefixes = {t[:i] for t in self.tokens for i in range(len(t) + 1)}
         self.table = _byte_symbols()
         self.number = [str(i) for i in range(max(self.shown, default=0) + 1)]
         self.latin_word = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.end_task()
+        self._forget()
+
+    def _no_words(self) -> None:
         # word of a text -> its ids, as 32-bit numbers
         self.words: dict[str, bytes] = {s: array("i", [i]).tobytes() for s, i in self.special.items()}
-        self._forget()
+
+    def end_task(self) -> None:
+        """Give up what the next task makes anew at little cost: its words, and the merge paths of tokens."""
+        self._no_words()
+        self.edges: tuple[dict[str, list], dict[str, list]] = {}, {}
 
     @staticmethod
     def _marked(token: str) -> str:
@@ -225,7 +234,7 @@ class TrieEncoder:
     def learn(self, words: set[str]) -> None:
         """Put the ids of all ``words`` into the memory."""
         if len(self.words) > WORD_MEMO:
-            self.words = {s: array("i", [i]).tobytes() for s, i in self.special.items()}
+            self._no_words()
         cut = {}
         for w in words.difference(self.words):
             parts = self._cut(w)
@@ -271,20 +280,28 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, digests: bool)
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    gc.disable()  # many small lists and no cycles: collections would only walk the memories
     enc = _encoder(vocabulary)
-    for piece in pieces(batches, _TEXT):
-        got = enc.encode([t or "" for t in piece.column(_TEXT).to_pylist()])
-        counts = pa.array([len(x) for x in got], pa.int64())
-        if digests:
-            numbers, shown = enc.number, enc.shown
-            parts = [[" ".join([table[i] for i in ids]) for ids in got] for table in (numbers, shown)]
-            sha = [pa.array([hashlib.sha256(x.encode()).hexdigest() for x in part], pa.string()) for part in parts]
-            yield pa.RecordBatch.from_arrays([piece.column(_DOC), counts, *sha], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        else:
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(_DOC), counts, pa.array(got, pa.list_(pa.int32())), pa.array([enc.decode(x) for x in got], pa.string())],
-                names=["doc_id", "n_tokens", "ids", "decoded"])
+    gc.disable()  # many small lists and no cycles: collections would only walk the memories
+    try:
+        for piece in pieces(batches, _TEXT, PIECE):
+            yield _encoded_piece(enc, piece, digests)
+    finally:
+        enc.end_task()
+        gc.enable()  # the worker is used again
+        release_memory()
+
+
+def _encoded_piece(enc: TrieEncoder, piece: pa.RecordBatch, digests: bool) -> pa.RecordBatch:
+    got = enc.encode([t or "" for t in piece.column(_TEXT).to_pylist()])
+    counts = pa.array([len(x) for x in got], pa.int64())
+    if digests:
+        numbers, shown = enc.number, enc.shown
+        parts = [[" ".join([table[i] for i in ids]) for ids in got] for table in (numbers, shown)]
+        sha = [pa.array([hashlib.sha256(x.encode()).hexdigest() for x in part], pa.string()) for part in parts]
+        return pa.RecordBatch.from_arrays([piece.column(_DOC), counts, *sha], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    return pa.RecordBatch.from_arrays(
+        [piece.column(_DOC), counts, pa.array(got, pa.list_(pa.int32())), pa.array([enc.decode(x) for x in got], pa.string())],
+        names=["doc_id", "n_tokens", "ids", "decoded"])
 
 
 def encode_decode(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", *, id_col: str = "doc_id",

@@ -131,3 +131,24 @@ def test_words_of_any_script_go_through_the_trie():
 
     own.lib = Cutter()
     assert own.encode(texts) == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_finished_bpe_task_gives_its_memories_back():
+    """The Python worker stays for the next stage: no words and merge paths are kept, and collections run again."""
+    import gc
+
+    import pyarrow as pa
+
+    from mercata.llm import trie_bpe
+
+    def batch(texts):
+        return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=[trie_bpe._DOC, trie_bpe._TEXT])
+
+    texts = [f"word{i} Another{i * 7} <|endoftext|>" for i in range(300)] + [None, ""]
+    enc = trie_bpe._encoder("word_bpe_49k.json")
+    for _ in range(2):  # what was given up is made anew
+        got = pa.Table.from_batches(trie_bpe._encoded(iter([batch(texts)]), "word_bpe_49k.json", False))
+        assert got["ids"].to_pylist() == [enc.lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert len(enc.words) == len(enc.special)
+        assert not any(enc.edges) and gc.isenabled()
+        enc.end_task()
