@@ -44,6 +44,7 @@ from mercata.llm.components import components
 SHINGLE_WORDS = 5
 PERCENT = 80
 PIECE = 8 << 20
+PART = 1 << 20  # characters of a piece whose words a task holds at once
 ROUNDS = 2              # minimum hashes
 BITS = 1024             # parity bitmap, at least; BITS_PER_SHINGLE for larger sets
 BITS_PER_SHINGLE = 2    # unrelated sets of n then differ in some 0.86 n bits, linked ones in 0.22 n at most
@@ -88,6 +89,17 @@ def shingle_sets(texts: list[str], k: int = SHINGLE_WORDS) -> list[np.ndarray]:
     return out
 
 
+def _sets_by_parts(texts: list[str], k: int) -> list[np.ndarray]:
+    """``shingle_sets``, with the words of some ``PART`` characters in memory at a time."""
+    out, start, size = [], 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= PART or i + 1 == len(texts):
+            out += shingle_sets(texts[start:i + 1], k)
+            start, size = i + 1, 0
+    return out
+
+
 def _digest(s: np.ndarray) -> bytes | None:
     return hashlib.md5(s.astype("<u8").tobytes(), usedforsecurity=False).digest() if len(s) else None
 
@@ -103,7 +115,7 @@ def _asked(batches: Iterator[pa.RecordBatch], n_buckets: int, k: int) -> Iterato
     schema = pa.schema(_ASK)
     for piece in pieces(batches, _TEXT, PIECE):
         texts = [t or "" for t in piece.column(_TEXT).to_pylist()]
-        sets = shingle_sets(texts, k)
+        sets = _sets_by_parts(texts, k)
         first = piece.column("__llm_row")[0].as_py()
         h = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])

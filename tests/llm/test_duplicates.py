@@ -186,3 +186,16 @@ def test_suffixes_are_cut_between_hashes(monkeypatch):
         seen |= mine
     assert got == want and len(want) > 500
     assert taken[0] < 10 and len(set(taken)) > 4
+
+
+def test_words_of_a_part_at_a_time_give_the_same_sets(monkeypatch):
+    """A piece's words are not held all at once; its sets are those of the whole piece."""
+    from mercata.llm import jaccard
+
+    texts = ["", "One two", *[" ".join(f"w{(i * j) % 17}" for j in range(i)) for i in range(40)], ""]
+    whole, calls = jaccard.shingle_sets(texts, 5), []
+    monkeypatch.setattr(jaccard, "PART", 100)
+    monkeypatch.setattr(jaccard, "shingle_sets", lambda part, k, real=jaccard.shingle_sets: calls.append(sum(map(len, part))) or real(part, k))
+    parts = jaccard._sets_by_parts(texts, 5)
+    assert len(parts) == len(whole) and all((a == b).all() and len(a) == len(b) for a, b in zip(parts, whole, strict=True))
+    assert len(calls) > 10 and max(calls) < 100 + max(map(len, texts)) and jaccard._sets_by_parts([], 5) == []
