@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -52,10 +53,32 @@ def release_memory() -> None:
         trim(0)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches into consecutive slices of about ``limit`` bytes of ``text``."""
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task, such as a loaded vocabulary: one thing at a time."""
+    if name not in _HELD:
+        drop_held()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def drop_held(but: str | None = None) -> None:
+    """Give up what tasks of other operators kept in this worker (``but`` names a task's own)."""
+    others = [name for name in _HELD if name != but]
+    for name in others:
+        del _HELD[name]
+    if others:
+        gc.collect()  # automata point at themselves
+        release_memory()
+
+
+def pieces(batches: Iterator[pa.RecordBatch], text: str | int, limit: int = PIECE_BYTES, keeps: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut record batches into consecutive slices of about ``limit`` bytes of ``text``; ``keeps`` names what the task holds."""
     import numpy as np
 
+    drop_held(keeps)
     for batch in batches:
         if not batch.num_rows:
             continue

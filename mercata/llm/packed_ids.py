@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercata.llm.common import PIECE_BYTES, pieces, tokenizer_path
+from mercata.llm.common import PIECE_BYTES, held, pieces, tokenizer_path
 from mercata.llm.space_runs import space_runs
 
 BLOCK_IDS = 1 << 16
@@ -90,14 +90,9 @@ class PieceEncoder:
         return [h + b"".join(map(get, c[1:])) for h, c in zip(heads, cut, strict=True)]
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """One encoder per worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return held(f"pieces {path}", lambda: PieceEncoder(path))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int | None, schema: pa.Schema,
@@ -107,7 +102,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int | No
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     gc.disable()  # many small objects and no cycles: collections would only walk the memory
-    enc = encoder(tokenizer_path(vocabulary))
+    path = tokenizer_path(vocabulary)
+    enc = encoder(path)
     bits = width_of(max(enc.vocab_size, (end_id or 0) + 1))
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
     docs: list[int | None] = []
@@ -121,7 +117,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int | No
             [pa.array([v], t) for v, t in zip((part, block, bits, held, before, docs, lengths, payload), schema.types, strict=True)],
             schema=schema)
 
-    for piece in pieces(batches, _TEXT, PIECE_BYTES):
+    for piece in pieces(batches, _TEXT, PIECE_BYTES, f"pieces {path}"):
         part = piece.column(_PART)[0].as_py()
         texts = [t or "" for t in piece.column(_TEXT).to_pylist()]
         for doc, ids in zip(piece.column(_DOC).to_pylist(), enc.encode(texts), strict=True):

@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import pieces
+from mercata.llm.common import drop_held, pieces, release_memory
 
 DIM_BITS = 22
 TRAIN_ROWS = 16_384
 PIECE = 1 << 20  # bytes of text whose features a task holds at once (some 35 MB)
+BLOCK = 1 << 17  # coordinates whose final weights are computed at once
 THRESHOLD = 0.3
 HELD_OUT = 2  # remainder of crc32(id) mod 4 that is never learned from
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -98,9 +99,13 @@ def fit_ftrl(examples: list[np.ndarray], labels: np.ndarray, *, epochs: int = 3,
             grown = n[at] + g * g
             z[at] += g - (np.sqrt(grown) - np.sqrt(n[at])) / alpha * w
             n[at] = grown
-    final = weights(np.arange(dim + 1))
-    some = np.flatnonzero(final[:dim])
-    return Model(some, final[some].astype(np.float32), float(final[dim]) + offset)
+    some, final = [], []
+    for a in range(0, dim, BLOCK):  # not all at once: seven more arrays as large as z
+        at = a + np.flatnonzero(n[a:a + BLOCK])  # others were never touched and weigh nothing
+        w = weights(at)
+        some.append(at[w != 0])
+        final.append(w[w != 0].astype(np.float32))
+    return Model(np.concatenate(some), np.concatenate(final), float(weights(np.array([dim]))[0]) + offset)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -136,13 +141,17 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop_held()
     examples, labels = [], []
+    batch = None
     for batch in batches:
         labels += batch.column("label").to_pylist()
         examples += [x.values.to_numpy() for x in batch.column("at")]  # views of the batch
     if not examples:
         return
     model = fit_ftrl(examples, np.array([min(max(y, 0), 1) for y in labels]))
+    del batch, examples
+    release_memory()  # the worker scores next
     yield pa.RecordBatch.from_arrays([pa.array([model.index.astype(np.int32)], pa.list_(pa.int32())),
                                       pa.array([model.weight], pa.list_(pa.float32())), pa.array([model.bias])],
                                      names=["at", "weight", "bias"])
@@ -152,12 +161,16 @@ def _scores(model: Model, column: pa.Array) -> Iterator[np.ndarray]:
     """Scores of a text column, piece by piece: only a piece's texts become Python strings."""
     named = pa.RecordBatch.from_arrays([column], names=[_TEXT])
     for part in pieces(iter([named]), _TEXT, PIECE):
-        text, at = feature_indices([t or "" for t in part.column(0).to_pylist()])
-        place = np.minimum(np.searchsorted(model.index, at), max(len(model.index) - 1, 0))
-        live = model.index[place] == at if len(model.index) else np.zeros(len(at), bool)
-        both = np.unique(text[live] << DIM_BITS | place[live])
-        total = np.bincount(both >> DIM_BITS, model.weight[both & ((1 << DIM_BITS) - 1)], part.num_rows)
-        yield 1.0 / (1.0 + np.exp(-np.clip(total + model.bias, -35, 35)))
+        yield _piece_scores(model, part.column(0))
+
+
+def _piece_scores(model: Model, column: pa.Array) -> np.ndarray:
+    text, at = feature_indices([t or "" for t in column.to_pylist()])
+    place = np.minimum(np.searchsorted(model.index, at), max(len(model.index) - 1, 0))
+    live = model.index[place] == at if len(model.index) else np.zeros(len(at), bool)
+    both = np.unique(text[live] << DIM_BITS | place[live])
+    total = np.bincount(both >> DIM_BITS, model.weight[both & ((1 << DIM_BITS) - 1)], len(column))
+    return 1.0 / (1.0 + np.exp(-np.clip(total + model.bias, -35, 35)))
 
 
 def score_column(spark, model: Model, text_col: str = "text") -> Column:
@@ -175,14 +188,13 @@ def score_column(spark, model: Model, text_col: str = "text") -> Column:
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns.
 
-    Rows pass through the tasks batch by batch, so none are queued beside the scoring.
+    Rows pass through the tasks piece by piece, so none are queued beside the scoring.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = np.concatenate([np.zeros(0), *_scores(shared.value, batch.column(at))])
-            yield batch.filter(pa.array(score < threshold))
+        for part in pieces(batches, at, PIECE):
+            yield part.filter(pa.array(_piece_scores(shared.value, part.column(at)) < threshold))
 
     return docs.mapInArrow(kept, docs.schema)

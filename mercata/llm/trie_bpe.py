@@ -16,7 +16,8 @@ followed for words of Latin letters, digits and ASCII signs; any other word, cut
 space, where that pipeline never joins, is normalised and cut into pieces by the library, and its
 pieces go into the trie like all others.  Memory is bounded: word and
 pair memories start anew beyond a fixed number of entries, which changes no result, and a task's
-words and merge paths go at its end, as its Python worker stays for whatever stage comes next.
+words and merge paths go at its end, as its Python worker stays for whatever stage comes next; the
+vocabulary goes when a task of another operator begins there.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import pieces, release_memory, tokenizer_path
+from mercata.llm.common import held, pieces, release_memory, tokenizer_path
 
 WORD_MEMO = 250_000  # some 50 MB
 PAIR_MEMO = 1_000_000
@@ -266,13 +267,8 @@ class TrieEncoder:
         return " ".join([self.shown[i] for i in ids])
 
 
-_ENCODERS: dict[str, TrieEncoder] = {}
-
-
 def _encoder(name: str) -> TrieEncoder:
-    if name not in _ENCODERS:
-        _ENCODERS[name] = TrieEncoder(tokenizer_path(name))
-    return _ENCODERS[name]
+    return held(f"trie {name}", lambda: TrieEncoder(tokenizer_path(name)))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, digests: bool) -> Iterator[pa.RecordBatch]:
@@ -283,7 +279,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, digests: bool)
     enc = _encoder(vocabulary)
     gc.disable()  # many small lists and no cycles: collections would only walk the memories
     try:
-        for piece in pieces(batches, _TEXT, PIECE):
+        for piece in pieces(batches, _TEXT, PIECE, f"trie {vocabulary}"):
             yield _encoded_piece(enc, piece, digests)
     finally:
         enc.end_task()

@@ -79,6 +79,28 @@ def test_scoring_cuts_pieces_before_it_decodes(spark, monkeypatch):
     assert len(parts) > 10 and np.array_equal(np.concatenate(parts), whole) and len(whole) == 53
 
 
+def test_fitting_and_scoring_hold_little_beside_their_state(spark, monkeypatch):
+    """Final weights are not made by arrays as large as the model's own; accepted rows leave piece by piece."""
+    import tracemalloc
+
+    tracemalloc.start()
+    model = toxicity.fit_ftrl([np.array([3, 70_000, (1 << toxicity.DIM_BITS) - 1])] * 40, np.ones(40), l1=0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.index.tolist() == [3, 70_000, (1 << toxicity.DIM_BITS) - 1]
+    assert peak < 1.5 * 2 * 8 * (1 << toxicity.DIM_BITS)  # z and n
+
+    monkeypatch.setattr(toxicity, "PIECE", 64)
+    texts = [f"a b c d e f {i}" for i in range(100)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(102)), pa.array(texts)], names=["doc_id", "a.b"])
+    docs = spark.createDataFrame([], "doc_id long, `a.b` string")
+    tasks = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: tasks.append(f))
+    toxicity.accepted(docs, toxicity.Model(np.zeros(0, np.int64), np.zeros(0, np.float32), -5.0), "a.b")
+    parts = list(tasks[0](iter([batch])))
+    assert len(parts) > 10 and [i for p in parts for i in p.column(0).to_pylist()] == list(range(102))
+
+
 def test_toxicity_odd_rows_and_no_labels(spark, odd, nothing, odd_rows):
     labels = spark.createDataFrame([(1, 1), (3, None), (None, 1), (8, 0), (8, 1)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)

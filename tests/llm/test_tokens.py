@@ -152,3 +152,22 @@ def test_a_finished_bpe_task_gives_its_memories_back():
         assert len(enc.words) == len(enc.special)
         assert not any(enc.edges) and gc.isenabled()
         enc.end_task()
+
+
+def test_a_task_of_another_operator_gives_up_what_a_worker_holds():
+    """A vocabulary stays from task to task of its own operator only."""
+    import pyarrow as pa
+
+    from mercata.llm import common, toxicity, trie_bpe
+
+    def batch(*names):
+        return iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words"])], names=names)])
+
+    common.drop_held()
+    list(trie_bpe._encoded(batch(trie_bpe._DOC, trie_bpe._TEXT), WORDS, True))
+    first = trie_bpe._encoder(WORDS)
+    list(trie_bpe._encoded(batch(trie_bpe._DOC, trie_bpe._TEXT), WORDS, True))
+    assert trie_bpe._encoder(WORDS) is first and len(common._HELD) == 1
+    model = toxicity.Model(np.zeros(0, np.int64), np.zeros(0, np.float32), -5.0)
+    list(toxicity._scores(model, pa.array(["some words"])))
+    assert not common._HELD and trie_bpe._encoder(WORDS) is not first
