@@ -16,12 +16,15 @@ without reading what stands before it.  A block holds whole documents.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +33,13 @@ from mercata.llm.space_runs import space_runs
 
 BLOCK_IDS = 1 << 16
 MEMO_ENTRIES = 1_000_000  # distinct pieces whose ids a worker remembers (some 200 MB); then it starts anew
+WORDS = 4_096  # words the library gets as one text
 BLOCK_SCHEMA = ("part int, block int, bits int, n_ids long, before long, doc_ids array<long>, "
                 "lengths array<long>, payload binary")
+_SPACE = "\u0120"  # what byte-level vocabularies show a space as
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+_LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
+_LETTERS_SIGNS = re.compile(f"{_LETTERS[1:-1]}[{re.escape(_SIGNS)}]+")
 _DOC, _TEXT, _TIE, _PART = "__llm_doc", "__llm_text", "__llm_tie", "__llm_part"
 
 
@@ -60,10 +68,15 @@ def unpack(payload: bytes, bits: int, start: int, count: int) -> np.ndarray:
     return (flat.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist()
+
+
 class PieceEncoder:
     """The library's ids of whole texts, encoding each distinct piece between cuts once.
 
-    Keeps a bounded memory of pieces; what it holds changes no result.
+    A piece of Latin letters with ASCII signs behind them is two pre-tokens, which are remembered
+    apart.  Keeps a bounded memory of pieces; what it holds changes no result.
     """
 
     def __init__(self, path: str):
@@ -73,21 +86,70 @@ class PieceEncoder:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.vocab_size = max(self.lib.get_vocab(with_added_tokens=True).values(), default=0) + 1
+        spaced = [i for t, i in self.lib.get_vocab(with_added_tokens=False).items() if t.startswith(_SPACE)]
+        self.begins = np.zeros(self.vocab_size, bool)  # tokens that begin with a space
+        self.begins[spaced] = True
+        # a special string of letters and signs could lie across the cut between them
+        self.cuts_signs = not any(_LETTERS_SIGNS.fullmatch(t.content) for t in self.lib.get_added_tokens_decoder().values())
         self.memo: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {"": b""}  # signs behind letters, no space before them
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian 32-bit numbers."""
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words behind a space, without spaces inside or white ends, many as one text: a token
+        that begins with a space begins a word."""
+        out = []
+        for a in range(0, len(words), WORDS):
+            some = words[a:a + WORDS]
+            ids = np.array(self.lib.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            first = np.flatnonzero(self.begins[ids])
+            if len(first) != len(some) or first[0]:  # not a vocabulary of that kind
+                out += self._raw([" " + w for w in some])
+                continue
+            data, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
+            out += [data[x:y] for x, y in zip(at, at[1:], strict=False)]
+        return out
+
+    def _distinct(self, runs: pa.Array) -> list[bytes]:
+        """Ids of each of some distinct runs that a space stands before."""
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        cut = [space_runs(t) for t in texts]
-        heads = self._raw([c[0] for c in cut])
-        new = list(set().union(*(c[1:] for c in cut)).difference(self.memo))
-        self.memo.update(zip(new, self._raw([" " + p for p in new]), strict=True))
-        get = self.memo.__getitem__
-        return [h + b"".join(map(get, c[1:])) for h, c in zip(heads, cut, strict=True)]
+        if len(self.signs) > MEMO_ENTRIES:
+            self.signs = {"": b""}
+        bare = pa.compute.ascii_rtrim(runs, characters=_SIGNS)
+        if not self.cuts_signs:
+            bare = runs
+        letters = pa.compute.match_substring_regex(bare, _LETTERS)
+        whole, cores = _strings(runs), _strings(pa.compute.if_else(letters, bare, runs))
+        tails = list(map(str.removeprefix, whole, cores))
+        words, odd = [], []
+        for w in set(cores).difference(self.memo):
+            (odd if not w or " " in w or w[0].isspace() or w[-1].isspace() else words).append(w)
+        self.memo.update(zip(words, self._words(words), strict=True))
+        self.memo.update(zip(odd, self._raw([" " + w for w in odd]), strict=True))
+        signs = list(set(tails).difference(self.signs))
+        self.signs.update(zip(signs, self._raw(signs), strict=True))
+        return list(map(add, map(self.memo.__getitem__, cores), map(self.signs.__getitem__, tails)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian 32-bit numbers."""
+        heads, flat, ends = [], [], [0]
+        for t in texts:
+            head, *runs = space_runs(t)
+            heads.append(head)
+            flat += runs
+            ends.append(len(flat))
+        coded = pa.array(flat, pa.large_string()).dictionary_encode()
+        del flat
+        ids = pa.array(self._distinct(coded.dictionary), pa.large_binary()).take(coded.indices)
+        if not len(ids):
+            return self._raw(heads)
+        _, offsets, data = ids.buffers()  # ids of all runs, one after the other
+        at = np.frombuffer(offsets, "<i8", len(ids) + 1, 8 * ids.offset)[ends].tolist()
+        held = memoryview(data) if data is not None else b""
+        return [h + held[a:z] for h, a, z in zip(self._raw(heads), at, at[1:], strict=False)]
 
 
 def encoder(path: str) -> PieceEncoder:

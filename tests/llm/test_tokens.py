@@ -38,6 +38,27 @@ def test_runs_are_encoded_as_the_whole_text():
     assert space_runs("a b") == ["a", "b"]
 
 
+def test_words_go_to_the_library_once_and_many_at_once():
+    """Letters with different signs behind them are one word to the library; odd runs are still its own ids."""
+    lib = library(BYTES)
+    enc = PieceEncoder(public_tokenizers.path(BYTES))
+    asked = []
+
+    class Asked:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            asked.extend(texts)
+            return lib.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    enc.lib = Asked()
+    words = [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeioué" for c in ("r", "st", "ÿx")]
+    texts = ["x " + " ".join(w + s for w in words for s in ("", ",", ".", "'", "...", "!?", "&&&", "|>")),
+             "y it's it' s 's' a'b foo<|endoftext|> <|endoftext|>, <|endoftext|> a\nb a.\nB, c\n d  e \x1c f\x1c 1, 2.5 x٣ ½, \u0301a µ, ×, ª.", "", " ", " a"]
+    got = enc.encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(t.count(" bar") for t in asked) == 1 and len(asked) < 60
+    assert enc.encode(texts) == got  # from memory
+
+
 def test_trie_equals_the_library():
     lib = library(WORDS)
     enc = TrieEncoder(public_tokenizers.path(WORDS))
