@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from brute import lcs
 
-from mercata.llm import registry, toxicity
+from mercata.llm import latent_retrieval, registry, toxicity
 from mercata.llm.latent_retrieval import benchmark_slices, chunk_rows, contaminated, group_sums, lcs_length, words_of
 from mercata.llm.learned_partitions import balanced_parts, fit_router, nearest, neighbour_graph
 
@@ -227,6 +227,26 @@ def test_decontamination_of_paraphrases_over_slices(spark, rows):
     assert [len(s.items) for s in benchmark_slices(items, size=25)][0] == 25
 
 
+def test_words_are_looked_up_outside_python_and_cut_as_before():
+    """No word of a text becomes a Python string; white space, signs and case are those of ``words_of``."""
+    from types import SimpleNamespace
+
+    class Terms(dict):
+        def get(self, *a):
+            raise AssertionError("a word was looked up one by one")
+
+    spaces = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isspace()]
+    texts = ["one two", "".join(f"w{i}{s}" for i, s in enumerate(spaces)), "ΟΔΟΣ Straße İx (don't) --- 'a.b', !?", None, "", " \t ", "\x00 a\x00 \u180e\u200b b",
+             "\x1cOne\x85TWO, ΣΑΣ."]
+    every = sorted({w for t in texts for w in words_of(t or "")})
+    terms = Terms({w: i for i, w in enumerate(every[::2])})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=[latent_retrieval._DOC, latent_retrieval._TEXT])
+    row, = pa.Table.from_batches(latent_retrieval._split(iter([batch]), SimpleNamespace(value=terms), 40)).to_pylist()
+    text, place, code, _, _ = latent_retrieval._opened(row)
+    want = [(i, k, every.index(w) // 2) for i, t in enumerate(texts) for k, w in enumerate(words_of(t or "")) if w in terms]
+    assert list(zip(text.tolist(), place.tolist(), code.tolist(), strict=True)) == want and len(want) > 15
+
+
 def test_decontamination_odd_rows(spark, odd, nothing):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "Mail or call, card one"), (None, "Same id, first text of two.")], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in contaminated(odd, bench).collect()} == {(10, None)}
