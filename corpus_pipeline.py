@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm import sanitise, toxicity
-from mercata.llm.common import pin, read_table
+from mercata.llm.common import fresh, pin, read_table, split_by_keys
 from mercata.llm.jaccard import near_duplicates
 from mercata.llm.latent_retrieval import contaminated
 from mercata.llm.trie_bpe import encode_decode
@@ -23,25 +23,16 @@ def _text_key() -> Column:
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def _fresh(docs: DataFrame, *names: str) -> list[str]:
-    """Names that no column of ``docs`` has, upper and lower case alike."""
-    taken, out = {c.lower() for c in docs.columns}, []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def _listed(docs: DataFrame, keys: DataFrame, with_id: bool, how: str) -> DataFrame:
-    """``docs`` joined ``left_semi`` or ``left_anti`` with the texts (and ids) of ``keys(text_key, doc_id)``; Spark broadcasts by the saved size."""
-    key, listed, of = _fresh(docs, "__llm_key", "__llm_listed", "__llm_of")
-    keys = keys.select(F.col("text_key").alias(listed), *([F.col("doc_id").alias(of)] if with_id else [])).distinct()
+    """``docs`` joined ``left_semi`` or ``left_anti`` with the texts (and ids) of ``keys(text_key, doc_id)``, which are saved; other texts are not shuffled."""
+    key, listed, of = fresh(docs, "__llm_key", "__llm_listed", "__llm_of")
+    keys = keys.select(F.col("text_key").alias(listed), *([F.col("doc_id").alias(of)] if with_id else []))
+    others, maybe = split_by_keys(docs.withColumn(key, _text_key()), key, keys, listed)
     same = F.col(key) == F.col(listed)
     if with_id:
         same = same & F.col("doc_id").eqNullSafe(F.col(of))
-    return docs.withColumn(key, _text_key()).join(keys, same, how).drop(key)
+    found = maybe.join(keys.distinct(), same, how)
+    return (found if how == "left_semi" else others.union(found)).drop(key)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = judged.where("stays")  # rows equal in id and text: any one of them
     if again.isEmpty():
         return left
-    key, = _fresh(docs, "__llm_key")
+    key, = fresh(docs, "__llm_key")
     one = _listed(left, again, True, "left_semi").withColumn(key, _text_key()).dropDuplicates(["doc_id", key]).drop(key)
     return _listed(left, again, True, "left_anti").unionByName(one)
 
@@ -75,13 +66,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it become their kind in brackets; ``n_chars`` follows."""
-    key, of, spans, out = _fresh(docs, "__llm_key", "__llm_found", "__llm_spans", "__llm_out")
+    key, of, spans, out = fresh(docs, "__llm_key", "__llm_found", "__llm_spans", "__llm_out")
     found = sanitise.find_spans(docs).where(F.size("spans") > 0).groupBy(F.col("key").alias(of)).agg(F.first("spans").alias(spans))
-    joined = docs.withColumn(key, sanitise.text_key(F.col("text"))).join(pin(found, "pipeline-spans"), F.col(key) == F.col(of), "left")
+    found = pin(found, "pipeline-spans")
+    others, maybe = split_by_keys(docs.withColumn(key, sanitise.text_key(F.col("text"))), key, found, of)
+    joined = maybe.join(found, F.col(key) == F.col(of), "left")
     hit = F.col(spans).isNotNull()
     redacted = joined.withColumn(out, F.when(hit, sanitise.redact(F.col("text"), F.col(spans))).otherwise(F.col("text")))
     changed = {"text": F.col(out), "n_chars": F.when(hit, F.length(out).cast("long")).otherwise(F.col("n_chars"))}
-    return redacted.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return others.drop(key).union(redacted.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

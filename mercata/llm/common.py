@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.config import scratch_path
@@ -16,6 +16,8 @@ from mercata.config import scratch_path
 # Text handled at once inside a task; larger Arrow batches are cut into such pieces (a single
 # longer text is a piece of its own), so a task's memory does not follow the batch size.
 PIECE_BYTES = 4 << 20
+KEY_BITS = 64            # bits of a bitmap of keys per key
+MOST_KEY_BITS = 1 << 28  # and of a whole bitmap, at most (32 MB)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,39 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``docs`` has, upper and lower case alike."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def split_by_keys(rows: DataFrame, key: str, keys: DataFrame, of: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` certainly is not in column ``of`` of the saved ``keys``, and all others (those it holds, and few more).
+
+    Tells by a bitmap of bounded size that is broadcast, so the rows stay where they are and a join
+    with ``keys`` need not shuffle those it cannot find.  More keys than the bitmap can tell apart
+    only make the second part larger.  Keys are never null.
+    """
+    bits = min(max(1 << 15, 1 << (KEY_BITS * keys.count()).bit_length()), MOST_KEY_BITS)
+    bucket, bitmap = fresh(rows, "__llm_bucket", "__llm_bitmap")
+
+    def spot(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(bits)) + 1
+
+    set_bits = keys.select(F.bitmap_bucket_number(spot(of)).alias(bucket), F.bitmap_bit_position(spot(of)).alias(bitmap)) \
+        .repartition(bucket).groupBy(bucket).agg(F.bitmap_construct_agg(bitmap).alias(bitmap))
+    at = F.bitmap_bit_position(spot(key))
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = (F.bitmap_bucket_number(spot(key)) == F.col(bucket)) & (F.getbit(byte, (at % 8).cast("int")) == 1)
+    set_bits = F.broadcast(set_bits)
+    return rows.join(set_bits, held, "left_anti"), rows.join(set_bits, held, "left_semi")
+
+
 def release_memory() -> None:
     """Give freed memory back to the system: a Python worker is used again by later stages and keeps what it does not return."""
     pa.default_memory_pool().release_unused()

@@ -34,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import pin
+from mercata.llm.common import pin, split_by_keys
 
 ALPHA = 0.9
 LEVEL = 0.01            # expected number of accidental (entity, term) pairs in a whole corpus
@@ -218,8 +218,10 @@ def find_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 def _term_spans(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     """``key, found``: spans of each text's disclosing terms, once per text."""
     texts = docs.select(_clean(F.col(f"`{text_col}`")).alias("__llm_text")).withColumn("key", F.md5(F.col("__llm_text").cast("binary")))
-    right = F.broadcast(terms) if terms.count() <= BROADCAST_ROWS // 10 else terms
-    having = texts.join(right, "key")
+    if terms.count() <= BROADCAST_ROWS // 10:
+        having = texts.join(F.broadcast(terms), "key")
+    else:  # only texts that hold terms are shuffled
+        having = split_by_keys(texts, "key", terms, "key")[1].join(terms, "key")
     found = _matches(F.col("__llm_text"), _WORD, 4, lambda x: F.array_contains(F.col("terms"), F.lower(x)))
     return having.select("key", found.alias("found")).select("key", F.transform("found", lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"))).alias("found")) \

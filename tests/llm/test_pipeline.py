@@ -2,12 +2,14 @@ from collections import Counter
 
 import public_tokenizers
 from brute import PATTERNS, base_spans, components, sha
+from pyspark.sql import functions as F
 from test_models import leaks
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from mercata.llm import registry
+from mercata.llm import common, registry
+from mercata.llm.common import pin, split_by_keys
 
 
 def test_registered():
@@ -60,3 +62,53 @@ def test_stages_keep_columns_and_take_odd_rows(spark, sf, odd, nothing, odd_rows
     assert ids - kept["near_duplicates"] == Counter({5: 1, 9: 1})
     six = [r for r in corpus_pipeline.remove_personal_data(spark, docs, sf).collect() if r.doc_id == 6][0]
     assert "a.b@c.de" not in six.text and "10.0.0.256" in six.text and "[IP]" in six.text and six.n_chars == len(six.text)
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a collected frame wrote, one number an exchange."""
+    def exchanges(node):
+        if node.nodeName() == "Exchange":
+            yield node.metrics().apply("shuffleRecordsWritten").value()
+        inner = [node.plan()] if node.nodeName().endswith("QueryStage") else []
+        children = node.children()
+        for child in inner + [children.apply(i) for i in range(children.size())]:
+            yield from exchanges(child)
+
+    df.collect()
+    return list(exchanges(df._jdf.queryExecution().executedPlan().finalPhysicalPlan()))
+
+
+def test_texts_that_no_list_names_are_not_shuffled(spark):
+    """However long the list of spans or texts is: only the listed texts (and few others) are dealt out by a join."""
+    docs = pin(spark.createDataFrame([(i, f"text {i} of much mail" + " a@b.cd" * (i % 100 == 0), 10) for i in range(4000)],
+                                     "doc_id long, text string, n_chars long").repartition(4), "t")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cleared = corpus_pipeline.remove_personal_data(spark, docs, "")
+        assert max(shuffled_rows(cleared)) <= 200
+        got = {r.doc_id: (r.text, r.n_chars) for r in cleared.collect()}
+        assert got == {i: (f"text {i} of much mail [EMAIL]", len(f"text {i} of much mail [EMAIL]")) if i % 100 == 0 else (f"text {i} of much mail", 10)
+                       for i in range(4000)}
+        keys = pin(docs.where("doc_id % 80 = 0").select(corpus_pipeline._text_key().alias("text_key"), "doc_id"), "t")
+        for how, rest in (("left_semi", 0), ("left_anti", 1)):
+            some = corpus_pipeline._listed(docs, keys, True, how)
+            assert max(shuffled_rows(some)) <= 200 and some.dtypes == docs.dtypes
+            assert sorted(r.doc_id for r in some.collect()) == [i for i in range(4000) if (i % 80 > 0) == rest]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_full_bitmap_of_keys_loses_no_row(spark, monkeypatch):
+    """No key is missed, whatever the size of the bitmap; the join behind it is exact."""
+    rows = spark.range(100_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("__llm_bucket"))
+    keys = pin(rows.where("`__llm_bucket` % 10 = 3").select(F.col("k").alias("of")), "t")
+    for most in (common.MOST_KEY_BITS, 1 << 15):
+        monkeypatch.setattr(common, "MOST_KEY_BITS", most)
+        others, maybe = split_by_keys(rows, "k", keys, "of")
+        assert others.columns == maybe.columns == rows.columns
+        assert others.join(keys, F.col("k") == F.col("of"), "left_semi").isEmpty()
+        assert others.count() + maybe.count() == 100_000 and maybe.count() >= 10_000
+        assert most == 1 << 15 or maybe.count() < 13_000
+    others, maybe = split_by_keys(rows, "k", keys.limit(0), "of")
+    assert others.count() == 100_000 and maybe.isEmpty()

@@ -6,7 +6,7 @@ from collections import Counter
 from brute import PATTERNS, base_spans, sha, span_text
 from pyspark.sql import functions as F
 
-from mercata.llm import registry
+from mercata.llm import registry, sanitise
 from mercata.llm.sanitise import find_spans, redact, span_list
 
 PARTS = ["a", "B.", "@", "b-c", ".com", "x%", "_", "+", "1", "22", "255", "256", ".", "-", " ", "(", ")", "4111 1111 1111 1111", "+49 30 ", "123456", "0",
@@ -138,3 +138,14 @@ def test_terms_of_random_corpora(spark):
         text = dict(docs)
         want = plain_terms(list(text.values()), base_spans)
         assert {text[row.doc_id][s.start:s.end].lower() for row in got for s in row.spans if s.rank == 4} == want and want
+
+
+def test_terms_of_many_texts_are_found_without_a_broadcast(spark, monkeypatch):
+    """The same spans where the texts with terms are too many to be sent to every task."""
+    docs = [(i, f"the {i} team of zorblax answers mail at zed@corp.example") for i in range(8)]
+    docs += [(10 + i, f"the other text number w{i} has mail and every team") for i in range(90)] + [(200, "Zorblax"), (201, None), (202, "Zorblax")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted(find_spans(frame).select("doc_id", span_list(F.col("spans"))).collect())
+    assert sum("term" in s for _, s in want) == 10
+    monkeypatch.setattr(sanitise, "BROADCAST_ROWS", 0)
+    assert sorted(find_spans(frame).select("doc_id", span_list(F.col("spans"))).collect()) == want
