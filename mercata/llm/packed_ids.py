@@ -20,7 +20,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +27,20 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercata.llm.common import PIECE_BYTES, held, pieces, tokenizer_path
-from mercata.llm.space_runs import space_runs
+from mercata.llm.common import held, pieces, tokenizer_path
+from mercata.llm.space_runs import split_runs
 
 BLOCK_IDS = 1 << 16
+PIECE = 24 << 20  # bytes of text whose distinct runs are encoded together
 MEMO_ENTRIES = 1_000_000  # distinct pieces whose ids a worker remembers (some 200 MB); then it starts anew
-WORDS = 4_096  # words the library gets as one text
+WORDS = 256  # words the library gets as one text
 BLOCK_SCHEMA = ("part int, block int, bits int, n_ids long, before long, doc_ids array<long>, "
                 "lengths array<long>, payload binary")
-_SPACE = "\u0120"  # what byte-level vocabularies show a space as
+_SHOWN = {" ": "\u0120", "\n": "\u010a"}  # what byte-level vocabularies show a space and a line feed as
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
-_LETTERS_SIGNS = re.compile(f"{_LETTERS[1:-1]}[{re.escape(_SIGNS)}]+")
+_LETTERS = "^\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
+_LETTER = "\n" + "".join(c for c in map(chr, range(0x250)) if re.match(_LETTERS, c))
+_LETTERS_SIGNS = re.compile(f"{_LETTERS[3:-1]}[{re.escape(_SIGNS)}]+")
 _DOC, _TEXT, _TIE, _PART = "__llm_doc", "__llm_text", "__llm_tie", "__llm_part"
 
 
@@ -86,9 +87,10 @@ class PieceEncoder:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.vocab_size = max(self.lib.get_vocab(with_added_tokens=True).values(), default=0) + 1
-        spaced = [i for t, i in self.lib.get_vocab(with_added_tokens=False).items() if t.startswith(_SPACE)]
-        self.begins = np.zeros(self.vocab_size, bool)  # tokens that begin with a space
-        self.begins[spaced] = True
+        vocab = self.lib.get_vocab(with_added_tokens=False)
+        self.begins = {c: np.zeros(self.vocab_size, bool) for c in _SHOWN}  # tokens that begin with a space, or line feed
+        for c, shown in _SHOWN.items():
+            self.begins[c][[i for t, i in vocab.items() if t.startswith(shown)]] = True
         # a special string of letters and signs could lie across the cut between them
         self.cuts_signs = not any(_LETTERS_SIGNS.fullmatch(t.content) for t in self.lib.get_added_tokens_decoder().values())
         self.memo: dict[str, bytes] = {}
@@ -97,59 +99,67 @@ class PieceEncoder:
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words behind a space, without spaces inside or white ends, many as one text: a token
-        that begins with a space begins a word."""
+    def _words(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of words behind a space or line feed (``before``), without such inside or white ends, many as
+        one text: a token that begins with that character begins a word."""
         out = []
         for a in range(0, len(words), WORDS):
             some = words[a:a + WORDS]
-            ids = np.array(self.lib.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            first = np.flatnonzero(self.begins[ids])
+            ids = np.array(self.lib.encode_batch_fast([before + before.join(some)], add_special_tokens=False)[0].ids, "<u4")
+            first = np.flatnonzero(self.begins[before][ids])
             if len(first) != len(some) or first[0]:  # not a vocabulary of that kind
-                out += self._raw([" " + w for w in some])
+                out += self._raw([before + w for w in some])
                 continue
             data, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
             out += [data[x:y] for x, y in zip(at, at[1:], strict=False)]
         return out
 
-    def _distinct(self, runs: pa.Array) -> list[bytes]:
-        """Ids of each of some distinct runs that a space stands before."""
+    def _distinct(self, runs: pa.Array) -> pa.Array:
+        """Ids of each of some distinct runs: one that begins with a line feed as it is, any other behind a space."""
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
         if len(self.signs) > MEMO_ENTRIES:
             self.signs = {"": b""}
         bare = pa.compute.ascii_rtrim(runs, characters=_SIGNS)
-        if not self.cuts_signs:
-            bare = runs
-        letters = pa.compute.match_substring_regex(bare, _LETTERS)
-        whole, cores = _strings(runs), _strings(pa.compute.if_else(letters, bare, runs))
-        tails = list(map(str.removeprefix, whole, cores))
-        words, odd = [], []
-        for w in set(cores).difference(self.memo):
-            (odd if not w or " " in w or w[0].isspace() or w[-1].isspace() else words).append(w)
-        self.memo.update(zip(words, self._words(words), strict=True))
-        self.memo.update(zip(odd, self._raw([" " + w for w in odd]), strict=True))
-        signs = list(set(tails).difference(self.signs))
+        letters = pa.compute.and_(pa.compute.match_substring_regex(bare, _LETTERS), self.cuts_signs)
+        cores = pa.compute.if_else(letters, bare, runs).dictionary_encode()
+        tails = pa.compute.if_else(letters, pa.compute.utf8_ltrim(runs, characters=_LETTER), "").dictionary_encode()
+        known, words, lines, odd = _strings(cores.dictionary), [], [], []
+        for w in known:
+            if w in self.memo:
+                continue
+            if w.isalpha():
+                words.append(w)
+            elif (bare := w[w[:1] == "\n":]) and not (" " in w or "\n" in bare or bare[0].isspace() or bare[-1].isspace()):
+                (words if bare == w else lines).append(w)
+            else:
+                odd.append(w)
+        self.memo.update(zip(words, self._words(words, " "), strict=True))
+        self.memo.update(zip(lines, self._words([w[1:] for w in lines], "\n"), strict=True))
+        self.memo.update(zip(odd, self._raw([w if w[:1] == "\n" else " " + w for w in odd]), strict=True))
+        behind = _strings(tails.dictionary)
+        signs = list(set(behind).difference(self.signs))
         self.signs.update(zip(signs, self._raw(signs), strict=True))
-        return list(map(add, map(self.memo.__getitem__, cores), map(self.signs.__getitem__, tails)))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+        def ids(names: list[str], memo: dict[str, bytes], at: pa.Array) -> pa.Array:
+            return pa.array(list(map(memo.__getitem__, names)), pa.large_binary()).take(at)
+
+        return pa.compute.binary_join_element_wise(
+            ids(known, self.memo, cores.indices), ids(behind, self.signs, tails.indices), pa.scalar(b"", pa.large_binary()))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit numbers."""
-        heads, flat, ends = [], [], [0]
-        for t in texts:
-            head, *runs = space_runs(t)
-            heads.append(head)
-            flat += runs
-            ends.append(len(flat))
-        coded = pa.array(flat, pa.large_string()).dictionary_encode()
-        del flat
-        ids = pa.array(self._distinct(coded.dictionary), pa.large_binary()).take(coded.indices)
-        if not len(ids):
-            return self._raw(heads)
+        heads, runs, ends = split_runs(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
+        heads = self._raw(_strings(heads))
+        if not len(runs):
+            return heads
+        coded = runs.dictionary_encode()
+        del runs
+        ids = self._distinct(coded.dictionary).take(coded.indices)
         _, offsets, data = ids.buffers()  # ids of all runs, one after the other
         at = np.frombuffer(offsets, "<i8", len(ids) + 1, 8 * ids.offset)[ends].tolist()
         held = memoryview(data) if data is not None else b""
-        return [h + held[a:z] for h, a, z in zip(self._raw(heads), at, at[1:], strict=False)]
+        return [h + held[a:z] for h, a, z in zip(heads, at, at[1:], strict=False)]
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -179,9 +189,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int | No
             [pa.array([v], t) for v, t in zip((part, block, bits, held, before, docs, lengths, payload), schema.types, strict=True)],
             schema=schema)
 
-    for piece in pieces(batches, _TEXT, PIECE_BYTES, f"pieces {path}"):
+    for piece in pieces(batches, _TEXT, PIECE, f"pieces {path}"):
         part = piece.column(_PART)[0].as_py()
-        texts = [t or "" for t in piece.column(_TEXT).to_pylist()]
+        texts = piece.column(_TEXT).fill_null("").cast(pa.large_string())
         for doc, ids in zip(piece.column(_DOC).to_pylist(), enc.encode(texts), strict=True):
             docs.append(doc)
             data.append(ids + end)
@@ -224,7 +234,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = unpack(row["payload"], row["bits"], 0, row["n_ids"]).astype("<u4")
             ends = np.cumsum(np.array(row["lengths"], np.int64))
             starts = ends - np.array(row["lengths"], np.int64)
-            crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["before"] + row["part_start"]),
                  pa.array(ends - starts), pa.array(crcs, pa.int64())], schema=schema)

@@ -192,3 +192,33 @@ def test_a_task_of_another_operator_gives_up_what_a_worker_holds():
     model = toxicity.Model(np.zeros(0, np.int64), np.zeros(0, np.float32), -5.0)
     list(toxicity._scores(model, pa.array(["some words"])))
     assert not common._HELD and trie_bpe._encoder(WORDS) is not first
+
+
+def test_lines_and_spaces_are_cut_alike_and_no_run_becomes_a_string_of_its_own(monkeypatch):
+    """A word behind a line feed is its own word, not one with the word before; every odd piece gets the library's ids."""
+    from mercata.llm import packed_ids
+
+    lib = library(BYTES)
+    enc = PieceEncoder(public_tokenizers.path(BYTES))
+    asked = []
+
+    class Asked:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            asked.extend(texts)
+            return lib.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    enc.lib = Asked()
+    heads = ["bar", "été", "foo"]
+    words = [f"{a}{b}" for a in "bdfgklmn" for b in ("ol", "ém", "ast")]
+    texts = ["\n".join([h, *(f"{w}.\n{v}" for w in words for v in words)]) for h in heads]
+    assert [np.frombuffer(g, "<u4").tolist() for g in enc.encode(texts)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(len(t) for t in asked) < 1000 and len(enc.memo) <= 2 * len(words)  # not a pair at a time
+    r = random.Random(9)
+    parts = ["a", "B.", "\n", "\n", " ", " ", "\n\n", " \n", "\n ", "\t", "\r\n", "\x85", "　", "\x1c", "\xa0", "é", "İ", "'s", "x'", "1", "½", "!?", "<|endoftext|>", "\x00", "中"]
+    texts = ["".join(r.choices(parts, k=r.randint(0, 12))) for _ in range(6000)] + ["", "\n", " ", "\n\n", "a\n", "\na", "a\n\tb", "a \nb", "a\n b", "a.\nB!\n"]
+    wanted = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    for most in (packed_ids.MEMO_ENTRIES, 10):  # and with a memory that starts anew
+        monkeypatch.setattr(packed_ids, "MEMO_ENTRIES", most)
+        for a in range(0, len(texts), 1000):
+            for t, ids, want in zip(texts[a:a + 1000], enc.encode(texts[a:a + 1000]), wanted[a:a + 1000], strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == want, t
