@@ -88,6 +88,12 @@ def release_memory() -> None:
         trim(0)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task gives; after its last batch, when its own objects are gone, their memory goes back to the system."""
+    yield from batches
+    release_memory()
+
+
 _HELD: dict[str, object] = {}
 
 

@@ -34,7 +34,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import pieces, pin
+from mercata.llm.common import pieces, pin, released
 
 CHUNK = 40
 COMMON = 0.005
@@ -333,7 +333,7 @@ def _slice_matches(texts: DataFrame, s: Slice, chunk: int, cosine: float, lcs: f
     w = np.random.default_rng(7).standard_normal((len(s.terms), min(rank + 16, len(s.terms)))).astype(np.float32)
     for _ in range(2):
         shared = sc.broadcast((s.idf, w))
-        parts = encoded.select("blob", "passages").mapInArrow(lambda it, b=shared: _products(it, b, chunk), "block int, sums binary")
+        parts = encoded.select("blob", "passages").mapInArrow(lambda it, b=shared: released(_products(it, b, chunk)), "block int, sums binary")
         g = np.zeros(w.shape)
         g[own_terms] = share * group_sums(_projected(own, len(s.codes), w), own[0][by_term], own[2][by_term], own_start)
         for r in parts.repartition(BLOCKS, "block").mapInArrow(_added, "block int, sums binary").collect():  # terms x rank numbers in all
@@ -343,5 +343,5 @@ def _slice_matches(texts: DataFrame, s: Slice, chunk: int, cosine: float, lcs: f
     s.basis = np.ascontiguousarray(w[:, :rank])
     s.latent = _unit(_projected(own, len(s.codes), s.basis))
     last = sc.broadcast(s)
-    return encoded.mapInArrow(lambda it: _found(it, last, chunk, cosine, lcs, answer),
+    return encoded.mapInArrow(lambda it: released(_found(it, last, chunk, cosine, lcs, answer)),
                               "doc_id long, text_key binary, item_id long, cosine double, lcs_share double")

@@ -112,3 +112,24 @@ def test_a_full_bitmap_of_keys_loses_no_row(spark, monkeypatch):
         assert most == 1 << 15 or maybe.count() < 13_000
     others, maybe = split_by_keys(rows, "k", keys.limit(0), "of")
     assert others.count() == 100_000 and maybe.isEmpty()
+
+
+def test_a_decontamination_task_gives_memory_back_after_its_own_objects_are_gone(monkeypatch):
+    import weakref
+
+    seen = []
+
+    class Table:
+        pass
+
+    def task():
+        table = Table()
+        seen.append(weakref.ref(table))
+        yield 1
+        yield 2
+        del table
+
+    monkeypatch.setattr(common, "release_memory", lambda: seen.append(seen[0]()))
+    got = common.released(task())
+    assert next(got) == 1 and len(seen) == 1
+    assert list(got) == [2] and seen[1:] == [None]
