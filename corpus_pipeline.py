@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm import sanitise, toxicity
-from mercata.llm.common import fresh, pin, read_table, split_by_keys
+from mercata.llm.common import fresh, pin, read_table, small_batches, split_by_keys
 from mercata.llm.jaccard import near_duplicates
 from mercata.llm.latent_retrieval import contaminated
 from mercata.llm.trie_bpe import encode_decode
@@ -37,6 +37,7 @@ def _listed(docs: DataFrame, keys: DataFrame, with_id: bool, how: str) -> DataFr
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; null and empty texts score like clean ones and stay."""
+    small_batches(spark)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     return toxicity.accepted(docs, model)
 
@@ -46,6 +47,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Texts without words have no shingles, are nobody's duplicates and stay.
     """
+    small_batches(spark)
     judged = near_duplicates(docs).groupBy("text_key", "doc_id").agg(
         F.max("stays").alias("stays"), (F.max("n_shingles") > 0).alias("worded"), F.count("*").alias("n"))
     judged = pin(judged.where("not stays or (worded and n > 1)"), "pipeline-judged")
@@ -60,6 +62,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    small_batches(spark)
     found = pin(contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("text_key", "doc_id"), "pipeline-gone")
     return _listed(docs, found, False, "left_anti")
 
@@ -79,6 +82,7 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left as token ids and decoded again: doc_id, n_tokens and digests of both."""
+    small_batches(spark)
     return encode_decode(docs, digests=True)
 
 

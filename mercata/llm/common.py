@@ -16,6 +16,7 @@ from mercata.config import scratch_path
 # Text handled at once inside a task; larger Arrow batches are cut into such pieces (a single
 # longer text is a piece of its own), so a task's memory does not follow the batch size.
 PIECE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20  # of an Arrow batch between Spark and a task's Python: no smaller than a piece of the pipeline's operators
 KEY_BITS = 64            # bits of a bitmap of keys per key
 MOST_KEY_BITS = 1 << 28  # and of a whole bitmap, at most (32 MB)
 
@@ -37,6 +38,17 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches hold some ``BATCH_BYTES``, unless the session has a bound of its own.
+
+    Spark's default of 64 MB (or 10,000 rows) stands twice beside a task's work, outside the heap and in its
+    Python worker, and neither gives all of it back to the system.  All rows come, in more batches.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def width(spark: SparkSession) -> int:
     """The session's shuffle width."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

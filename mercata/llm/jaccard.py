@@ -115,22 +115,29 @@ def _asked(batches: Iterator[pa.RecordBatch], n_buckets: int, k: int) -> Iterato
     schema = pa.schema(_ASK)
     for piece in pieces(batches, _TEXT, PIECE):
         texts = [t or "" for t in piece.column(_TEXT).to_pylist()]
+        keys = [hashlib.md5(t.encode(), usedforsecurity=False).digest() for t in texts]
         sets = _sets_by_parts(texts, k)
         first = piece.column("__llm_row")[0].as_py()
+        sizes, digests = [len(s) for s in sets], [_digest(s) for s in sets]
         h = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
+        del texts, sets  # each array of all shingles goes as soon as it is used
+        owner = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
         order = np.argsort(h, kind="stable")
         h, owner = h[order], owner[order]
+        del order
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
-        start = np.flatnonzero(new)
-        times = np.diff(np.append(start, len(h)))
-        known = np.bincount(owner[np.repeat(times, times) > 1], minlength=len(sets))
-        h, owner = h[start], np.where(times > 1, np.uint32(0xFFFFFFFF), owner[start])  # no single owner: no answer needed
-        bucket = ((h >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.uint16 if n_buckets <= 65_535 else np.int64)
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        known = np.bincount(owner[~alone], minlength=len(sizes))
+        h, owner = h[new], np.where(alone[new], owner[new], np.uint32(0xFFFFFFFF))  # no single owner: no answer needed
+        bucket = h >> np.uint64(40)
+        bucket %= np.uint64(n_buckets)
+        bucket = bucket.astype(np.uint16 if n_buckets <= 65_535 else np.int64)
         order = np.argsort(bucket, kind="stable")
         h, owner = h[order], owner[order]
         bounds = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        del order, bucket
         meta = first % n_buckets
         for b in range(n_buckets):
             a, z = bounds[b], bounds[b + 1]
@@ -138,9 +145,8 @@ def _asked(batches: Iterator[pa.RecordBatch], n_buckets: int, k: int) -> Iterato
                 continue
             # 40 bits are enough to ask: a false match keeps a document for the exact steps
             low = np.ascontiguousarray(h[a:z]).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-            extra = (piece.column(_DOC).to_pylist(), [len(s) for s in sets], known.tolist(), [_digest(s) for s in sets],
-                     [hashlib.md5(t.encode(), usedforsecurity=False).digest() for t in texts]) if b == meta else (None,) * 5
-            row = (b, first, len(sets), low, zlib.compress(owner[a:z].astype("<u4").tobytes(), 1), *extra)
+            extra = (piece.column(_DOC).to_pylist(), sizes, known.tolist(), digests, keys) if b == meta else (None,) * 5
+            row = (b, first, len(sizes), low, zlib.compress(owner[a:z].astype("<u4").tobytes(), 1), *extra)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(row, _ASK, strict=True)], schema=schema)
 
 
@@ -151,25 +157,28 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket: per piece and bucket how many of each document's shingles others have."""
     bucket, held = None, []
 
+    def low(row: dict) -> np.ndarray:
+        raw = np.zeros((len(row["hashes"]) // 5, 8), np.uint8)
+        raw[:, :5] = np.frombuffer(row["hashes"], np.uint8).reshape(-1, 5)
+        return raw.view("<u8").ravel()
+
     def done() -> Iterator[pa.RecordBatch]:
-        parts = []
-        for row in held:
-            raw = np.zeros((len(row["hashes"]) // 5, 8), np.uint8)
-            raw[:, :5] = np.frombuffer(row["hashes"], np.uint8).reshape(-1, 5)
-            parts.append(raw.view("<u8").ravel())
-        h = np.concatenate(parts)
-        order = np.argsort(h)
-        ranked = h[order]
-        same = np.zeros(len(h), bool)
-        same[1:] = ranked[1:] == ranked[:-1]
-        same[:-1] |= same[1:]
-        shared = np.zeros(len(h), bool)
-        shared[order] = same
+        ranked = np.empty(sum(len(row["hashes"]) // 5 for row in held), np.uint64)  # the only array of all hashes
         at = 0
-        for row, part in zip(held, parts, strict=True):
-            owner = np.frombuffer(zlib.decompress(row["owners"]), "<u4")
-            hit = owner[shared[at:at + len(part)]]
+        for row in held:
+            part = low(row)
+            ranked[at:at + len(part)] = part
             at += len(part)
+        ranked.sort()
+        twice = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+        del ranked
+        for row in held:
+            part = low(row)
+            place = np.searchsorted(twice, part)
+            shared = place < len(twice)
+            shared[shared] = twice[place[shared]] == part[shared]
+            owner = np.frombuffer(zlib.decompress(row["owners"]), "<u4")
+            hit = owner[shared]
             counts = np.bincount(hit[hit != 0xFFFFFFFF], minlength=row["n_docs"])
             values = (row["piece"], zlib.compress(counts.astype("<u4").tobytes(), 1), *(row[c] for c, _ in _ASK[5:]))
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(values, _ANSWER, strict=True)], schema=pa.schema(_ANSWER))
@@ -234,7 +243,7 @@ def _parity(s: np.ndarray) -> bytes:
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches, _TEXT):
-        sets = [s for s in shingle_sets([t or "" for t in piece.column(_TEXT).to_pylist()], k) if len(s)]
+        sets = [s for s in _sets_by_parts([t or "" for t in piece.column(_TEXT).to_pylist()], k) if len(s)]
         mins = [[int(_mix(s ^ (_MULT[r % 5] + np.uint64(r))).view(np.int64).min()) for r in range(ROUNDS)] for s in sets]
         yield pa.RecordBatch.from_arrays(
             [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),

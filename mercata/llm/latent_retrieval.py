@@ -45,6 +45,7 @@ LCS = 0.7
 ANSWER = 0.5
 SLICE = 4_096
 BLOCKS = 16
+PART = 1 << 20  # characters of a piece whose words a task holds at once
 _DOC, _TEXT = "__llm_doc", "__llm_text"
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -103,24 +104,40 @@ def _coded(texts: list[str], vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarr
     return at.to_numpy()[some].astype(np.int64), text[some]
 
 
+def _parts(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of some ``PART`` characters, with the number of the first."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= PART or i + 1 == len(texts):
+            yield start, texts[start:i + 1]
+            start, size = i + 1, 0
+
+
 def _split(batches: Iterator[pa.RecordBatch], shared, chunk: int) -> Iterator[pa.RecordBatch]:
     terms = shared.value
     vocabulary = pa.array(list(terms), pa.string())  # numbered in order
     for piece in pieces(batches, _TEXT):
         texts = [t or "" for t in piece.column(_TEXT).to_pylist()]
-        code, text = _coded(texts, vocabulary)
-        counts = np.bincount(text, minlength=len(texts))
-        place = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-        passages = np.maximum(-(-counts // chunk) - 1, (counts > 0).astype(np.int64))
-        known = code >= 0
-        code, text, place = code[known], text[known], place[known]
-        first = np.cumsum(passages) - passages
-        _, term, _ = _entries(place, code, first[text], passages[text], chunk, len(terms))
-        some, df = np.unique(term, return_counts=True)
+        found, of_parts, df = [], [], np.zeros(len(terms), np.int64)
+        for number, part in _parts(texts):
+            code, text = _coded(part, vocabulary)
+            counts = np.bincount(text, minlength=len(part))
+            place = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+            passages = np.maximum(-(-counts // chunk) - 1, (counts > 0).astype(np.int64))
+            known = code >= 0
+            code, text, place = code[known], text[known], place[known]
+            first = np.cumsum(passages) - passages
+            _, term, _ = _entries(place, code, first[text], passages[text], chunk, len(terms))
+            df += np.bincount(term, minlength=len(terms))
+            found.append(np.stack([text + number, place, code]).astype("<i4"))
+            of_parts.append(passages)
+        text, place, code = np.concatenate(found, axis=1)
+        passages, some = np.concatenate(of_parts), np.flatnonzero(df)
         blob = zlib.compress(b"".join([np.diff(text, prepend=0).astype("<i4").tobytes(), place.astype("<i4").tobytes(),
                                        code.astype("<i4").tobytes()]), 1)
         keys = [hashlib.md5(t.encode(), usedforsecurity=False).digest() for t in texts]
-        values = (piece.column(_DOC).to_pylist(), keys, passages.tolist(), blob, some.tolist(), df.tolist(), int(passages.sum()))
+        values = (piece.column(_DOC).to_pylist(), keys, passages.tolist(), blob, some.tolist(), df[some].tolist(), int(passages.sum()))
         types = [("docs", pa.list_(pa.int64())), ("keys", pa.list_(pa.binary())), ("passages", pa.list_(pa.int64())), ("blob", pa.binary()),
                  ("terms", pa.list_(pa.int32())), ("df", pa.list_(pa.int64())), ("n", pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(values, types, strict=True)], schema=pa.schema(types))

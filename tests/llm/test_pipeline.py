@@ -1,6 +1,8 @@
 from collections import Counter
+from types import SimpleNamespace
 
 import public_tokenizers
+import pyarrow as pa
 from brute import PATTERNS, base_spans, components, sha
 from pyspark.sql import functions as F
 from test_models import leaks
@@ -8,7 +10,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from mercata.llm import common, registry
+from mercata.llm import common, jaccard, latent_retrieval, registry
 from mercata.llm.common import pin, split_by_keys
 
 
@@ -133,3 +135,43 @@ def test_a_decontamination_task_gives_memory_back_after_its_own_objects_are_gone
     got = common.released(task())
     assert next(got) == 1 and len(seen) == 1
     assert list(got) == [2] and seen[1:] == [None]
+
+
+def test_arrow_batches_of_the_stages_are_bounded_and_hold_every_row(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(name, None)
+    none = spark.createDataFrame([], "doc_id long, text string")
+    docs = spark.range(0, 9_000, 1, 1).select(F.col("id").alias("doc_id"), F.lit("x" * 2_000).alias("text"))
+    try:
+        spark.conf.set(name, "1m")
+        common.small_batches(spark)
+        assert spark.conf.get(name) == "1m"  # the session's own bound stays
+        spark.conf.unset(name)
+        corpus_pipeline.encode(spark, none, "")
+        got = docs.mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes] * b.num_rows)], names=["n"]) for b in it), "n long")
+        sizes = [r.n for r in got.collect()]
+        assert len(sizes) == 9_000 and max(sizes) <= common.BATCH_BYTES + 10_000
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
+def test_tasks_hold_the_words_of_a_part_of_a_piece_and_give_the_same_rows(monkeypatch):
+    texts = [None, "", "One two, three four!", "so on and so on " * 40, "two", " \n", "four three one " * 9, "x"] * 3
+    ids = pa.array(range(len(texts)), pa.int64())
+    docs = pa.RecordBatch.from_arrays([ids, pa.array(texts)], names=[latent_retrieval._DOC, latent_retrieval._TEXT])
+    terms = SimpleNamespace(value={w: i for i, w in enumerate(["one", "two", "so", "on", "four"])})
+
+    def rows():
+        split = [b.to_pylist() for b in latent_retrieval._split(iter([docs]), terms, 4)]
+        return split, [b.to_pylist() for b in jaccard._sets(iter([docs]), 5)]
+
+    whole, seen = rows(), []
+    for module, name in ((latent_retrieval, "_coded"), (jaccard, "shingle_sets")):
+        def watched(part, *more, f=getattr(module, name)):
+            seen.append((len(part), sum(map(len, part))))
+            return f(part, *more)
+
+        monkeypatch.setattr(module, name, watched)
+        monkeypatch.setattr(module, "PART", 100)
+    assert rows() == whole
+    assert len(seen) > 6 and all(size < 100 + 640 for _, size in seen)
