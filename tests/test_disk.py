@@ -98,3 +98,20 @@ def test_sales_lines_are_put_in_order_without_what_follows_from_them(spark, monk
     assert not {"cost", "profit_margin", "country/region", "city"} & {*lines.columns}
     assert "Join" not in lines._jdf.queryExecution().executedPlan().toString()  # the lookups are done: sampling bounds does not run them again
     assert star.fact_sales.where("cost = revenue - profit").count() == 60
+
+
+def test_category_and_product_marts_leave_their_groups_only(spark, monkeypatch):
+    from mercata.operators import marts
+
+    star = star_plan.build_star(_orders(spark), toy.people(spark, []), toy.returns(spark, [("O-1", "Yes")]))
+    lines = []
+    real = keys.saved
+    monkeypatch.setattr(keys, "saved", lambda df, label: lines.append(df.columns) or real(df, label) if label == "lines" else real(df, label))
+    for mart, spec, unused in ((marts.agg_category_trends, marts.QUARTERS, {"product_key", "order_date_key"}), (marts.product_sales, marts.PRODUCT_SALES, set())):
+        lazy = sorted(map(repr, spec.groups(star).collect()))
+        lines.clear()
+        before = scratch(spark)
+        out = mart(star)
+        assert {f.rpartition("-")[0] for f in scratch(spark) - before} == {"groups"}  # as many lines as the fact has are gone
+        assert len(lines) == 1 and not unused & {*lines[0]}
+        assert out.count() == len(lazy) and sorted(map(repr, spec.finished(star).collect())) == lazy
